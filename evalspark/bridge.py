@@ -43,8 +43,13 @@ def div(value: Column, by: int) -> Column:
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per order. A game is a run of forty orders, so (game, ply) is unique; the
     position depends on the customer, so exact repeats cross games and splits."""
+    return shape_positions(read(spark, sf_dir, "orders"))
+
+
+def shape_positions(orders: DataFrame) -> DataFrame:
+    """The projection behind `positions`, for batch and streaming inputs alike."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    base = read(spark, sf_dir, "orders").select(
+    base = orders.select(
         key.alias("row_id"),
         div(key, PLIES).alias("game"),
         "o_totalprice",

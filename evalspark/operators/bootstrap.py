@@ -68,44 +68,59 @@ def poisson_weights(points: np.ndarray, coef: np.ndarray) -> np.ndarray:
 def replicate_sums(
     stats: DataFrame, group: str, columns: list[str], repeats: int = REPEATS, seed: int = SEED
 ) -> DataFrame:
-    """(replicate, *columns): weighted sums of the per-group statistics. `stats` has one row per
-    group."""
+    """(replicate, *columns, groups): weighted sums of the per-group statistics, and their plain
+    sums and group count as replicate -1. `stats` has one row per group and is read once."""
     coef = coefficients(seed, repeats)
 
     def partial(batches):
-        total = np.zeros((repeats, len(columns)))
+        total = np.zeros((repeats + 1, len(columns) + 1))
         seen = False
         for pdf in batches:
             points = pdf["_point"].to_numpy(dtype=np.int64)
             values = pdf[columns].to_numpy(dtype=np.float64)
+            values = np.column_stack([values, np.ones(len(values))])
+            total[0] += values.sum(axis=0)
             for at in range(0, len(points), BLOCK):
                 weights = poisson_weights(points[at : at + BLOCK], coef)
-                total += weights.T @ values[at : at + BLOCK]
+                total[1:] += weights.T @ values[at : at + BLOCK]
                 seen = True
         if seen:
-            out = pd.DataFrame(total, columns=columns)
-            out.insert(0, "replicate", np.arange(repeats, dtype=np.int32))
+            out = pd.DataFrame(total, columns=[*columns, "groups"])
+            out.insert(0, "replicate", np.arange(-1, repeats, dtype=np.int32))
             yield out
 
     narrow = stats.select(
         group_point(seed, F.col(group)).alias("_point"),
         *[F.col(c).cast("double").alias(c) for c in columns],
     )
-    layout = "replicate int, " + ", ".join(f"`{c}` double" for c in columns)
+    names = [*columns, "groups"]
+    layout = "replicate int, " + ", ".join(f"`{c}` double" for c in names)
     parts = narrow.mapInPandas(partial, layout)
-    return parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in columns])
+    return parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in names])
 
 
-def interval(values: DataFrame, metrics: list[str], low: float = 0.025, high: float = 0.975):
-    """(metric, low, high): linear-interpolated percentiles over at most `repeats` rows."""
+def interval(
+    values: DataFrame, metrics: list[str], low: float = 0.025, high: float = 0.975
+) -> DataFrame:
+    """(metric, point, low, high, groups): the plain value and the linear-interpolated percentiles
+    of the replicates. At most `repeats` + 1 rows go in; fewer than two groups give null bounds."""
+    drawn = F.col("replicate") >= 0
+    known = F.col("_groups") >= 2
     bounds = values.agg(
-        *[F.percentile(F.col(m), F.array(F.lit(low), F.lit(high))).alias(m) for m in metrics]
+        F.coalesce(F.max(F.when(~drawn, F.col("groups"))), F.lit(0)).cast("long").alias("_groups"),
+        *[
+            F.percentile(F.when(drawn, F.col(m)), F.array(F.lit(low), F.lit(high))).alias(f"b_{m}")
+            for m in metrics
+        ],
+        *[F.max(F.when(~drawn, F.col(m))).alias(f"p_{m}") for m in metrics],
     )
     rows = [
         F.struct(
             F.lit(m).alias("metric"),
-            F.get(F.col(m), 0).alias("low"),
-            F.get(F.col(m), 1).alias("high"),
+            F.col(f"p_{m}").alias("point"),
+            F.when(known, F.get(F.col(f"b_{m}"), 0)).alias("low"),
+            F.when(known, F.get(F.col(f"b_{m}"), 1)).alias("high"),
+            F.col("_groups").alias("groups"),
         )
         for m in metrics
     ]
@@ -134,28 +149,20 @@ def score_intervals(
     repeats: int = REPEATS,
     seed: int = SEED,
 ) -> DataFrame:
-    """(metric, low, high, groups) for prevalence, log loss, Brier, ECE and, with `ref`, the
+    """(metric, point, low, high, groups) for prevalence, log loss, Brier, ECE and, with `ref`, the
     paired differences in the same draws. Fewer than two groups give null bounds."""
     stats = group_statistics(df, group, y, p, ref)
     columns = [c for c in stats.columns if c != group]
-    stats = stats.withColumn("g", F.lit(1))
-    sums = replicate_sums(stats, group, [*columns, "g"], repeats, seed).where("n > 0")
-    drawn = scoring.finish(
-        sums, [c for c in ("d_ll", "d_br", "n") if c in columns]
-    )
+    sums = replicate_sums(stats, group, columns, repeats, seed).where("n > 0")
+    extra = [c for c in ("d_ll", "d_br", "n") if c in columns]
+    drawn = scoring.finish(sums, ["replicate", "groups", *extra])
     metrics = ["prevalence", "log_loss", "brier", "ece"]
     if ref is not None:
         drawn = drawn.withColumn("log_loss_delta", F.col("d_ll") / F.col("n")).withColumn(
             "brier_delta", F.col("d_br") / F.col("n")
         )
         metrics += ["log_loss_delta", "brier_delta"]
-    groups = stats.agg(F.count(F.lit(1)).alias("groups")).scalar()
-    return interval(drawn, metrics).withColumn("groups", groups).select(
-        "metric",
-        F.when(F.col("groups") >= 2, F.col("low")).alias("low"),
-        F.when(F.col("groups") >= 2, F.col("high")).alias("high"),
-        "groups",
-    )
+    return interval(drawn, metrics)
 
 
 def ratio_interval(
@@ -172,19 +179,8 @@ def ratio_interval(
     )
     sums = replicate_sums(stats, group, ["n", "s"], repeats, seed).where("n > 0")
     bounds = interval(sums.withColumn(name, F.col("s") / F.col("n")), [name])
-    point = stats.agg(
-        F.count(F.lit(1)).alias("groups"), (F.sum("s") / F.sum("n")).alias("mean")
-    )
-    one = bounds.withColumn("groups", point.select("groups").scalar()).withColumn(
-        "mean", point.select("mean").scalar()
-    )
-    known = F.col("groups") >= 2
-    return one.select(
-        "metric",
-        F.coalesce("mean", F.lit(0.0)).alias("mean"),
-        F.when(known, F.col("low")).alias("low"),
-        F.when(known, F.col("high")).alias("high"),
-        "groups",
+    return bounds.select(
+        "metric", F.coalesce("point", F.lit(0.0)).alias("mean"), "low", "high", "groups"
     )
 
 
@@ -224,6 +220,8 @@ def seed_intervals(
     columns = [f"{kind}{s}" for s in seeds for kind in ("n", "d")]
     drawn = replicate_sums(stats, group, columns, repeats, seed)
     ratios = drawn.select(
+        "replicate",
+        "groups",
         *[
             F.when(F.col(f"n{s}") > 0, F.col(f"d{s}") / F.col(f"n{s}")).alias(str(s))
             for s in seeds

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.operators import bootstrap, scoring
+from evalspark.operators import bootstrap, ordering, scoring
 
 
 @dataclass(frozen=True)
@@ -50,14 +50,10 @@ def gate(row: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
 def gate_row(rows: DataFrame, group: str, y: str, p: str, ref: str) -> DataFrame:
     """The one-row input of `gate`: candidate and reference scores, groups, upper bound of the
     paired log-loss interval."""
-    candidate = scoring.scores(rows, None, y, p)
-    reference = scoring.scores(rows, None, y, ref)
-    out = candidate
-    for m in ("log_loss", "brier", "ece"):
-        out = out.withColumn(f"ref_{m}", reference.select(m).scalar())
+    both = scoring.paired_scores(rows, y, p, ref)
     bound = bootstrap.score_intervals(rows, group, y, p, ref).where("metric = 'log_loss_delta'")
-    return out.withColumn("delta_high", bound.select("high").scalar()).withColumn(
-        "groups", bound.select("groups").scalar()
+    return both.withColumn("_b", ordering.one_row(bound.select("high", "groups"))).select(
+        *both.columns, F.col("_b.high").alias("delta_high"), F.col("_b.groups").alias("groups")
     )
 
 

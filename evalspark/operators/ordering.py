@@ -22,6 +22,12 @@ def as_columns(values) -> list[Column]:
     return [F.col(v) if isinstance(v, str) else v for v in values]
 
 
+def one_row(df: DataFrame) -> Column:
+    """A one-row table as a single scalar subquery of struct type, so it is evaluated once
+    however many of its columns are used."""
+    return df.select(F.struct(*df.columns).alias("row")).scalar()
+
+
 def largest_group(df: DataFrame, group: list[str]) -> int:
     """Rows in the largest group. Runs one job: a partial count, then a maximum."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
@@ -141,9 +147,7 @@ def nearest_rank(
     if group:
         at = run.join(totals, group)
     else:
-        at = run
-        for name in ("_total", "min", "max"):
-            at = at.withColumn(name, totals.select(name).scalar())
+        at = run.withColumn("_t", one_row(totals)).select(*run.columns, "_t.*")
     picks = [
         F.max(
             F.when(

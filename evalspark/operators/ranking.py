@@ -8,6 +8,7 @@ cut in two salted rounds, and log-sum-exp is accumulated in exponent bins in a s
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -95,68 +96,101 @@ def shortlist(
     return ordering.top_rows(cands, [group], order, k)
 
 
-def width_metrics(
+def _measured_orders(
     cands: DataFrame,
-    widths=WIDTHS,
-    group: str = "group_id",
-    target: str = "target",
-    score: str = "score",
-    tie: str = "cand_idx",
-    gains: DataFrame | None = None,
-    terminal: str | None = None,
+    orders: dict[str, str],
+    widths,
+    group: str,
+    target: str,
+    tie: str,
+    gains: DataFrame | None,
+    terminal: str | None,
 ) -> DataFrame:
-    """(group, k, size, hit, ndcg) for every width smaller than the list.
+    """(group, k, size, <prefix>hit, <prefix>ndcg) of several orderings of the same lists.
 
-    Two inputs per list, each at most max(widths) rows: the shortlist with its gains, and the
-    ideal order read from the gain table. One aggregation turns them into all widths at once.
+    Per list at most max(widths) rows per ordering, with their gains, plus the ideal order read
+    from the gain table. One aggregation turns them into all widths of all orderings at once.
     """
     top_k = max(widths)
     table = gain_table(cands, group, target) if gains is None else gains
     stats = table.groupBy(group).agg(F.sum("n").alias("size"), F.max(target).alias("best"))
-    picked = (
+    gain_of = table.select(group, target, "gain")
+    names = list(orders)
+    picked = [
         shortlist(cands, top_k, group, score, tie, terminal)
         .select(group, target, "position")
-        .join(table.select(group, target, "gain"), [group, target])
-        .select(group, target, "position", "gain", F.lit(False).alias("ideal"))
-    )
+        .withColumn("_order", F.lit(i))
+        for i, score in enumerate(orders.values())
+    ]
+    picked = reduce(DataFrame.unionByName, picked).join(gain_of, [group, target])
     first = F.col("through") - F.col("n") + 1
     ideal = table.where(first <= top_k).select(
         group,
         target,
-        F.explode(F.sequence(first, F.least(F.col("through"), F.lit(top_k)))).alias("position"),
+        F.explode(
+            F.sequence(first, F.least(F.col("through"), F.lit(top_k))).cast("array<int>")
+        ).alias("position"),
+        F.lit(-1).alias("_order"),
         "gain",
-        F.lit(True).alias("ideal"),
-    )
-    both = picked.unionByName(ideal.withColumn("position", F.col("position").cast("int"))).join(
-        stats, group
     )
+    both = picked.unionByName(ideal).join(stats, group)
     term = F.col("gain") * sx.rank_discount(F.col("position"))
     measures = []
     for k in widths:
         inside = F.col("position") <= k
-        measures += [
-            F.max(~F.col("ideal") & inside & (F.col(target) == F.col("best"))).alias(f"hit{k}"),
-            F.sum(F.when(inside & ~F.col("ideal"), term)).alias(f"dcg{k}"),
-            F.sum(F.when(inside & F.col("ideal"), term)).alias(f"best{k}"),
-        ]
+        measures.append(F.sum(F.when(inside & (F.col("_order") == -1), term)).alias(f"ideal{k}"))
+        for i, _ in enumerate(names):
+            mine = inside & (F.col("_order") == i)
+            kept = mine & (F.col(target) == F.col("best"))
+            measures.append(F.max(kept).alias(f"hit{k}_{i}"))
+            measures.append(F.sum(F.when(mine, term)).alias(f"dcg{k}_{i}"))
     wide = both.groupBy(group, "size").agg(*measures)
-    rows = [
-        F.struct(
-            F.lit(k).alias("k"),
-            F.col(f"hit{k}").alias("hit"),
-            F.when(F.col(f"best{k}") > 0, F.col(f"dcg{k}") / F.col(f"best{k}"))
-            .otherwise(1.0)
-            .alias("ndcg"),
-        )
-        for k in widths
-    ]
-    return wide.select(group, "size", F.inline(F.array(*rows))).where(F.col("size") > F.col("k"))
+
+    def at(k: int) -> Column:
+        best = F.col(f"ideal{k}")
+        fields = [F.lit(k).alias("k")]
+        for i, name in enumerate(names):
+            ratio = F.when(best > 0, F.col(f"dcg{k}_{i}") / best).otherwise(1.0)
+            fields += [F.col(f"hit{k}_{i}").alias(f"{name}hit"), ratio.alias(f"{name}ndcg")]
+        return F.struct(*fields)
+
+    rows = wide.select(group, "size", F.inline(F.array(*[at(k) for k in widths])))
+    return rows.where(F.col("size") > F.col("k"))
+
+
+def width_metrics(
+    cands: DataFrame,
+    widths=WIDTHS,
+    group: str = "group_id",
+    target: str = "target",
+    score: str = "score",
+    tie: str = "cand_idx",
+    gains: DataFrame | None = None,
+    terminal: str | None = None,
+) -> DataFrame:
+    """(group, k, size, hit, ndcg) for every width smaller than the list."""
+    return _measured_orders(cands, {"": score}, widths, group, target, tie, gains, terminal)
 
 
-def width_report(
-    metrics: DataFrame, widths=WIDTHS, reference: DataFrame | None = None, group: str = "group_id"
+def compare_orders(
+    cands: DataFrame,
+    score: str,
+    reference: str,
+    widths=WIDTHS,
+    group: str = "group_id",
+    target: str = "target",
+    tie: str = "cand_idx",
+    gains: DataFrame | None = None,
 ) -> DataFrame:
-    """(k, groups, measured, recall_at_k, ndcg_at_k[, reference_*]); unmeasured widths are kept."""
+    """(group, k, size, hit, ndcg, ref_hit, ref_ndcg): two orderings on the same lists."""
+    return _measured_orders(
+        cands, {"": score, "ref_": reference}, widths, group, target, tie, gains, None
+    )
+
+
+def width_report(metrics: DataFrame, widths=WIDTHS) -> DataFrame:
+    """(k, groups, measured, recall_at_k, ndcg_at_k[, reference_*]); unmeasured widths are kept.
+    The reference columns appear when the metrics compare two orderings."""
     spark = metrics.sparkSession
     frame = spark.createDataFrame([(int(k),) for k in widths], "k int")
     out = [
@@ -164,25 +198,17 @@ def width_report(
         F.avg(F.col("hit").cast("double")).alias("recall_at_k"),
         F.avg("ndcg").alias("ndcg_at_k"),
     ]
-    joined = metrics
-    if reference is not None:
-        joined = paired(metrics, reference, group)
+    if "ref_hit" in metrics.columns:
         out += [
             F.avg(F.col("ref_hit").cast("double")).alias("reference_recall_at_k"),
             F.avg("ref_ndcg").alias("reference_ndcg_at_k"),
         ]
-    report = joined.groupBy("k").agg(*out)
-    return frame.join(report, "k", "left").withColumn(
-        "groups", F.coalesce("groups", F.lit(0))
-    ).withColumn("measured", F.col("groups") > 0)
-
-
-def paired(metrics: DataFrame, reference: DataFrame, group: str = "group_id") -> DataFrame:
-    """Two orderings measured on the same (list, width)."""
-    other = reference.select(
-        group, "k", F.col("hit").alias("ref_hit"), F.col("ndcg").alias("ref_ndcg")
+    report = metrics.groupBy("k").agg(*out)
+    return (
+        frame.join(report, "k", "left")
+        .withColumn("groups", F.coalesce("groups", F.lit(0)))
+        .withColumn("measured", F.col("groups") > 0)
     )
-    return metrics.join(other, [group, "k"])
 
 
 def two_sided_binomial(wins: int, trials: int) -> float:
@@ -362,9 +388,16 @@ def corpus_summary(
         F.count_if(F.col("size") > shortlist_width).alias("groups_above_shortlist"),
         F.count_if(F.col("distinct_targets") == 1).alias("groups_entirely_tied"),
     )
-    for name in ("min", "median", "p95", "max"):
-        out = out.withColumn(f"size_{name}", sizes.select(name).scalar())
-    return out.withColumn("median_distinct_targets", kinds.select("median").scalar())
+    names = ("min", "median", "p95", "max")
+    return (
+        out.withColumn("_sizes", ordering.one_row(sizes))
+        .withColumn("_kinds", ordering.one_row(kinds))
+        .select(
+            *out.columns,
+            *[F.col("_sizes")[name].alias(f"size_{name}") for name in names],
+            F.col("_kinds")["median"].alias("median_distinct_targets"),
+        )
+    )
 
 
 def list_offsets(cands: DataFrame, group: str = "group_id") -> DataFrame:

@@ -108,6 +108,30 @@ def scores(
     return finish(df.groupBy(*by).agg(*sum_columns(F.col(y), F.col(p), bins)), by, bins)
 
 
+def paired_scores(
+    df: DataFrame, y: str, p: str, ref: str, by: list[str] | None = None
+) -> DataFrame:
+    """Scores of two predictions in one pass; the second one's columns start with `ref_`."""
+    by = by or []
+    second = [c.alias(f"r{i}") for i, c in enumerate(sum_columns(F.col(y), F.col(ref)))]
+    names = [f"r{i}" for i in range(len(second))]
+    first = sum_columns(F.col(y), F.col(p))
+    sums = df.groupBy(*by).agg(*first, *second)
+    mine = [c for c in sums.columns if c not in names and c not in by]
+    scored = finish(sums, [*by, *names])
+    back = scored.select(
+        *by,
+        F.struct("count", "prevalence", "log_loss", "brier", "ece").alias("_first"),
+        *[F.col(r).alias(c) for r, c in zip(names, mine)],
+    )
+    out = finish(back, [*by, "_first"])
+    return out.select(
+        *by,
+        "_first.*",
+        *[F.col(m).alias(f"ref_{m}") for m in ("log_loss", "brier", "ece")],
+    )
+
+
 def calibration_table(df: DataFrame, y: str = "y", p: str = "p", bins: int = BINS) -> DataFrame:
     """All bins, empty ones included with null means."""
     spark = df.sparkSession

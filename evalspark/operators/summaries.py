@@ -35,9 +35,10 @@ def coverage(roots: DataFrame) -> DataFrame:
         F.sum("b").alias("side_b"),
     )
     ply = ordering.nearest_rank(roots, [], "ply", QUANTILES)
-    for name in ("min", "median", "p95", "max"):
-        out = out.withColumn(f"ply_{name}", ply.select(name).scalar())
-    return out
+    names = ("min", "median", "p95", "max")
+    return out.withColumn("_ply", ordering.one_row(ply)).select(
+        *out.columns, *[F.col("_ply")[name].alias(f"ply_{name}") for name in names]
+    )
 
 
 def sample_summary(samples: DataFrame, key: list[str], value: str) -> DataFrame:

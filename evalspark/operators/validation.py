@@ -22,20 +22,25 @@ def violations(df: DataFrame, rules: dict[str, Column], key) -> DataFrame:
     unknown. One partial + final aggregation whatever the number of rules.
     """
     key = F.col(key) if isinstance(key, str) else key
-    bad = {name: F.coalesce(rule, F.lit(True)) for name, rule in rules.items()}
+    names = list(rules)
+    # Each rule becomes a boolean column first, so it is evaluated once for count and sample.
+    judged = df.select(
+        key.cast("string").alias("_key"),
+        *[F.coalesce(rules[name], F.lit(True)).alias(f"_r{i}") for i, name in enumerate(names)],
+    )
     measures = []
-    for i, (_, rule) in enumerate(bad.items()):
-        measures.append(F.count_if(rule).alias(f"n{i}"))
-        measures.append(F.min(F.when(rule, key.cast("string"))).alias(f"k{i}"))
+    for i in range(len(names)):
+        measures.append(F.count_if(F.col(f"_r{i}")).alias(f"n{i}"))
+        measures.append(F.min(F.when(F.col(f"_r{i}"), F.col("_key"))).alias(f"k{i}"))
     rows = [
         F.struct(
             F.lit(name).alias("rule"),
             F.col(f"n{i}").alias("n"),
             F.col(f"k{i}").alias("sample_key"),
         )
-        for i, name in enumerate(bad)
+        for i, name in enumerate(names)
     ]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    return judged.agg(*measures).select(F.inline(F.array(*rows)))
 
 
 def require_clean(report: DataFrame, what: str = "dataset") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from evalspark import bridge
 from evalspark.functions.scoring import r6
 from evalspark.operators import bootstrap, calibrate, gates, keys, scoring, summaries
-from evalspark.plans.expressions import FEATURED, SLICE_CASES
+from evalspark.plans.expressions import SLICE_CASES
 from evalspark.plans.identity import KEYED, keyed
 from evalspark.plans.registry import query
 from evalspark.plans.registry import r6_sql as R
@@ -170,7 +170,7 @@ GROUPS = ", (SELECT count(*) FROM stats)::BIGINT AS groups"
     DRAWN + " UNION ALL ".join(bounds_sql(m, extra=GROUPS) for m in METRICS),
 )
 def group_bootstrap(spark, sf):
-    out = bootstrap.score_intervals(evaluated(spark, sf), "game_id")
+    out = bootstrap.score_intervals(evaluated(spark, sf), "game_id").drop("point")
     return rounded(out, ("low", "high"))
 
 
@@ -181,7 +181,7 @@ def group_bootstrap(spark, sf):
 )
 def paired_deltas(spark, sf):
     out = bootstrap.score_intervals(evaluated(spark, sf), "game_id", ref="ref")
-    return rounded(out.where("metric like '%delta'"), ("low", "high"))
+    return rounded(out.where("metric like '%delta'").drop("point"), ("low", "high"))
 
 
 REPEATED = "WITH " + bridge.REPLICATES_SQL + """, measured AS (
@@ -317,13 +317,11 @@ def gate_reasons(spark, sf):
 def slice_gate(spark, sf):
     rows = featured_rows(spark, sf)
     labels = scoring.slice_names()
-    c = scoring.slice_scores(rows, labels)
-    b = scoring.slice_scores(rows, labels, None, "y", "ref").select(
-        "slice", F.col("log_loss").alias("ref_log_loss"), F.col("brier").alias("ref_brier")
-    )
-    games = rows.select("game_id", F.explode(labels).alias("slice")).distinct()
+    narrow = rows.select("game_id", "y", "p", "ref", F.explode(labels).alias("slice"))
+    both = scoring.paired_scores(narrow, "y", "p", "ref", ["slice"])
+    games = narrow.select("game_id", "slice").distinct()
     groups = games.groupBy("slice").agg(F.count(F.lit(1)).alias("groups"))
-    out = gates.slice_gate(c.join(b, "slice").join(groups, "slice"))
+    out = gates.slice_gate(both.join(groups, "slice"))
     return out.select("slice", "groups", F.array_join("reasons", ",").alias("reasons"))
 
 
@@ -405,8 +403,8 @@ STAT_SQL = " UNION ALL ".join(
 
 @query(
     "e18_train_standardisation",
-    FEATURED.replace(bridge.POSITIONS_SQL, bridge.SCORED_SQL).replace("FROM positions)", "FROM scored)")
-    + ", train AS (SELECT * FROM featured WHERE split = 'train' AND y IN (0, 1)) " + STAT_SQL,
+    S + f", train AS (SELECT *, {bridge.features_sql()} FROM scored "
+    + "WHERE split = 'train' AND y IN (0, 1)) " + STAT_SQL,
 )
 def train_standardisation(spark, sf):
     rows = scoring.decisive(bridge.scored(spark, sf), "y").where("split = 'train'")

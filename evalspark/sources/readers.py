@@ -183,9 +183,10 @@ def admit_groups(nested: DataFrame, declared: dict[str, int]) -> DataFrame:
     return nested
 
 
-def probes(spark: SparkSession, path: str) -> DataFrame:
-    """(id, fen, side, tags, note, columns, features), one row per probe."""
-    doc = spark.read.schema(schemas.PROBES).option("multiLine", True).json(path)
+def probes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """(id, fen, side, tags, note, columns, features), one row per probe. `multiline` reads one
+    object per file; otherwise one object per line, which splits."""
+    doc = spark.read.schema(schemas.PROBES).option("multiLine", multiline).json(path)
     return doc.select("columns", F.explode("probes").alias("p")).select("p.*", "columns")
 
 
@@ -195,9 +196,9 @@ def probe_features(probe_rows: DataFrame) -> DataFrame:
     return probe_rows.select("id", F.inline(pairs))
 
 
-def cost_evidence(spark: SparkSession, path: str) -> DataFrame:
+def cost_evidence(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """(probe, fen, schema, min_us, median_us, p95_us, max_us) from the nested maps."""
-    doc = spark.read.schema(schemas.COST_EVIDENCE).option("multiLine", True).json(path)
+    doc = spark.read.schema(schemas.COST_EVIDENCE).option("multiLine", multiline).json(path)
     per_probe = doc.select(F.explode("probes").alias("probe", "v"))
     per_schema = per_probe.select(
         "probe", "v.fen", F.explode("v.schemas").alias("schema", "m")
@@ -213,9 +214,9 @@ def feature_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def split_map(spark: SparkSession, path: str) -> DataFrame:
-    """(group_id, split) from one JSON object."""
-    text = spark.read.text(path, wholetext=True)
+def split_map(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """(group_id, split) from one JSON object per file, or per line."""
+    text = spark.read.text(path, wholetext=whole)
     pairs = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     return text.select(F.explode(pairs).alias("group_id", "split"))
 
