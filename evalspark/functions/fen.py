@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Piece letters in plane order, and the unit values of the material count.
 PIECES = "PNBRQK"
@@ -79,15 +80,25 @@ def count_letter(board: Column, letter: str) -> Column:
 
 def material_block(fen, side) -> Column:
     """array<float>[7]: five piece differences, the material difference and the total, with the
-    mover's pieces counted positive."""
-    board, mover = placement(fen), col(side)
-    white = {p: count_letter(board, p) for p in PIECE_VALUES}
-    black = {p: count_letter(board, p.lower()) for p in PIECE_VALUES}
-    sign = F.when(mover == "w", 1).when(mover == "b", -1)
-    parts = [sign * (white[p] - black[p]) for p in PIECE_VALUES]
-    balance = sum((white[p] - black[p]) * v for p, v in PIECE_VALUES.items())
-    total = sum((white[p] + black[p]) * v for p, v in PIECE_VALUES.items())
-    return F.array(*[c.cast("float") for c in [*parts, sign * balance, total]])
+    mover's pieces counted positive. Every letter is counted once per row."""
+    values = list(PIECE_VALUES.items())
+    n = len(values)
+    sign = F.when(col(side) == "w", 1).when(col(side) == "b", -1)
+
+    def counts(board: Column) -> Column:
+        white = [count_letter(board, p) for p, _ in values]
+        black = [count_letter(board, p.lower()) for p, _ in values]
+        return F.array(*white, *black)
+
+    def block(c: Column) -> Column:
+        diffs = [F.get(c, i) - F.get(c, n + i) for i in range(n)]
+        both = [F.get(c, i) + F.get(c, n + i) for i in range(n)]
+        balance = sum(d * v for d, (_, v) in zip(diffs, values))
+        total = sum(b * v for b, (_, v) in zip(both, values))
+        parts = [*[sign * d for d in diffs], sign * balance, total]
+        return F.array(*[x.cast("float") for x in parts])
+
+    return let(let(placement(fen), counts), block)
 
 
 SWAP_FROM = PIECES + PIECES.lower()
@@ -119,25 +130,21 @@ def twin_fen(fen) -> Column:
 
 def squares(board: Column) -> Column:
     """64 characters, square index = rank * 8 + file with rank 0 = White's back rank; empty is '.'."""
-    flat = F.array_join(F.reverse(F.split(board, "/")), "")
+    return spread(F.array_join(F.reverse(F.split(board, "/")), ""))
+
+
+def spread(board: Column) -> Column:
+    """Digits become that many dots; rank separators stay."""
     for digit in range(8, 0, -1):
-        flat = F.replace(flat, F.lit(str(digit)), F.lit("." * digit))
-    return flat
+        board = F.replace(board, F.lit(str(digit)), F.lit("." * digit))
+    return board
 
 
 def valid_placement(board: Column) -> Column:
-    """Eight ranks, each spelling exactly eight files with known letters.
-
-    Anything longer than 8 x 8 + 7 characters cannot be valid, so the regex cost is bounded."""
-    ranks = F.split(board, "/")
-    return F.coalesce(
-        (F.size(ranks) == 8)
-        & F.forall(
-            ranks,
-            lambda r: r.rlike(f"^[1-8{SWAP_FROM}]+$") & (F.length(squares(r)) == 8),
-        ),
-        F.lit(False),
-    )
+    """Eight ranks, each spelling exactly eight files with known letters."""
+    rank = f"[.{SWAP_FROM}]{{8}}"
+    plain = ~F.contains(board, F.lit("."))
+    return F.coalesce(plain & spread(board).rlike(f"^{rank}(/{rank}){{7}}$"), F.lit(False))
 
 
 def one_king_each(board: Column) -> Column:
@@ -156,7 +163,7 @@ def mover_squares(fen, side) -> Column:
     return squares(F.when(col(side) == "b", mirror_placement(board)).otherwise(board))
 
 
-@F.arrow_udf("array<float>")
+@F.arrow_udf(T.ArrayType(T.FloatType()))
 def board_planes(view: pa.Array) -> pa.Array:
     """array<float>[768]: 12 planes of 64 squares from a 64-character board; null stays null.
 
@@ -214,26 +221,29 @@ def king_relative_ids(fen, mover) -> Column:
     """
     letters = PIECES[:5] + PIECES[:5].lower()
 
-    def anchor_ids(view: Column, anchor: int, king: str) -> Column:
-        square = F.instr(view, king) - 1
-        bucket = F.floor((square % 8) / 2) + 4 * F.floor(F.floor(square / 8) / 2)
-
-        def ids(base: Column) -> Column:
-            return F.transform(
-                F.split(view, ""),
-                lambda c, i: F.when(
-                    F.instr(F.lit(letters), c) > 0,
-                    ((base + F.instr(F.lit(letters), c) - 1) * 64 + i).cast("int"),
-                ),
-            )
+    def pieces(view: Column) -> Column:
+        """category * 64 + square of every piece but the kings."""
+        cells = F.transform(
+            F.split(view, ""), lambda c, i: (F.instr(F.lit(letters), c) - 1) * 64 + i
+        )
+        return F.filter(cells, lambda x: x >= 0)
 
-        found = let((anchor * 16 + bucket) * 10, ids)
-        return F.array_sort(F.filter(found, lambda x: x.isNotNull()))
+    def base(view: Column, anchor: int, king: str) -> Column:
+        square = F.instr(view, king) - 1
+        bucket = F.shiftright(square % 8, 1) + 4 * F.shiftright(square, 4)
+        return (anchor * 16 + bucket) * 640
+
+    def anchored(view: Column) -> Column:
+        found = F.array_sort(pieces(view))
+        bases = F.array(base(view, 0, "K"), base(view, 1, "k"))
+        return let(
+            found,
+            lambda ids: F.transform(
+                bases, lambda at: F.transform(ids, lambda x: (x + at).cast("int"))
+            ),
+        )
 
     empty = F.array().cast("array<int>")
     return F.when(is_terminal(fen, mover), F.array(empty, empty)).otherwise(
-        let(
-            mover_squares(fen, mover),
-            lambda v: F.array(anchor_ids(v, 0, "K"), anchor_ids(v, 1, "k")),
-        )
+        let(mover_squares(fen, mover), anchored)
     )

@@ -72,10 +72,10 @@ def dot(features: Column, weights) -> Column:
 
 
 def close(a: Column, b: Column, tolerance: float) -> Column:
-    """Arrays of equal length whose elements differ by at most `tolerance`."""
-    same = F.size(a) == F.size(b)
-    near = F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) <= tolerance), lambda ok: ok)
-    return F.coalesce(same & near, F.lit(False))
+    """Arrays of equal length whose elements differ by at most `tolerance`. A missing partner makes
+    the difference null, which is not close."""
+    gaps = F.zip_with(a, b, lambda x, y: F.coalesce(F.abs(x - y) <= tolerance, F.lit(False)))
+    return F.coalesce(F.forall(gaps, lambda ok: ok), F.lit(False))
 
 
 def finite(value: Column) -> Column:

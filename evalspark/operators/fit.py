@@ -119,18 +119,27 @@ class Ranker:
         return sx.dot(F.col(features), self.raw_weights()) - shift
 
 
+def best_targets(cands: DataFrame, k: int, group: str, target: str) -> DataFrame:
+    """(group, best) of lists longer than k."""
+    stats = cands.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.max(target).alias("best"))
+    return stats.where(F.col("size") > k).select(group, "best")
+
+
 def recall(
-    cands: DataFrame, k: int, group: str = "group_id", target: str = "target", score: str = "score"
+    cands: DataFrame,
+    k: int,
+    group: str = "group_id",
+    target: str = "target",
+    score: str = "score",
+    best: DataFrame | None = None,
 ) -> float:
     """Share of lists longer than k whose shortlist keeps a best candidate."""
-    stats = cands.groupBy(group).agg(
-        F.count(F.lit(1)).alias("size"), F.max(target).alias("best")
-    )
+    best = best_targets(cands, k, group, target) if best is None else best
     picked = ranking.shortlist(cands, k, group, score).groupBy(group).agg(
         F.max(target).alias("kept")
     )
     row = (
-        picked.join(stats.where(F.col("size") > k), group)
+        picked.join(best, group)
         .agg(F.avg((F.col("kept") == F.col("best")).cast("double")).alias("r"))
         .first()
     )
@@ -174,6 +183,7 @@ def fit_ranker(
         cands.where(F.col(split) == "validation").select(group, target, "cand_idx", *x),
         "rank-validation",
     )
+    best_held = materialise(best_targets(held, k, group, target), "rank-best")
     sums = {f"p{i}": F.col(f"x{i}") for i in range(width)}
     pulls = ranking.gain_table(table, group, target, **sums)
     per_list = pulls.groupBy(group).agg(
@@ -203,7 +213,7 @@ def fit_ranker(
         m = 0.9 * m + 0.1 * gradient
         v = 0.999 * v + 0.001 * gradient**2
         w = w - rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + 1e-8)
-        measured = recall(scored(held, w), k, group, target)
+        measured = recall(scored(held, w), k, group, target, best=best_held)
         history.append({"epoch": epoch, "train_loss": float(loss), "recall_at_k": measured})
         if measured > best_recall:
             best_recall = measured

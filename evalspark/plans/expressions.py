@@ -201,23 +201,20 @@ def dice_encoding(spark, sf):
     P + f""", views AS (SELECT row_id, dice, {MOVER_VIEW} AS view FROM positions),
     hot AS (SELECT row_id, dice, {PLANE_INDEX} AS idx FROM views)
     SELECT row_id, 774::BIGINT AS width, len(idx)::BIGINT AS pieces,
-      list_sum(idx)::BIGINT AS index_sum, {R("1.0")} AS dice_total FROM hot""",
+      list_min(idx)::BIGINT AS first, {R("1.0")} AS dice_total FROM hot""",
 )
 def encode_position(spark, sf):
     rows = bridge.positions(spark, sf).select(
         "row_id", fx.encode_position("fen", "dice", "side").alias("v")
     )
-    board = rows.select(
-        "row_id", F.slice("v", 1, fx.BOARD_DIM).alias("x"), F.slice("v", 769, 6).alias("d"), "v"
-    )
-    total = F.aggregate("d", F.lit(0.0), lambda a, v: a + v)
-    weighted = F.aggregate(F.transform("x", lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v)
-    return board.select(
+    board = F.slice("v", 1, fx.BOARD_DIM)
+    dice = F.slice("v", fx.BOARD_DIM + 1, fx.DICE_DIM)
+    return rows.select(
         "row_id",
         F.size("v").cast("long").alias("width"),
-        F.aggregate("x", F.lit(0.0), lambda a, v: a + v).cast("long").alias("pieces"),
-        weighted.cast("long").alias("index_sum"),
-        r6(total).alias("dice_total"),
+        F.size(F.array_remove(board, 0.0)).cast("long").alias("pieces"),
+        (F.array_position("v", F.lit(1.0).cast("float")) - 1).alias("first"),
+        r6(F.aggregate(dice, F.lit(0.0), lambda a, v: a + v)).alias("dice_total"),
     )
 
 
