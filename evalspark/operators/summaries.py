@@ -130,14 +130,12 @@ def column_statistics(train: DataFrame, columns: list[str]) -> DataFrame:
 def _folded(digests: DataFrame, column: str, levels: int) -> DataFrame:
     """Digest tree: digests sharing a hex prefix are sorted and hashed together, level by level,
     until one remains. A node of the first level holds about rows / 16^levels digests."""
-    node = digests
-    for level in range(levels, -1, -1):
-        prefix = F.substring(column, 1, level) if level == levels else F.substring("_p", 1, level)
-        grouped = node.select(prefix.alias("_p"), column)
-        node = grouped.groupBy("_p").agg(
-            F.sha2(F.array_join(F.array_sort(F.collect_list(column)), ""), 256).alias(column)
-        )
-    return node
+    folded = F.sha2(F.array_join(F.array_sort(F.collect_list(column)), ""), 256).alias(column)
+    node = digests.withColumn("_p", F.col(column))
+    for level in range(levels, 0, -1):
+        prefix = F.substring("_p", 1, level).alias("_p")
+        node = node.groupBy(prefix).agg(folded)
+    return node.agg(folded)
 
 
 def content_digest(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def bundle(rows: DataFrame, path: str, record: dict[str, str]) -> dict:
     """Write rows and manifest to a staging directory, re-admit them by reading them back, then
     publish by rename. Rows are range-partitioned by (game, ply, id), so files follow the order."""
     spark = rows.sparkSession
-    staged = f"{path}.staged"
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
     if exists(spark, path):
         raise Refused(f"{path} already exists")
     rows.orderBy("game_id", "ply", "id").write.mode("errorifexists").json(f"{staged}/rows")
