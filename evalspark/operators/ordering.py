@@ -16,6 +16,8 @@ BUCKETS = 64
 SAMPLE_PER_BUCKET = 64
 # Largest group a single task may sort; above it a group is cut into buckets.
 WINDOW_ROWS = 1_000_000
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
 
 
 def as_columns(values) -> list[Column]:
@@ -164,23 +166,22 @@ def nearest_rank(
 
 
 def top_rows(
-    df: DataFrame, group: list[str], order: list, k: int, name: str = "position", salts: int = 16
+    df: DataFrame, group: list[str], order: list, k: int, name: str = "position", salts: int = 64
 ) -> DataFrame:
     """The first k rows of each group with their 1-based place.
 
-    Two rounds: k rows per (group, salt), then k of those per group, so no task sorts more than
-    k * salts rows of one group in the second round, and the first is spread over the salts.
+    Up to GROUP_LIMIT rows the planner limits every group inside each input task before the
+    exchange, so a group of any size reaches its reducer as at most k rows per task. Wider cuts do
+    not get that limit; they run in two rounds, k rows per (group, salt) and then k per group.
     """
     columns = as_columns(order)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
-    first = Window.partitionBy(*group, "_salt").orderBy(*columns)
-    second = Window.partitionBy(*group).orderBy(*columns)
-    kept = salted.withColumn(name, F.row_number().over(first)).where(F.col(name) <= k)
-    return (
-        kept.withColumn(name, F.row_number().over(second))
-        .where(F.col(name) <= k)
-        .drop("_salt")
-    )
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*columns))
+    if k > GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+        first = Window.partitionBy(*group, "_salt").orderBy(*columns)
+        df = salted.withColumn(name, F.row_number().over(first)).where(F.col(name) <= k)
+        df = df.drop("_salt", name)
+    return df.withColumn(name, place).where(F.col(name) <= k)
 
 
 def ordered_prefix(df: DataFrame, key: str, limit: int, small: int = 100_000) -> DataFrame:

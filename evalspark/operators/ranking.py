@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from evalspark.functions import hashing
 from evalspark.functions import scoring as sx
 from evalspark.operators import bootstrap, ordering
+from evalspark.session import materialise
 
 # Fixed value: shortlist widths of the report.
 WIDTHS = (1, 2, 8, 16, 24, 48)
@@ -54,9 +55,11 @@ def gain_table(
     with that target. Descending average rank -> 1 / rank^2, summing to one over the list.
 
     Candidates with equal targets always share their gain, so the table is as wide as the
-    distinct targets, not as the list. Extra `sums` ride along in the same pass.
+    distinct targets, not as the list. Extra `sums` ride along in the same pass. The histogram is
+    written once to the shared folder: sizing, ranking and every later use of the gains then read
+    this small table instead of scanning the candidates again.
     """
-    h = ordering.histogram(cands, [group], target, **sums)
+    h = materialise(ordering.histogram(cands, [group], target, **sums), "target-histogram")
     run = ordering.running_total(h, [group], [-F.col(target)], "n", "through")
     rank = F.col("through") - (F.col("n") - 1) / 2
     raw = run.withColumn("avg_rank", rank).withColumn("_raw", sx.inverse_square_gain(rank))

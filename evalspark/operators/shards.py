@@ -104,5 +104,5 @@ def assign_shards(df: DataFrame, game: str, ordinal: str, size: int) -> DataFram
 
 
 def sharded_rows(df: DataFrame, game: str, ordinal: str, size: int) -> DataFrame:
-    """Rows with their shard number and their game's place."""
-    return df.join(assign_shards(df, game, ordinal, size).select(game, "shard", "start"), game)
+    """Rows with their shard number and their game's row range."""
+    return df.join(assign_shards(df, game, ordinal, size), game)

@@ -38,12 +38,18 @@ def position_shards(
     df: DataFrame, path: str, size: int, game: str = "game_id", ordinal: str = "ordinal"
 ) -> str:
     """Shards of about `size` rows that never split a game: rows grouped by game in
-    first-appearance order, plies ordered. One directory per shard."""
+    first-appearance order, plies ordered. One directory per shard, one file in it unless a single
+    game is more than four shards long: its rows spread over several files of its own shard, so
+    that no task has to write a giant game alone."""
     placed = shards.sharded_rows(df, game, ordinal, size)
+    length = F.col("stop") - F.col("start")
+    pieces = F.when(length > 4 * size, F.ceil(length / size)).otherwise(1)
+    piece = F.pmod(F.xxhash64(ordinal), pieces)
     (
-        placed.repartition("shard")
+        placed.withColumn("_piece", piece)
+        .repartition("shard", "_piece")
         .sortWithinPartitions("shard", "start", "ply", ordinal)
-        .drop("start", ordinal)
+        .drop("start", "stop", "_piece", ordinal)
         .write.mode("errorifexists")
         .partitionBy("shard")
         .parquet(path)

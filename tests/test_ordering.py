@@ -53,7 +53,15 @@ def test_global_running_total(spark):
         assert got[k] == total
 
 
-@pytest.mark.parametrize("k", [1, 8])
+def test_group_limit_comes_before_the_exchange(spark, skewed):
+    """The hot group is cut inside each input task, not after being collected."""
+    top = ordering.top_rows(skewed.repartition(7), ["g"], [-F.col("s"), F.col("i")], 48)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "WindowGroupLimit" in x or "hashpartitioning(g" in x]
+    assert "Final" in lines[0] and "hashpartitioning" in lines[1] and "Partial" in lines[2]
+
+
+@pytest.mark.parametrize("k", [1, 8, 2000])
 def test_top_rows(spark, skewed, k):
     out = ordering.top_rows(skewed.repartition(7), ["g"], [-F.col("s"), F.col("i")], k)
     got = {}

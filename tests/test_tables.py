@@ -267,6 +267,28 @@ def test_stream_adds_every_file_once(spark, positions, tmp_path):
     assert spark.read.parquet(sink).count() == 6
 
 
+def test_giant_game_spreads_over_files_of_one_shard(spark, tmp_path):
+    i = F.col("id")
+    df = spark.range(900).select(
+        F.when(i < 600, F.lit("big")).otherwise(F.concat(F.lit("g"), (i % 30).cast("string")))
+        .alias("game_id"), i.alias("ply"), i.alias("ordinal"),
+    )
+    path = str(tmp_path / "shards")
+    # Tiny partitions would be merged again; at real sizes they are not.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    writers.position_shards(df, path, 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = spark.read.parquet(path).select("*", F.input_file_name().alias("f"))
+    per = {
+        r.game_id: (r.shards, r.files)
+        for r in stored.groupBy("game_id")
+        .agg(F.count_distinct("shard").alias("shards"), F.count_distinct("f").alias("files"))
+        .collect()
+    }
+    assert stored.count() == 900 and per["big"][0] == 1 and per["big"][1] > 4
+    assert all(v == (1, 1) for g, v in per.items() if g != "big")
+
+
 def test_report_is_exclusive(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0)], "k string, m double")
     path = str(tmp_path / "report")
