@@ -129,7 +129,8 @@ def hold_out_games(
 def first_games(df: DataFrame, game: str, ordinal: str, limit: int) -> DataFrame:
     """Rows of the `limit` games that appear first by `ordinal`."""
     starts = df.groupBy(game).agg(F.min(ordinal).alias("_start"))
-    return df.join(starts.orderBy("_start", game).limit(limit).select(game), game, "left_semi")
+    kept = ordering.first_rows(starts, ["_start", game], limit).select(game)
+    return df.join(kept, game, "left_semi")
 
 
 def distinct_roots(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A plain window sorts a whole group in one task. Here a group is cut along its own sort order into
 buckets of about equal size: the running total inside a bucket is a window over one bucket, and the
-totals of the earlier buckets come from a pre-aggregated table with at most `buckets` rows per
+totals of the earlier buckets come from a pre-aggregated table with one row per bucket and
 group. Split points are read from a hash sample of the keys; they only steer balance, the result is
 exact for any split points. Groups small enough for one task keep the plain window.
 """
@@ -12,8 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.session import materialise
+
 BUCKETS = 64
-SAMPLE_PER_BUCKET = 64
+MAX_BUCKETS = 1 << 16
+SAMPLE_PER_BUCKET = 16
 # Largest group a single task may sort; above it a group is cut into buckets.
 WINDOW_ROWS = 1_000_000
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
@@ -39,8 +42,8 @@ def largest_group(df: DataFrame, group: list[str]) -> int:
 def split_points(keyed: DataFrame, identity, buckets: int = BUCKETS) -> Column:
     """Up to buckets - 1 ascending values of `_key`, equally spaced in a hash sample.
 
-    Runs two small jobs (a count and the sample, about buckets * SAMPLE_PER_BUCKET keys); only the
-    split points reach the driver. They come back as a one-row subquery.
+    Runs two small jobs (a count and the sample, about buckets * SAMPLE_PER_BUCKET keys, at most
+    a million); only the split points reach the driver. They come back as a one-row subquery.
     """
     spark = keyed.sparkSession
     share = buckets * SAMPLE_PER_BUCKET / max(1, keyed.count())
@@ -69,6 +72,14 @@ def bucket_of(points: Column, key: Column, buckets: int = BUCKETS) -> Column:
     )
 
 
+def bucket_count(rows: int, window_rows: int = WINDOW_ROWS) -> int:
+    """A power of two that leaves about a quarter of `window_rows` per bucket."""
+    buckets = BUCKETS
+    while buckets < MAX_BUCKETS and buckets * window_rows < 4 * rows:
+        buckets *= 2
+    return buckets
+
+
 def keyed_by(df: DataFrame, order: list) -> DataFrame:
     return df.withColumn(
         "_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(as_columns(order))])
@@ -81,7 +92,6 @@ def running_total(
     order: list,
     value,
     name: str = "running",
-    buckets: int = BUCKETS,
     bucket: Column | None = None,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
@@ -96,9 +106,11 @@ def running_total(
     running = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keyed = keyed_by(df, order).withColumn("_amount", amount)
     if bucket is None:
-        if largest_group(df, group) <= window_rows:
+        largest = largest_group(df, group)
+        if largest <= window_rows:
             whole = running(Window.partitionBy(*group).orderBy("_key"))
             return keyed.withColumn(name, F.sum("_amount").over(whole)).select(*df.columns, name)
+        buckets = bucket_count(largest, window_rows)
         points = split_points(keyed, [*group, "_key"], buckets)
         cut = keyed.withColumn("_points", points).withColumn(
             "_bucket", bucket_of(F.col("_points"), F.col("_key"), buckets)
@@ -138,10 +150,11 @@ def nearest_rank(
 ) -> DataFrame:
     """sorted(values)[int(n * fraction)] per group, exact, plus min, max and n.
 
-    Works on the value histogram, so repeated values are counted before anything is sorted.
+    Works on the value histogram, so repeated values are counted before anything is sorted; the
+    histogram is written once and read by sizing, totals and ranks.
     """
     rows = df.where(F.col(value).isNotNull())
-    counts = histogram(rows, group, value)
+    counts = materialise(histogram(rows, group, value), "value-histogram")
     run = running_total(counts, group, [value], "n", "_through")
     totals = counts.groupBy(*group).agg(
         F.sum("n").alias("_total"), F.min(value).alias("min"), F.max(value).alias("max")
@@ -184,11 +197,19 @@ def top_rows(
     return df.withColumn(name, place).where(F.col(name) <= k)
 
 
+def first_rows(df: DataFrame, order: list, limit: int, small: int = 100_000) -> DataFrame:
+    """The first `limit` rows in a unique order. A short prefix is merged from per-task prefixes;
+    a long one is cut by rank, so that it is never gathered in one task."""
+    if limit <= small:
+        return df.orderBy(*as_columns(order)).limit(limit)
+    return row_numbers(df, [], order, "_rank").where(F.col("_rank") <= limit).drop("_rank")
+
+
 def ordered_prefix(df: DataFrame, key: str, limit: int, small: int = 100_000) -> DataFrame:
     """The first `limit` rows by a unique hex key. Large limits are cut by rank instead of being
     merged in one task: key prefixes are already evenly spread buckets."""
     if limit <= small:
         return df.orderBy(key).limit(limit)
-    prefix = F.conv(F.substring(F.col(key), 1, 3), 16, 10).cast("int")
+    prefix = F.conv(F.substring(F.col(key), 1, 5), 16, 10).cast("int")
     ranked = row_numbers(df, [], [key], "_rank", bucket=prefix)
     return ranked.where(F.col("_rank") <= limit).drop("_rank").orderBy(key)

@@ -382,7 +382,7 @@ def corpus_summary(
     cands: DataFrame, group: str = "group_id", target: str = "target", shortlist_width: int = 48
 ) -> DataFrame:
     """One row: lists, candidates, size quantiles, lists above the shortlist, tied lists."""
-    stats = list_stats(cands, group, target)
+    stats = materialise(list_stats(cands, group, target), "list-stats")
     sizes = ordering.nearest_rank(stats, [], "size", {"median": 0.5, "p95": 0.95})
     kinds = ordering.nearest_rank(stats, [], "distinct_targets", {"median": 0.5})
     out = stats.agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evalspark.functions import hashing
 from evalspark.functions import scoring as sx
 from evalspark.operators import ordering
+from evalspark.session import materialise
 
 # Upper edges of the latency report's list-size bands.
 SIZE_BANDS = (64, 128, 256, 512, 1024, 2048, 4096)
@@ -17,7 +18,9 @@ QUANTILES = {"median": 0.5, "p95": 0.95}
 def coverage(roots: DataFrame) -> DataFrame:
     """One row: roots, distinct games, roots per split and side, ply quantiles.
 
-    Games are counted per distinct game first; the split hash is evaluated once per game."""
+    The selection is written once, narrowed to what is counted. Games are counted per distinct
+    game first, so the split hash is evaluated once per game."""
+    roots = materialise(roots.select("game_id", "ply", "side"), "root-coverage")
     per_game = roots.groupBy("game_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("side") == "w").alias("w"),

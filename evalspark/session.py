@@ -52,17 +52,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives executor loss)."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once as parquet in the shared folder and read back: a checkpoint that keeps column
-    pruning and can be reused by many plans."""
+    """Write once as parquet in the shared folder and read back: a checkpoint that survives lost
+    executors, keeps column pruning and can be reused by many plans."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

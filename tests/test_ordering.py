@@ -104,9 +104,9 @@ def greedy(sizes, n):
     return out
 
 
-@pytest.mark.parametrize("size", [1, 5, 10, 33, 1000])
+@pytest.mark.parametrize("size", [1, 10, 1000])
 @pytest.mark.parametrize(
-    "sizes", [[3, 4, 5, 1, 1, 20, 2, 2, 2, 9, 10, 1], [1] * 40, [50], [7, 300, 1, 1, 1, 40]]
+    "sizes", [[3, 4, 5, 1, 1, 20, 2, 2, 2, 9, 10, 1], [1] * 70, [7, 300, 1, 1, 1, 40]]
 )
 def test_shards_match_the_sequential_fold(spark, sizes, size):
     rows, ordinal = [], 0
@@ -133,3 +133,16 @@ def test_interleaved_games_stay_whole(spark):
 def test_first_games(spark):
     df = spark.createDataFrame([("b", 0), ("a", 1), ("b", 2), ("c", 3)], "g string, o long")
     assert {r.g for r in keys.first_games(df, "g", "o", 2).collect()} == {"a", "b"}
+
+
+def test_first_rows_by_rank_equals_limit(spark):
+    df = spark.range(3000).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("k"), "id")
+    a = ordering.first_rows(df, ["k", "id"], 700)
+    b = ordering.first_rows(df.repartition(5), ["k", "id"], 700, small=10)
+    assert a.exceptAll(b).count() == 0 and b.count() == 700
+
+
+def test_bucket_count_grows_with_the_largest_group():
+    assert ordering.bucket_count(1000, 1_000_000) == 64
+    assert ordering.bucket_count(1_000_000_000, 1_000_000) == 4096
+    assert ordering.bucket_count(10**15, 1_000_000) == ordering.MAX_BUCKETS
