@@ -167,9 +167,12 @@ def fit_ranker(
     `patience` epochs and restores the best weights.
     """
     train = ranking.trainable(cands.where(F.col(split) == "train"), group)
-    stats = {
-        r["feature"]: r for r in ranking.standardisation(train, features, width).collect()
-    }
+    raw = materialise(train.select(group, target, features), "rank-train")
+    raw_held = materialise(
+        cands.where(F.col(split) == "validation").select(group, target, "cand_idx", features),
+        "rank-validation",
+    )
+    stats = {r["feature"]: r for r in ranking.standardisation(raw, features, width).collect()}
     mean = np.array([stats[i]["mean"] for i in range(width)])
     scale = np.array([stats[i]["scale"] for i in range(width)])
     x = [
@@ -178,11 +181,8 @@ def fit_ranker(
         )
         for i in range(width)
     ]
-    table = materialise(train.select(group, target, *x), "rank-train")
-    held = materialise(
-        cands.where(F.col(split) == "validation").select(group, target, "cand_idx", *x),
-        "rank-validation",
-    )
+    table = raw.select(group, target, *x)
+    held = raw_held.select(group, target, "cand_idx", *x)
     best_held = materialise(best_targets(held, k, group, target), "rank-best")
     sums = {f"p{i}": F.col(f"x{i}") for i in range(width)}
     pulls = ranking.gain_table(table, group, target, **sums)
