@@ -13,9 +13,10 @@ judges on its own.
    documents only the earliest goes on, the others are settled at once; so a passage that a third
    of all documents share sends one piece per block of documents.
 3. solve: each block of anchors judges its pieces.
-4. apply: the spans go back to the documents that have any.
+4. apply: the spans go back to their documents.
 
-All block counts follow the size of the corpus. The pieces are written once in the shared folder.
+All block counts follow the size of the corpus. The documents are shuffled once; the three steps that
+read them by block share that exchange.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.llm.texts import Texts, int64s, mixed, slices, span_hashes, texts_of
-from evalspark.session import materialise
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Bytes of documents whose arrays are held at once.
+SLICE_BYTES = 1 << 20
 #: Blocks of pieces for each block of anchors: pieces overlap, and a solver needs many arrays.
 PIECE_BLOCKS = 4
 #: A row's part: rows of one doc_id count as parts of one document, this far apart.
@@ -145,7 +147,7 @@ def _name_anchors(rule: Rule, blocks: int):
         block = table["block"][0].as_py()
         found = []
         ids = int64s(table["doc_id"], NO_ID)
-        for a, b in slices(table["text"]):
+        for a, b in slices(table["text"], SLICE_BYTES):
             doc, _, _, anchor, _, _ = runs(rule, texts_of(table["text"].slice(a, b - a)))
             if not rule.within:
                 pair = np.lexsort((ids[a:b][doc], anchor))
@@ -186,13 +188,9 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
 
 
 PIECE_SCHEMA = pa.schema(
-    [("kind", pa.int32()), ("key", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64())]
-    + [(x, pa.binary()) for x in ("docs", "starts", "sizes", "body")]
+    [("key", pa.int64()), ("block", pa.int64())] + [(x, pa.binary()) for x in ("docs", "starts", "sizes", "body")]
 )
-PIECE_DDL = (
-    "kind int, key bigint, block bigint, doc_id bigint, docs binary, starts binary, sizes binary, body binary"
-)
-PIECE, SPANS, DONE, OPEN = range(4)
+PIECE_DDL = "key bigint, block bigint, docs binary, starts binary, sizes binary, body binary"
 
 
 def _send_pieces(rule: Rule, blocks: int):
@@ -214,30 +212,18 @@ def _send_pieces(rule: Rule, blocks: int):
         ids = int64s(docs["doc_id"], NO_ID)
         whole = texts_of(docs["text"])
         shift = _parts(ids, whole) * PART
-        touched = np.zeros(len(ids), bool)
         got = []
-        for a, b in slices(docs["text"]) if len(known) else ():
+        for a, b in slices(docs["text"], SLICE_BYTES) if len(known) else ():
             doc, start, size, anchor, tokens, first = runs(rule, texts_of(docs["text"].slice(a, b - a)))
             name = (anchor >> np.uint64(32)) % np.uint64(blocks) << np.uint64(32)
             name |= anchor & np.uint64(0xFFFFFFFF)
             at = np.minimum(np.searchsorted(known, name), len(known) - 1)
             hit = np.flatnonzero(known[at] == name)
-            touched[a + doc[hit]] = True
             part = Pieces(None, None, np.concatenate(([0], np.cumsum(size[hit]))), None)
             begin = first[doc[hit]] + start[hit]
             index = np.repeat(begin - part.at[:-1], size[hit]) + np.arange(part.at[-1])
             got.append((ids[a:b][doc[hit]], start[hit] + shift[a:b][doc[hit]], size[hit], anchor[hit], tokens[index]))
-        for i in np.flatnonzero(~touched):
-            add(kind=DONE, block=block, doc_id=None if ids[i] == NO_ID else ids[i], body=whole.text(i))
-        for i in np.flatnonzero(touched):
-            add(
-                kind=OPEN,
-                block=block,
-                doc_id=None if ids[i] == NO_ID else ids[i],
-                starts=shift[i : i + 1].tobytes(),
-                body=whole.text(i),
-            )
-        if touched.any():
+        if got:
             doc, start, size, anchor, values = (np.concatenate(x) for x in zip(*got))
             pieces = Pieces(doc, start, np.concatenate(([0], np.cumsum(size))), values)
             order, group = pieces.classes()
@@ -248,7 +234,14 @@ def _send_pieces(rule: Rule, blocks: int):
                 stays = doc[order] == doc[order][lead]
             gone = order[~stays]
             if len(gone):
-                add(kind=SPANS, block=block, docs=doc[gone].tobytes(), starts=start[gone].tobytes(), sizes=size[gone].tobytes())
+                # A negative key: settled, passed on as it is.
+                add(
+                    key=-1 - block,
+                    block=block,
+                    docs=doc[gone].tobytes(),
+                    starts=start[gone].tobytes(),
+                    sizes=size[gone].astype(np.int32).tobytes(),
+                )
             stay = order[stays]
             # Piece blocks take other bits than anchor blocks, so that these split further.
             key = (anchor[stay] >> np.uint64(32)).astype(np.int64) % blocks * PIECE_BLOCKS
@@ -256,7 +249,6 @@ def _send_pieces(rule: Rule, blocks: int):
             for k, at in _split(key):
                 some = pieces.take(stay[at])
                 add(
-                    kind=PIECE,
                     key=k,
                     block=block,
                     docs=some.doc.tobytes(),
@@ -279,8 +271,11 @@ def _solve(rule: Rule, kind: str):
         sizes = [np.frombuffer(x, np.int32) for x in table["sizes"].to_pylist()]
         home = np.repeat(np.array(blocks, np.int64), [len(x) for x in sizes])
         at = np.concatenate(([0], np.cumsum(np.concatenate(sizes).astype(np.int64))))
-        values = np.concatenate([np.frombuffer(x, kind) for x in table["body"].to_pylist()])
-        piece, begin, size = rule.solve(Pieces(doc, start, at, values))
+        values = np.concatenate([np.frombuffer(x or b"", kind) for x in table["body"].to_pylist()])
+        if table["key"][0].as_py() < 0:
+            piece, begin, size = np.arange(len(doc)), np.zeros(len(doc), np.int64), np.concatenate(sizes)
+        else:
+            piece, begin, size = rule.solve(Pieces(doc, start, at, values))
         rows = {x: [] for x in SPAN_SCHEMA.names}
         for block, at in _split(home[piece]):
             rows["block"].append(block)
@@ -313,9 +308,12 @@ def _apply(rule: Rule):
         order = np.lexsort((start, doc))
         doc, start, size = doc[order], start[order], size[order]
         rows = {x: [] for x in OUT_SCHEMA.names}
-        for i, shift, text in zip(docs["doc_id"].to_pylist(), docs["starts"].to_pylist(), docs["body"].to_pylist()):
-            name = NO_ID if i is None else i
-            shift = int(np.frombuffer(shift, np.int64)[0])
+        if not docs.num_rows:
+            return pa.table(rows, OUT_SCHEMA)
+        ids = int64s(docs["doc_id"], NO_ID)
+        whole = texts_of(docs["text"])
+        for row, (i, name, part) in enumerate(zip(docs["doc_id"].to_pylist(), ids, _parts(ids, whole).tolist())):
+            shift, text = part * PART, whole.text(row)
             a, b = np.searchsorted(doc, name, "left"), np.searchsorted(doc, name, "right")
             lo, hi = a + np.searchsorted(start[a:b], [shift, shift + PART])
             cut = merged(start[lo:hi] - shift, size[lo:hi]) if hi > lo else (empty[0], empty[0])
@@ -329,21 +327,6 @@ def _apply(rule: Rule):
     return apply
 
 
-def _untouched(rule: Rule):
-    none = np.zeros(0, np.int64)
-
-    def batches(parts):
-        for batch in parts:
-            rows = {"doc_id": batch["doc_id"].to_pylist(), "n_tokens": [], "spans": [[]] * batch.num_rows, "kept": []}
-            for text in batch["body"].to_pylist():
-                n, kept = rule.keep(text, none, none)
-                rows["n_tokens"].append(n)
-                rows["kept"].append(kept)
-            yield from pa.table(rows, OUT_SCHEMA).to_batches()
-
-    return batches
-
-
 def without_repeats(docs: DataFrame, rule: Rule, kind: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, spans (removed token ranges, maximal, in order) and kept (binary) of each
     document. `kind` is the numpy type of the tokens."""
@@ -354,15 +337,5 @@ def without_repeats(docs: DataFrame, rule: Rule, kind: str, doc_id: str = "doc_i
     named = grouped.applyInArrow(_name_anchors(rule, blocks), "block bigint, bucket bigint, anchors binary")
     shared = named.groupBy("bucket").applyInArrow(_shared_anchors, "block bigint, bucket bigint, anchors binary")
     sent = placed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_pieces(rule, blocks), PIECE_DDL)
-    staged = materialise(sent, "pieces")
-    solved = (
-        staged.where(F.col("kind") == PIECE)
-        .select("key", "block", "docs", "starts", "sizes", "body")
-        .groupBy("key")
-        .applyInArrow(_solve(rule, kind), "block bigint, docs binary, starts binary, sizes binary")
-    )
-    settled = staged.where(F.col("kind") == SPANS).select("block", "docs", "starts", "sizes")
-    opened = staged.where(F.col("kind") == OPEN).select("block", "doc_id", "starts", "body")
-    changed = opened.groupBy("block").cogroup(solved.union(settled).groupBy("block")).applyInArrow(_apply(rule), OUT_DDL)
-    done = staged.where(F.col("kind") == DONE).select("doc_id", "body")
-    return done.mapInArrow(_untouched(rule), OUT_DDL).unionByName(changed)
+    solved = sent.groupBy("key").applyInArrow(_solve(rule, kind), "block bigint, docs binary, starts binary, sizes binary")
+    return placed.groupBy("block").cogroup(solved.groupBy("block")).applyInArrow(_apply(rule), OUT_DDL)
