@@ -271,6 +271,8 @@ def find_contamination(
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that are not contaminated, unchanged."""
-    found = find_contamination(docs, benchmark, **options)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    """The documents that are not contaminated, unchanged in all their columns."""
+    text = options.pop("text", "text")
+    apart = docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    found = find_contamination(apart, benchmark, **options)
+    return found.where(~F.col("contaminated")).select("row.*")

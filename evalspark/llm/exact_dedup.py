@@ -40,9 +40,10 @@ def normalised(text: str):
     return F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
-def _rows(read: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _rows(read: DataFrame, doc_id: str, text: str, *more) -> DataFrame:
     """What the state needs of each row: digest, size, identifier, locator."""
     return read.select(
+        *more,
         F.sha2(normalised(text), 256).alias("digest"),
         F.length(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("points"),
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -124,7 +125,7 @@ def exact_dedup(
     differ = materialise(differ, "collisions")
     if differ.isEmpty():
         return found
-    clash = _rows(batch_read, doc_id, text).withColumn("body", normalised(text))
+    clash = _rows(batch_read, doc_id, text, normalised(text).alias("body"))
     clash = clash.join(differ, "digest", "left_semi")
     best = clash.groupBy("digest", "body").agg(F.count("*").alias("n"), F.min(F.expr(BEST)).alias("best"))
     told = clash.join(best, ["digest", "body"]).select(

@@ -24,7 +24,8 @@ WIDTH, STEP = 8, 4
 EMBEDDING, FILTERS = 8, 24
 #: Bounds of the sample that the network is fitted on: documents, and bytes of one document.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16_384
-EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.01, 1e-5
+#: Steps of BATCH documents, however many there are.
+STEPS, BATCH, RATE, DECAY = 400, 64, 0.01, 1e-5
 PAD = 256
 THRESHOLD = 0.7
 
@@ -159,16 +160,18 @@ def train(texts: list[bytes], labels: list[int], seed: int = 0) -> Model:
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     rng = np.random.default_rng(seed)
     moments = [(np.zeros_like(x), np.zeros_like(x)) for x in model.parts()]
-    step, total = 0, EPOCHS * -(-len(y) // BATCH)
-    for _ in range(EPOCHS):
+    step = 0
+    while step < STEPS:
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
+            if step == STEPS:
+                break
             rows = order[at : at + BATCH]
             data = np.frombuffer(b"".join(texts[i] for i in rows), np.uint8)
             size = np.array([len(texts[i]) for i in rows], np.int64)
             cells, first = laid_out(data, np.cumsum(size) - size, np.cumsum(size))
             step += 1
-            rate = RATE * (1 - step / (total + 1))
+            rate = RATE * (1 - step / (STEPS + 1))
             for x, g, (m, v) in zip(model.parts(), _gradients(model, cells, first, y[rows], weight[rows]), moments):
                 g = g + DECAY * x
                 m += 0.1 * (g - m)
