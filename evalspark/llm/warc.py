@@ -1,12 +1,13 @@
 """WARC archives, written and read index first.
 
-Method: every writing task makes one archive and one index row per record (file, offset, length,
+Method: every writing task makes one archive (each record a gzip member) and one index row per record (file, offset, length,
 url, digest). A reader selects from the index alone, sorts the selected byte ranges of a file,
 joins those that are close, and reads each joined range once.
 """
 
 from __future__ import annotations
 
+import gzip
 import uuid
 
 import pyarrow as pa
@@ -78,12 +79,13 @@ def _write(folder: str):
                         if out is not None:
                             out.close()
                         # A new name for every attempt: a repeated task leaves no half-read file.
-                        name, at = f"{folder}/{uuid.uuid4().hex}.warc", 0
+                        name, at = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0
                         fs, path = pyarrow.fs.FileSystem.from_uri(name)
-                        out = fs.open_output_stream(path)
+                        out = fs.open_output_stream(path, compression=None)  # members are compressed here
                     payload = (r["payload"] or "").encode()
                     revisit = r["refers_to"] is not None
                     data = record(r["page_id"], r["url"], payload, r["digest"], r["refers_to"], revisit)
+                    data = gzip.compress(data, mtime=0)
                     out.write(data)
                     rows.append(
                         {
@@ -176,7 +178,8 @@ def _read(parts):
                     out = []
                     for i in held:
                         r = rows[at + i]
-                        headers, payload = parse(data[r["offset"] - offset : r["offset"] - offset + r["length"]])
+                        member = data[r["offset"] - offset : r["offset"] - offset + r["length"]]
+                        headers, payload = parse(gzip.decompress(member))
                         named = headers["WARC-Page-ID"]
                         out.append(
                             {
