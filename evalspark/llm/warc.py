@@ -22,6 +22,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 #: Ranges this close are read as one, up to this size (or one record).
 GAP_BYTES, RANGE_BYTES = 64 << 10, 8 << 20
+#: Records of so many bytes of a file are read by the same task.
+PIECE_BYTES = 8 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -198,9 +200,10 @@ def _read(parts):
 def read_records(index: DataFrame) -> DataFrame:
     """The records an index (or any selection of its rows) names, read by joined byte ranges:
     page_id, url, record_type, refers_to, declared_digest, payload (null for a revisit)."""
-    # One range of a file per 64 MB stays in one task, so that its records can be read together.
-    piece = F.floor(F.col("offset") / F.lit(64 << 20))
-    placed = index.select("file", "offset", "length", piece.alias("piece")).repartition("file", "piece")
+    # A task reads about PIECE_BYTES; its number cannot follow the index, whose rows are small.
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 1) // PIECE_BYTES)
+    piece = F.floor(F.col("offset") / F.lit(PIECE_BYTES))
+    placed = index.select("file", "offset", "length", piece.alias("piece")).repartition(tasks, "file", "piece")
     return placed.sortWithinPartitions("file", "offset").drop("piece").mapInArrow(_read, RECORDS)
 
 
@@ -208,6 +211,7 @@ def resolved(records: DataFrame) -> DataFrame:
     """Records with the size and SHA-1 of the full payload, taken from the bytes read; a revisit
     takes those of the response it refers to."""
     sized = records.withColumns({"bytes": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload")}).drop("payload")
+    sized = materialise(sized, "warc-records")  # the archives are read once
     known = sized.where("record_type = 'response'").select(
         F.col("page_id").alias("refers_to"), F.col("bytes").alias("full_bytes"), F.col("sha1").alias("full_sha1"), F.col("sha1").alias("declared_digest")
     )
