@@ -197,19 +197,38 @@ def top_rows(
     return df.withColumn(name, place).where(F.col(name) <= k)
 
 
-def first_rows(df: DataFrame, order: list, limit: int, small: int = 100_000) -> DataFrame:
-    """The first `limit` rows in a unique order. A short prefix is merged from per-task prefixes;
-    a long one is cut by rank, so that it is never gathered in one task."""
-    if limit <= small:
-        return df.orderBy(*as_columns(order)).limit(limit)
-    return row_numbers(df, [], order, "_rank").where(F.col("_rank") <= limit).drop("_rank")
-
-
-def ordered_prefix(df: DataFrame, key: str, limit: int, small: int = 100_000) -> DataFrame:
-    """The first `limit` rows by a unique hex key. Large limits are cut by rank instead of being
-    merged in one task: key prefixes are already evenly spread buckets."""
-    if limit <= small:
-        return df.orderBy(key).limit(limit)
-    prefix = F.conv(F.substring(F.col(key), 1, 5), 16, 10).cast("int")
-    ranked = row_numbers(df, [], [key], "_rank", bucket=prefix)
-    return ranked.where(F.col("_rank") <= limit).drop("_rank").orderBy(key)
+def _prefix_rows(cut: DataFrame, order: str, limit: int) -> DataFrame:
+    """The first `limit` rows when `_bucket` never decreases along the unique `order`. Rows are
+    counted per bucket; buckets below the cut stay whole and only rows inside the last one are
+    ranked, so no task sees more than one bucket."""
+    counts = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    through = F.sum("n").over(Window.orderBy("_bucket"))
+    counts = counts.select("_bucket", (through - F.col("n")).alias("before")).where(
+        F.col("before") < limit
+    )
+    last = counts.agg(F.max("_bucket").alias("bucket"), F.max("before").alias("before"))
+    kept = cut.withColumn("_last", one_row(last)).where(F.col("_bucket") <= F.col("_last.bucket"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
+    inside = (F.col("_bucket") < F.col("_last.bucket")) | (
+        F.col("_place") <= limit - F.col("_last.before")
+    )
+    return kept.withColumn("_place", place).where(inside).drop("_bucket", "_last", "_place")
+
+
+def first_rows(df: DataFrame, order: list, limit: int) -> DataFrame:
+    """The first `limit` rows in a unique order, cut by rank from the counts of sampled key ranges,
+    whatever the limit."""
+    keyed = keyed_by(df, order)
+    buckets = bucket_count(keyed.count())
+    points = split_points(keyed, ["_key"], buckets)
+    cut = keyed.withColumn("_points", points).withColumn(
+        "_bucket", bucket_of(F.col("_points"), F.col("_key"), buckets)
+    )
+    return _prefix_rows(cut.drop("_points"), "_key", limit).select(*df.columns)
+
+
+def ordered_prefix(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """The first `limit` rows by a unique hex key, in its order. The first four digits of a hash
+    are evenly spread buckets, so rows are counted by them and only one bucket is ranked."""
+    cut = df.withColumn("_bucket", F.substring(F.col(key), 1, 4))
+    return _prefix_rows(cut, key, limit).orderBy(key)

@@ -94,8 +94,8 @@ def schema_alignment(
 def prediction_parity(
     left: DataFrame, right: DataFrame, key: str, value: str, tolerance: float = 1e-6
 ) -> DataFrame:
-    """One row: shared, missing, extra, null answers, rows beyond the tolerance, the largest
-    absolute error, and whether the two runs agree."""
+    """One row: shared, missing, extra, repeated keys, null answers, rows beyond the tolerance, the
+    largest absolute error, and whether the two runs agree; a repeated key fails."""
     pairs = side_by_side(left, right, [key], [value])
     error = F.abs(F.col(f"l_{value}") - F.col(f"r_{value}"))
     shared = (F.col("n_left") > 0) & (F.col("n_right") > 0)
@@ -104,13 +104,14 @@ def prediction_parity(
         F.count_if(shared).alias("shared"),
         F.count_if(F.col("n_right") == 0).alias("missing"),
         F.count_if(F.col("n_left") == 0).alias("extra"),
+        F.count_if((F.col("n_left") > 1) | (F.col("n_right") > 1)).alias("repeated"),
         F.count_if(shared & unknown).alias("null_answers"),
         F.count_if(shared & (error > tolerance)).alias("beyond_tolerance"),
         F.max(error).alias("max_abs_error"),
     )
     return report.withColumn(
         "passed",
-        (F.col("missing") + F.col("extra") + F.col("null_answers") == 0)
+        (F.col("missing") + F.col("extra") + F.col("repeated") + F.col("null_answers") == 0)
         & (F.coalesce("max_abs_error", F.lit(float("inf"))) <= tolerance),
     )
 
@@ -118,8 +119,8 @@ def prediction_parity(
 def stored_against_expected(
     stored: DataFrame, expected: DataFrame, keys: list[str], tolerance: float = 1e-6
 ) -> DataFrame:
-    """Counters of a stored candidate table against the expected one: missing, extra, result,
-    side, feature (beyond `tolerance`) and terminal-label mismatches. Both sides carry
+    """Counters of a stored candidate table against the expected one: missing, extra, repeated
+    keys (on either side), result, side, feature (beyond `tolerance`) and terminal-label mismatches. Both sides carry
     result_fen, side, features and terminal."""
     columns = ["result_fen", "side", "features", "terminal"]
     pairs = side_by_side(stored, expected, keys, columns)
@@ -129,6 +130,7 @@ def stored_against_expected(
         F.count_if(F.col("n_left") > 0).alias("stored"),
         F.count_if(F.col("n_left") == 0).alias("missing"),
         F.count_if(F.col("n_right") == 0).alias("extra"),
+        F.count_if((F.col("n_left") > 1) | (F.col("n_right") > 1)).alias("repeated"),
         F.count_if(shared & (F.col("l_result_fen") != F.col("r_result_fen"))).alias(
             "result_mismatches"
         ),

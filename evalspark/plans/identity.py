@@ -141,7 +141,9 @@ def ownership(spark, sf):
     SELECT count(*) FILTER (WHERE g.group_id IS NOT NULL AND m.group_id IS NOT NULL)::BIGINT
       AS assigned, count(*) FILTER (WHERE m.group_id IS NULL)::BIGINT AS unassigned,
       count(*) FILTER (WHERE g.group_id IS NULL)::BIGINT AS unknown_groups,
-      count(*) FILTER (WHERE split = 'other')::BIGINT AS bad_split
+      count(*) FILTER (WHERE split = 'other')::BIGINT AS bad_split,
+      (SELECT count(*) FROM supplier WHERE s_suppkey % 11 <> 4 AND s_suppkey % 17 = 6)::BIGINT
+        AS repeated
     FROM g FULL JOIN m USING (group_id)""",
 )
 def frozen_splits(spark, sf):
@@ -158,7 +160,11 @@ def frozen_splits(spark, sf):
     foreign = suppliers.where(k % 13 == 5).select(
         F.concat(F.lit("x"), k.cast("string")).alias("group_id"), F.lit("train").alias("split")
     )
-    return readers.frozen_splits(bridge.candidates(spark, sf), known.unionByName(foreign))
+    again = suppliers.where((k % 11 != 4) & (k % 17 == 6)).select(
+        F.concat(F.lit("s"), k.cast("string")).alias("group_id"), named.alias("split")
+    )
+    assigned = known.unionByName(foreign).unionByName(again)
+    return readers.frozen_splits(bridge.candidates(spark, sf), assigned)
 
 
 ROOTS = P + f""", rooted AS (
@@ -359,16 +365,14 @@ def union(spark, sf):
 
 
 ACTIVE = (
-    "WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'), "
-    "b AS (SELECT DISTINCT p_partkey AS k FROM part WHERE p_size > 25)"
+    "WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), "
+    "b AS (SELECT DISTINCT event_id AS k FROM events)"
 )
 
 
 def _two_sets(spark, sf):
-    a = bridge.read(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
-        F.col("l_partkey").alias("k")
-    )
-    b = bridge.read(spark, sf, "part").where("p_size > 25").select(F.col("p_partkey").alias("k"))
+    a = bridge.read(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
+    b = bridge.read(spark, sf, "events").select(F.col("event_id").alias("k"))
     return a, b
 
 

@@ -317,14 +317,15 @@ def bundle_sink(spark, sf):
 
 @query(
     "a15_enriched_sink",
-    f"""SELECT 'S0' AS feature_schema, '0.9.3' AS engine_version, count(*)::BIGINT AS rows,
+    f"""SELECT 'S1' AS feature_schema, '0.9.3' AS engine_version, count(*)::BIGINT AS rows,
       {6 + len(schemas.S1)}::INTEGER AS width FROM orders""",
 )
 def enriched_sink(spark, sf):
     path = scratch_path(spark, "enriched")
     rows = bridge.feature_columns(bridge.positions(spark, sf), schemas.S1)
-    writers.enriched(rows, path, schemas.S1, IDENTITY)
-    df = readers.enriched(spark, path, columns=schemas.S1, expected=IDENTITY)
+    identity = {**IDENTITY, "feature_schema": "S1", "columns": ",".join(schemas.S1)}
+    writers.enriched(rows, path, schemas.S1, identity)
+    df = readers.enriched(spark, path, columns=schemas.S1, expected=identity)
     found = readers.field_metadata(df)
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(found["feature_schema"]).alias("feature_schema"),

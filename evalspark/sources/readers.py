@@ -30,9 +30,18 @@ def require_schema(df: DataFrame, expected: T.StructType, what: str) -> DataFram
 
 
 def positions(spark: SparkSession, *paths: str, version: str | None = None) -> DataFrame:
-    """Position shards of one or more directories. With `version`, every file's footer must carry
-    it."""
+    """Position shards of one or more directories. Every file must have all columns in their exact
+    types; with `version`, every file's footer must carry it."""
     df = require_schema(spark.read.parquet(*paths), schemas.POSITION, "position shards")
+    for variant in file_layouts(spark, *paths).collect():
+        problems = [
+            f"missing {f.name}" if f.name not in variant.columns
+            else f"{f.name} is {variant.columns[f.name]} in a file"
+            for f in schemas.POSITION.fields
+            if variant.columns.get(f.name) != ARROW_NAMES[f.dataType.simpleString()]
+        ]
+        if problems:
+            raise Refused("position shards refused: " + "; ".join(problems))
     if version is not None:
         bad = footers(spark, *paths).where(
             ~F.coalesce(F.try_element_at("metadata", F.lit("schema_version")) == version, F.lit(False))
@@ -49,9 +58,11 @@ def with_ordinal(df: DataFrame) -> DataFrame:
 
 
 def export(spark: SparkSession, *paths: str) -> DataFrame:
-    """Header CSV, plain or gzip. Columns are found by name, whatever their order; a value that
-    does not parse becomes null and is caught by the row rules."""
-    raw = spark.read.option("header", True).csv(list(paths))
+    """Header CSV, plain or gzip. Columns are found by name, whatever their order, which must be
+    the same in all files: every file's own header is compared when it is read, and one that
+    differs fails the job. A value that does not parse becomes null and is caught by the row
+    rules."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(list(paths))
     missing = [c for c in schemas.EXPORT_COLUMNS if c not in raw.columns]
     if missing:
         raise Refused(f"export refused: missing {missing}")
@@ -80,8 +91,24 @@ def to_positions(export_df: DataFrame) -> DataFrame:
     )
 
 
+# How a footer names the types of the position columns.
+ARROW_NAMES = {"string": "string", "int": "int32", "float": "float"}
+ROW_METADATA = "org.apache.spark.sql.parquet.row.metadata"
+
+
+def file_layouts(spark: SparkSession, *paths: str) -> DataFrame:
+    """(columns, identity, files): the distinct layouts of all parquet files. `columns` maps names
+    to types, `identity` is the stored row schema with its field metadata. A healthy table has one."""
+    found = footers(spark, *paths)
+    layout = F.sort_array(F.map_entries("columns")).alias("layout")
+    identity = F.try_element_at("metadata", F.lit(ROW_METADATA)).alias("identity")
+    distinct = found.groupBy(layout, identity).agg(F.count(F.lit(1)).alias("files"))
+    return distinct.select(F.map_from_entries("layout").alias("columns"), "identity", "files")
+
+
 def footers(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, rows, metadata): key/value metadata of every parquet file, read by the executors.
+    """(path, rows, metadata, columns): key/value metadata and column types of every parquet file,
+    read by the executors.
 
     Only file listings and footers are touched; file contents are not loaded.
     """
@@ -102,15 +129,18 @@ def footers(spark: SparkSession, *paths: str) -> DataFrame:
             for path in pdf["path"]:
                 system, inner = pafs.FileSystem.from_uri(path)
                 with system.open_input_file(inner) as handle:
-                    footer = pq.ParquetFile(handle).metadata
+                    opened = pq.ParquetFile(handle)
+                    footer = opened.metadata
+                    columns = {f.name: str(f.type) for f in opened.schema_arrow}
                 pairs = {
                     k.decode(): v.decode("utf-8", "replace")
                     for k, v in (footer.metadata or {}).items()
                 }
-                out.append((path, footer.num_rows, pairs))
-            yield pd.DataFrame(out, columns=["path", "rows", "metadata"])
+                out.append((path, footer.num_rows, pairs, columns))
+            yield pd.DataFrame(out, columns=["path", "rows", "metadata", "columns"])
 
-    return listed.mapInPandas(read, "path string, rows long, metadata map<string,string>")
+    ddl = "path string, rows long, metadata map<string,string>, columns map<string,string>"
+    return listed.mapInPandas(read, ddl)
 
 
 def metadata_violations(spark: SparkSession, expected: dict[str, str], *paths: str) -> DataFrame:
@@ -126,8 +156,10 @@ def enriched(
     spark: SparkSession, *paths: str, columns=schemas.S0, expected: dict[str, str] | None = None
 ) -> DataFrame:
     """Enriched shards of one feature schema and engine. The identity is taken from the field
-    metadata and must match exactly; so must the column layout."""
+    metadata and must match exactly; so must the column layout, in every file."""
     df = spark.read.parquet(*paths)
+    if len(file_layouts(spark, *paths).take(2)) > 1:
+        raise Refused("enriched shards refused: files differ in identity or layout")
     actual = field_metadata(df)
     for k, v in (expected or {}).items():
         if actual.get(k) != v:
@@ -222,13 +254,17 @@ def split_map(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
 
 
 def frozen_splits(cands: DataFrame, assigned: DataFrame, group: str = "group_id") -> DataFrame:
-    """One row: assigned lists found, lists without a split, assignments without a list, and
-    assignments outside the allowed names."""
+    """One row: assigned lists found, lists without a split, assignments without a list,
+    assignments outside the allowed names, and lists assigned more than once."""
     found = cands.select(group).distinct().select(
         group, F.lit(None).cast("string").alias("split"), F.lit(1).alias("here")
     )
     both = found.unionByName(assigned.select(group, "split", F.lit(0).alias("here")))
-    per = both.groupBy(group).agg(F.max("here").alias("here"), F.max("split").alias("split"))
+    per = both.groupBy(group).agg(
+        F.max("here").alias("here"),
+        F.max("split").alias("split"),
+        F.count_if(F.col("here") == 0).alias("times"),
+    )
     return per.agg(
         F.count_if((F.col("here") == 1) & F.col("split").isNotNull()).alias("assigned"),
         F.count_if(F.col("split").isNull()).alias("unassigned"),
@@ -236,4 +272,5 @@ def frozen_splits(cands: DataFrame, assigned: DataFrame, group: str = "group_id"
         F.count_if(
             F.col("split").isNotNull() & ~F.col("split").isin(*schemas.FROZEN_SPLITS)
         ).alias("bad_split"),
+        F.count_if(F.col("times") > 1).alias("repeated"),
     )

@@ -25,7 +25,19 @@ S0 = (
     "queen_capture_attack",
     "queen_capture_danger",
 )
-MOBILITY = tuple(f"{who}_moves_{p}" for who in ("own", "opp") for p in "pnbrqk") + (
+MOBILITY = (
+    "own_moves_p",
+    "own_moves_n",
+    "own_moves_b",
+    "own_moves_r",
+    "own_moves_q",
+    "own_moves_k",
+    "opp_moves_p",
+    "opp_moves_n",
+    "opp_moves_b",
+    "opp_moves_r",
+    "opp_moves_q",
+    "opp_moves_k",
     "own_pdi",
     "opp_pdi",
 )
@@ -38,16 +50,8 @@ PAWNS = (
 S1 = S0 + MOBILITY
 S2 = S1 + PAWNS
 FEATURE_SETS = {"S0": S0, "S1": S1, "S2": S2}
-RANK_COLUMNS = S0[:9]
-SAFETY_COLUMNS = RANK_COLUMNS + (
-    "own_attacked",
-    "own_attacked_undefended",
-    "opponent_attacked",
-    "opponent_attacked_undefended",
-)
 TERMINAL_TARGET = 2147483647
 FROZEN_SPLITS = ("train", "early_stop", "screen")
-METADATA_KEYS = ("feature_schema", "engine_version", "ruleset", "perspective", "columns")
 
 POSITION = T.StructType(
     [

@@ -100,7 +100,14 @@ def bundle(rows: DataFrame, path: str, record: dict[str, str]) -> dict:
 
 def enriched(df: DataFrame, path: str, columns, identity: dict[str, str]) -> str:
     """Base + feature columns as snappy parquet. The identity rides on the first field's metadata,
-    which round-trips through the file schema."""
+    which round-trips through the file schema; one that names other columns or another feature set
+    than those written is refused."""
+    named = identity.get("columns")
+    if named is not None and named != ",".join(columns):
+        raise Refused("enriched sink refused: identity names other columns")
+    layout = schemas.FEATURE_SETS.get(identity.get("feature_schema"))
+    if layout is not None and tuple(layout) != tuple(columns):
+        raise Refused("enriched sink refused: feature schema has other columns")
     first, *rest = list(schemas.POSITION_COLUMNS)
     out = df.select(
         F.col(first).alias(first, metadata=identity),
@@ -171,7 +178,7 @@ def root_record(
 
 
 def record(df: DataFrame, path: str) -> str:
-    df.coalesce(1).write.mode("errorifexists").json(path)
+    df.repartition(1).write.mode("errorifexists").json(path)
     return path
 
 
@@ -188,7 +195,7 @@ def tidy(section: str, df: DataFrame, key: str | None, metrics: list[str]) -> Da
 
 def report(tables: list[DataFrame], path: str, overwrite: bool = False) -> str:
     """All report sections as one tidy table; exclusive unless told otherwise."""
-    keys.union_all(tables).coalesce(1).write.mode(
+    keys.union_all(tables).repartition(1).write.mode(
         "overwrite" if overwrite else "errorifexists"
     ).parquet(path)
     return path

@@ -39,5 +39,10 @@ def stream_files(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    # Spark keeps the progress of the last batches only, so it is gathered while they run.
+    rows_of: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        rows_of.update((p["batchId"], p["numInputRows"]) for p in query.recentProgress)
+    return sum(rows_of.values())

@@ -84,6 +84,38 @@ def test_export_reads_gzip_by_column_name(spark, tmp_path):
     assert [(r.dice, r.result) for r in rows] == [("PNB", 1.0), ("QQK", 1.0), ("QQK", 0.5)]
 
 
+def test_every_file_is_admitted(spark, positions, tmp_path):
+    good, short, wide = (str(tmp_path / n) for n in ("good", "short", "wide"))
+    positions.write.parquet(good)
+    positions.drop("dice").write.parquet(short)
+    positions.withColumn("result", F.col("result").cast("double")).write.parquet(wide)
+    with pytest.raises(Refused, match="missing dice"):
+        readers.positions(spark, good, short)
+    with pytest.raises(Refused, match="result is double"):
+        readers.positions(spark, good, wide)
+    columns = schemas.S0
+    rows = enriched(positions, columns)
+    identity = {"feature_schema": "S0", "engine_version": "0.9.3", "columns": ",".join(columns)}
+    paths = [str(tmp_path / n) for n in ("one", "two", "three")]
+    writers.enriched(rows, paths[0], columns, identity)
+    writers.enriched(rows, paths[1], columns, {**identity, "engine_version": "0.9.2"})
+    rows.withColumn("more", F.lit(1.0)).write.parquet(paths[2])
+    for other in paths[1:]:
+        with pytest.raises(Refused, match="differ"):
+            readers.enriched(spark, paths[0], other, expected=identity)
+    with pytest.raises(Refused, match="identity names other"):
+        writers.enriched(rows, str(tmp_path / "four"), columns[:3], identity)
+
+
+def test_export_with_two_headers_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("game_id,turn_number,fen,dice,side,result\ng1,0,f,pnb,w,1\n")
+    (tmp_path / "b.csv").write_text("result,game_id,turn_number,fen,dice,side\n1,g2,0,f,pnb,w\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    assert readers.export(spark, paths[1]).first().game_id == "g2"
+    with pytest.raises(Exception, match="header"):
+        readers.export(spark, *paths).collect()
+
+
 def test_export_without_a_column_is_refused(spark, tmp_path):
     path = tmp_path / "export.csv"
     path.write_text("game_id,fen\ng1,x\n")
@@ -106,7 +138,10 @@ def test_enriched_round_trip_and_refusals(spark, positions, tmp_path):
     with pytest.raises(Refused, match="missing own_moves_p"):
         readers.enriched(spark, path, columns=schemas.S1)
     extra = str(tmp_path / "extra")
-    writers.enriched(enriched(positions, schemas.S1), extra, schemas.S1, identity)
+    with pytest.raises(Refused, match="feature schema"):
+        writers.enriched(enriched(positions, schemas.S1), extra, schemas.S1, identity)
+    wide = {**identity, "feature_schema": "S1"}
+    writers.enriched(enriched(positions, schemas.S1), extra, schemas.S1, wide)
     with pytest.raises(Refused, match="unexpected own_moves_p"):
         readers.enriched(spark, extra, columns=schemas.S0)
 
@@ -226,6 +261,11 @@ def test_reconciliation_survives_repeated_keys(spark):
     assert (row.shared, row.missing, row.extra, row.repeated, row.mismatch_p) == (2, 1, 1, 1, 1)
     parity = reconcile.prediction_parity(left, right, "k", "p").first()
     assert not parity.passed and parity.max_abs_error == pytest.approx(0.1)
+    ones = spark.createDataFrame([(1, 0.5), (2, 0.5)], "k int, p double")
+    twice = ones.union(spark.createDataFrame([(1, 0.9)], ones.schema))
+    parity = reconcile.prediction_parity(ones, twice, "k", "p").first()
+    assert (parity.passed, parity.repeated) == (False, 1)
+    assert reconcile.prediction_parity(ones, ones, "k", "p").first().passed
 
 
 def test_pair_tie_is_a_failure(spark):
@@ -244,6 +284,8 @@ def test_frozen_split_counts(spark):
     )
     row = readers.frozen_splits(cands, splits).first()
     assert (row.assigned, row.unassigned, row.unknown_groups, row.bad_split) == (1, 1, 1, 0)
+    twice = splits.union(spark.createDataFrame([("a", "screen")], splits.schema))
+    assert (row.repeated, readers.frozen_splits(cands, twice).first().repeated) == (0, 1)
 
 
 def test_long_lists_continue_on_further_lines(spark):
@@ -263,10 +305,27 @@ def test_stream_adds_every_file_once(spark, positions, tmp_path):
     enrich.stream_files(*args)
     assert spark.read.parquet(sink).count() == 3
     positions.write.mode("append").parquet(source)
-    enrich.stream_files(*args)
+    assert enrich.stream_files(*args) == 3
     assert spark.read.parquet(sink).count() == 6
 
 
+def test_stream_counts_more_batches_than_spark_remembers(spark, positions, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        positions.repartition(3).write.parquet(source)
+        for _ in range(3):
+            positions.repartition(3).write.mode("append").parquet(source)
+        files = len(list((tmp_path / "in").glob("*.parquet")))
+        found = enrich.stream_files(
+            spark, source, schemas.POSITION, lambda d: d.select("game_id"), sink, state, files_per_batch=1
+        )
+        assert files > 6 and found == 12
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
 def test_giant_game_spreads_over_files_of_one_shard(spark, tmp_path):
     i = F.col("id")
     df = spark.range(900).select(
@@ -309,49 +368,6 @@ def test_scoring_refuses_wrong_width_and_non_finite(spark):
     assert models.score_rows(df, "x", good).first().score == 1.0
 
 
-def varint(n):
-    out = b""
-    while n > 127:
-        out += bytes([n & 127 | 128])
-        n >>= 7
-    return out + bytes([n])
-
-
-def field(number, payload):
-    if isinstance(payload, int):
-        return varint(number << 3) + varint(payload)
-    if isinstance(payload, str):
-        payload = payload.encode()
-    return varint(number << 3 | 2) + varint(len(payload)) + payload
-
-
-def tiny_model(weights):
-    """Wire bytes of a one-node graph: output = MatMul(input, w)."""
-
-    def tensor_type(name, *dims):
-        shape = b"".join(field(1, field(2, d) if isinstance(d, str) else field(1, d)) for d in dims)
-        return field(1, name) + field(2, field(1, field(1, 1) + field(2, shape)))
-
-    w = np.asarray(weights, dtype="<f4").reshape(-1, 1)
-    init = field(1, w.shape[0]) + field(1, 1) + field(2, 1) + field(8, "w") + field(9, w.tobytes())
-    node = field(1, "input") + field(1, "w") + field(2, "output") + field(4, "MatMul")
-    graph = (
-        field(1, node) + field(2, "g") + field(5, init)
-        + field(11, tensor_type("input", "n", w.shape[0])) + field(12, tensor_type("output", "n", 1))
-    )
-    return field(1, 8) + field(7, graph) + field(8, field(1, "") + field(2, 13))
-
-
-def test_stored_model_scores_like_its_weights(spark, tmp_path):
-    pytest.importorskip("onnxruntime")
-    path = tmp_path / "model.onnx"
-    path.write_bytes(tiny_model([0.5, -2.0, 4.0]))
-    df = spark.createDataFrame([([float(i), 1.0, 2.0],) for i in range(50)], "x array<double>")
-    scorer = models.batch_scorer(models.onnx_session(spark, str(path)), 3, rows=7)
-    got = sorted(r.score for r in models.score_rows(df.repartition(3), "x", scorer).collect())
-    assert got == pytest.approx(sorted(0.5 * i - 2 + 8 for i in range(50)))
-
-
 def test_soft_labels_become_weighted_rows(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 0.0), (3, 0.5)], "i int, y double")
     rows = fit.soft_label_rows(df).select("i", "label", "weight").collect()
