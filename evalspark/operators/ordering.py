@@ -1,10 +1,11 @@
 """Ranks, running totals and top-k that stay distributed when one group holds most of the rows.
 
-A plain window sorts a whole group in one task. Here a group is cut along its own sort order into
-buckets of about equal size: the running total inside a bucket is a window over one bucket, and the
-totals of the earlier buckets come from a pre-aggregated table with one row per bucket and
-group. Split points are read from a hash sample of the keys; they only steer balance, the result is
-exact for any split points. Groups small enough for one task keep the plain window.
+A plain window sorts a whole group in one task. Where a group is too large for that, the rows are
+range partitioned by (group, order) and stored: a large group is cut along its own sort order
+whatever its keys look like, a small one only where a boundary happens to fall into it. The running
+total inside a range is a window over the rows of one range; the totals of the earlier ranges come
+from a pre-aggregated table with one row per range and group. Boundaries only steer balance, the
+result is exact for any.
 """
 
 from __future__ import annotations
@@ -14,10 +15,7 @@ from pyspark.sql import functions as F
 
 from evalspark.session import materialise
 
-BUCKETS = 64
-MAX_BUCKETS = 1 << 16
-SAMPLE_PER_BUCKET = 16
-# Largest group a single task may sort; above it a group is cut into buckets.
+# Largest group a single task sorts; above it the rows are cut into ranges of a quarter of it.
 WINDOW_ROWS = 1_000_000
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_LIMIT = 1000
@@ -33,51 +31,19 @@ def one_row(df: DataFrame) -> Column:
     return df.select(F.struct(*df.columns).alias("row")).scalar()
 
 
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    """Rows in the largest group. Runs one job: a partial count, then a maximum."""
+def group_sizes(df: DataFrame, group: list[str]) -> tuple[int, int]:
+    """Rows in all and in the largest group. Runs one job: a partial count, then two numbers."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    row = counts.agg(F.sum("n"), F.max("n")).first()
+    return row[0] or 0, row[1] or 0
 
 
-def split_points(keyed: DataFrame, identity, buckets: int = BUCKETS) -> Column:
-    """Up to buckets - 1 ascending values of `_key`, equally spaced in a hash sample.
-
-    Runs two small jobs (a count and the sample, about buckets * SAMPLE_PER_BUCKET keys, at most
-    a million); only the split points reach the driver. They come back as a one-row subquery.
-    """
-    spark = keyed.sparkSession
-    share = buckets * SAMPLE_PER_BUCKET / max(1, keyed.count())
-    draw = F.pmod(F.xxhash64(*identity), F.lit(1 << 30)) / float(1 << 30)
-    sample = keyed.where(draw < share).agg(F.array_sort(F.collect_list("_key")).alias("keys"))
-    size = F.size("keys")
-    points = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.get(F.col("keys"), F.floor(i * size / buckets).cast("int")),
-    )
-    chosen = sample.select(points.alias("points"))
-    return spark.createDataFrame(chosen.collect(), chosen.schema).scalar()
-
-
-def bucket_of(points: Column, key: Column, buckets: int = BUCKETS) -> Column:
-    """How many split points are <= key, by binary search."""
-    steps = []
-    step = buckets // 2
-    while step:
-        steps.append(F.lit(step))
-        step //= 2
-    return F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda at, jump: F.when(F.get(points, at + jump - 1) <= key, at + jump).otherwise(at),
-    )
-
-
-def bucket_count(rows: int, window_rows: int = WINDOW_ROWS) -> int:
-    """A power of two that leaves about a quarter of `window_rows` per bucket."""
-    buckets = BUCKETS
-    while buckets < MAX_BUCKETS and buckets * window_rows < 4 * rows:
-        buckets *= 2
-    return buckets
+def ranges_of(keyed: DataFrame, group: list[str], rows: int, window_rows: int) -> DataFrame:
+    """`keyed` with `_bucket`, the number of its range of (group, `_key`), stored once so that
+    every use sees the same boundaries. About a quarter of `window_rows` go into a range."""
+    ranges = max(1, -(-4 * rows // window_rows))
+    cut = keyed.repartitionByRange(ranges, *group, "_key")
+    return materialise(cut.withColumn("_bucket", F.spark_partition_id()), "ranges")
 
 
 def keyed_by(df: DataFrame, order: list) -> DataFrame:
@@ -98,23 +64,19 @@ def running_total(
     """Inclusive running sum of `value` along ascending `order` inside each group.
 
     (group, order) must be unique. The largest group is measured first: while it fits
-    `window_rows`, a window per group is the cheapest plan; beyond that the groups are cut into
-    buckets. `bucket` replaces the sampled split points by any column that never decreases along
-    the order and takes a bounded number of values, and skips the measurement.
+    `window_rows`, a window per group is the cheapest plan; beyond that the rows are cut into
+    ranges. `bucket` replaces the ranges by any column that never decreases along the order and
+    takes a bounded number of values, and skips the measurement.
     """
     amount = F.col(value) if isinstance(value, str) else value
     running = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keyed = keyed_by(df, order).withColumn("_amount", amount)
     if bucket is None:
-        largest = largest_group(df, group)
+        rows, largest = group_sizes(df, group)
         if largest <= window_rows:
             whole = running(Window.partitionBy(*group).orderBy("_key"))
             return keyed.withColumn(name, F.sum("_amount").over(whole)).select(*df.columns, name)
-        buckets = bucket_count(largest, window_rows)
-        points = split_points(keyed, [*group, "_key"], buckets)
-        cut = keyed.withColumn("_points", points).withColumn(
-            "_bucket", bucket_of(F.col("_points"), F.col("_key"), buckets)
-        )
+        cut = ranges_of(keyed, group, rows, window_rows)
     else:
         cut = keyed.withColumn("_bucket", bucket)
     sizes = cut.groupBy(*group, "_bucket").agg(F.sum("_amount").alias("_size"))
@@ -179,21 +141,17 @@ def nearest_rank(
 
 
 def top_rows(
-    df: DataFrame, group: list[str], order: list, k: int, name: str = "position", salts: int = 64
+    df: DataFrame, group: list[str], order: list, k: int, name: str = "position", **kw
 ) -> DataFrame:
     """The first k rows of each group with their 1-based place.
 
     Up to GROUP_LIMIT rows the planner limits every group inside each input task before the
     exchange, so a group of any size reaches its reducer as at most k rows per task. Wider cuts do
-    not get that limit; they run in two rounds, k rows per (group, salt) and then k per group.
+    not get that limit; they are read off the row numbers, whose large groups are cut into ranges.
     """
-    columns = as_columns(order)
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*columns))
     if k > GROUP_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
-        first = Window.partitionBy(*group, "_salt").orderBy(*columns)
-        df = salted.withColumn(name, F.row_number().over(first)).where(F.col(name) <= k)
-        df = df.drop("_salt", name)
+        return row_numbers(df, group, order, name, **kw).where(F.col(name) <= k)
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*as_columns(order)))
     return df.withColumn(name, place).where(F.col(name) <= k)
 
 
@@ -215,16 +173,12 @@ def _prefix_rows(cut: DataFrame, order: str, limit: int) -> DataFrame:
     return kept.withColumn("_place", place).where(inside).drop("_bucket", "_last", "_place")
 
 
-def first_rows(df: DataFrame, order: list, limit: int) -> DataFrame:
-    """The first `limit` rows in a unique order, cut by rank from the counts of sampled key ranges,
+def first_rows(df: DataFrame, order: list, limit: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """The first `limit` rows in a unique order, cut by rank from the counts of key ranges,
     whatever the limit."""
     keyed = keyed_by(df, order)
-    buckets = bucket_count(keyed.count())
-    points = split_points(keyed, ["_key"], buckets)
-    cut = keyed.withColumn("_points", points).withColumn(
-        "_bucket", bucket_of(F.col("_points"), F.col("_key"), buckets)
-    )
-    return _prefix_rows(cut.drop("_points"), "_key", limit).select(*df.columns)
+    cut = ranges_of(keyed, [], keyed.count(), window_rows)
+    return _prefix_rows(cut, "_key", limit).select(*df.columns)
 
 
 def ordered_prefix(df: DataFrame, key: str, limit: int) -> DataFrame:

@@ -55,20 +55,17 @@ def gain_table(
     with that target. Descending average rank -> 1 / rank^2, summing to one over the list.
 
     Candidates with equal targets always share their gain, so the table is as wide as the
-    distinct targets, not as the list. Extra `sums` ride along in the same pass. The histogram is
-    written once to the shared folder: sizing, ranking and every later use of the gains then read
-    this small table instead of scanning the candidates again.
+    distinct targets, not as the list. Extra `sums` ride along in the same pass. Histogram and
+    result are written once to the shared folder: sizing, ranking and every later use of the gains
+    then read these small tables instead of scanning and ranking the candidates again.
     """
     h = materialise(ordering.histogram(cands, [group], target, **sums), "target-histogram")
     run = ordering.running_total(h, [group], [-F.col(target)], "n", "through")
     rank = F.col("through") - (F.col("n") - 1) / 2
     raw = run.withColumn("avg_rank", rank).withColumn("_raw", sx.inverse_square_gain(rank))
     total = raw.groupBy(group).agg(F.sum(F.col("n") * F.col("_raw")).alias("_total"))
-    return (
-        raw.join(total, group)
-        .withColumn("gain", F.col("_raw") / F.col("_total"))
-        .drop("_raw", "_total")
-    )
+    gains = raw.join(total, group).withColumn("gain", F.col("_raw") / F.col("_total"))
+    return materialise(gains.drop("_raw", "_total"), "gains")
 
 
 def target_gains(
@@ -217,16 +214,9 @@ def width_report(metrics: DataFrame, widths=WIDTHS) -> DataFrame:
 def two_sided_binomial(wins: int, trials: int) -> float:
     """Exact P(a split at least this uneven) of a fair coin.
 
-    Up to 2,000 trials the tail is summed in integers. Beyond, its terms shrink geometrically from
-    the observed one, so they are summed as ratios to it until they no longer change the total."""
-    if trials == 0:
-        return 1.0
+    The terms of the tail shrink from the observed one on, so they are summed as ratios to it until
+    they no longer change the total."""
     low = min(wins, trials - wins)
-    if 2 * low == trials:
-        return 1.0
-    if trials <= 2000:
-        tail = sum(math.comb(trials, i) for i in range(low + 1))
-        return min(1.0, 2 * tail / 2**trials)
     edge = (
         math.lgamma(trials + 1)
         - math.lgamma(low + 1)

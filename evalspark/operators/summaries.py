@@ -130,25 +130,20 @@ def column_statistics(train: DataFrame, columns: list[str]) -> DataFrame:
     return train.agg(*sums).select(F.inline(F.array(*entries)))
 
 
-def _folded(digests: DataFrame, column: str, levels: int) -> DataFrame:
-    """Digest tree: digests sharing a hex prefix are sorted and hashed together, level by level,
-    until one remains. A node of the first level holds about rows / 16^levels digests."""
-    folded = F.sha2(F.array_join(F.array_sort(F.collect_list(column)), ""), 256).alias(column)
-    node = digests.withColumn("_p", F.col(column))
-    for level in range(levels, 0, -1):
-        prefix = F.substring("_p", 1, level).alias("_p")
-        node = node.groupBy(prefix).agg(folded)
-    return node.agg(folded)
+#: A row digest is summed as so many whole numbers of 32 bits.
+LANES = 8
 
 
 def content_digest(
-    df: DataFrame, columns: list[str] | None = None, metadata: dict[str, str] | None = None,
-    rows_per_node: int = 4096,
+    df: DataFrame, columns: list[str] | None = None, metadata: dict[str, str] | None = None
 ) -> DataFrame:
     """(digest, rows): identity of a table's contents, independent of file layout, row order and
-    column order; repeated rows count. Counts the rows (one job) to size the tree.
+    column order; repeated rows count.
 
-    Equal rows have equal digests and would meet in one node, so they are first counted.
+    Each row's SHA-256 is read as LANES numbers, and these are summed over all rows: one partial
+    aggregate of fixed width for a table of any size. The digest is the SHA-256 of a label (table
+    metadata, then column names and types) and the sums. It finds losses and edits; it is no
+    signature against rows forged to cancel out.
     """
     names = sorted(columns or df.columns)
     kinds = dict(df.dtypes)
@@ -158,34 +153,23 @@ def content_digest(
     body = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
     label = "|".join(f"{k}={v}" for k, v in sorted((metadata or {}).items()))
     label += "||" + ",".join(f"{c}:{kinds[c]}" for c in names)
-    rows = df.select(F.sha2(body, 256).alias("_d")).groupBy("_d").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    total = df.count()
-    levels = 0
-    while levels < 8 and 16**levels * rows_per_node < total:
-        levels += 1
-    leaves = rows.select(
-        F.sha2(F.concat_ws(":", "_d", F.col("_n").cast("string")), 256).alias("_d")
-    )
-    root = _folded(leaves, "_d", levels)
-    return root.select(
-        F.sha2(F.concat_ws("|", F.lit(label), "_d"), 256).alias("digest"),
-        F.lit(total).alias("rows"),
-    )
+    lanes = [
+        F.conv(F.substring("_d", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)") for i in range(LANES)
+    ]
+    sums = [F.coalesce(F.sum(x), F.lit(0)).cast("string").alias(f"s{i}") for i, x in enumerate(lanes)]
+    totals = df.select(F.sha2(body, 256).alias("_d")).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    parts = [F.lit(label), F.col("rows").cast("string"), *[f"s{i}" for i in range(LANES)]]
+    return totals.select(F.sha2(F.concat_ws("|", *parts), 256).alias("digest"), "rows")
 
 
-def key_set_digest(df: DataFrame, key: str, rows_per_node: int = 4096) -> DataFrame:
+def key_set_digest(df: DataFrame, key: str) -> DataFrame:
     """(digest, rows): identity of the distinct values of one key column."""
-    return content_digest(df.select(key).distinct(), [key], None, rows_per_node)
+    return content_digest(df.select(key).distinct(), [key])
 
 
 def combined_digest(parts: DataFrame, digest: str = "digest") -> DataFrame:
-    """Digest of a table of digests, in sorted order; one row per shard or table goes in."""
-    return parts.agg(
-        F.sha2(F.array_join(F.array_sort(F.collect_list(digest)), ""), 256).alias("digest"),
-        F.count(F.lit(1)).alias("parts"),
-    )
+    """(digest, parts): digest of a table of digests, one row per shard or table."""
+    return content_digest(parts, [digest]).withColumnRenamed("rows", "parts")
 
 
 def hash_collisions(df: DataFrame, identity: str, full: str) -> DataFrame:

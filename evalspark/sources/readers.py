@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.operators.validation import Refused, metadata_rules, require_layout, violations
+from evalspark.operators import keys, summaries
+from evalspark.operators.validation import (
+    Refused,
+    bundle_rules,
+    metadata_rules,
+    require_clean,
+    require_layout,
+    violations,
+)
 from evalspark.sources import schemas
 
 
@@ -167,17 +175,34 @@ def enriched(
     return require_layout(df, columns)
 
 
-def bundle(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """A rows bundle: `rows/` (JSON lines) with its `manifest/` record. Declared row count must
-    match."""
+def bundle(
+    spark: SparkSession, path: str, expected: dict[str, str] | None = None
+) -> tuple[DataFrame, dict]:
+    """A rows bundle: `rows/` (JSON lines) with its `manifest/` record, judged as a whole: the
+    manifest's identity against `expected`, its row count and digest against the rows found, every
+    row rule, unique row ids, and one group per game and root. An empty bundle is refused."""
     rows = spark.read.schema(schemas.ROWS).json(f"{path}/rows")
     manifest = spark.read.json(f"{path}/manifest").first()
     if manifest is None:
         raise Refused("bundle refused: no manifest")
     declared = manifest.asDict()
-    found = rows.count()
-    if declared.get("rows") != found:
-        raise Refused(f"bundle refused: manifest says {declared.get('rows')} rows, found {found}")
+    for k, v in (expected or {}).items():
+        if declared.get(k) != v:
+            raise Refused(f"bundle refused: {k} is {declared.get(k)!r}, expected {v!r}")
+    found = summaries.content_digest(rows).first()
+    if found["rows"] == 0:
+        raise Refused("bundle refused: no rows")
+    if declared.get("rows") != found["rows"]:
+        raise Refused(
+            f"bundle refused: manifest says {declared.get('rows')} rows, found {found['rows']}"
+        )
+    if declared.get("rows_digest") != found["digest"]:
+        raise Refused("bundle refused: rows differ from their digest")
+    require_clean(violations(rows, bundle_rules(), "id"), "bundle")
+    if not keys.duplicates(rows, ["id"]).isEmpty():
+        raise Refused("bundle refused: duplicate row identity")
+    if not keys.ownership(rows, "group_id", ["game_id", "root_id"]).isEmpty():
+        raise Refused("bundle refused: a game or root crosses groups")
     return rows, declared
 
 

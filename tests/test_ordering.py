@@ -32,15 +32,18 @@ def test_row_numbers(spark, skewed, window_rows, parts):
     assert {(r.g, r.i): r.rn for r in out.collect()} == brute(skewed.collect())
 
 
-def test_hot_group_is_cut_into_buckets(spark, skewed):
-    """In the bucketed plan no window partition holds more than a small share of the rows."""
-    keyed = ordering.keyed_by(skewed, ["s", "i"])
-    points = ordering.split_points(keyed, ["g", "_key"])
-    cut = keyed.withColumn("_p", points).withColumn(
-        "b", ordering.bucket_of(F.col("_p"), F.col("_key"))
-    )
-    largest = cut.groupBy("g", "b").count().agg(F.max("count")).first()[0]
-    assert largest < 9000 / 16
+@pytest.mark.parametrize("spread", [True, False])
+def test_hot_group_is_cut_along_its_own_keys(spark, spread):
+    """No (group, range) holds more than a window, be the keys of the hot group spread over all or
+    next to each other; small groups are left whole but for the range boundaries."""
+    hot = F.col("id") % 10 == 0 if spread else F.col("id") < 4000
+    df = spark.range(40_000).select(F.when(hot, -1).otherwise(F.col("id") % 997).alias("g"), "id")
+    keyed = ordering.keyed_by(df, ["id"])
+    cut = ordering.ranges_of(keyed.repartition(5), ["g"], 40_000, 400)
+    pieces = cut.groupBy("g", "_bucket").count()
+    assert pieces.agg(F.max("count")).first()[0] <= 400
+    groups, ranges = pieces.select("g").distinct().count(), pieces.select("_bucket").distinct().count()
+    assert pieces.count() < groups + ranges
 
 
 def test_global_running_total(spark):
@@ -61,9 +64,9 @@ def test_group_limit_comes_before_the_exchange(spark, skewed):
     assert "Final" in lines[0] and "hashpartitioning" in lines[1] and "Partial" in lines[2]
 
 
-@pytest.mark.parametrize("k", [1, 8, 2000])
-def test_top_rows(spark, skewed, k):
-    out = ordering.top_rows(skewed.repartition(7), ["g"], [-F.col("s"), F.col("i")], k)
+@pytest.mark.parametrize("k, kw", [(1, {}), (8, {}), (2000, {}), (2000, {"window_rows": 50})])
+def test_top_rows(spark, skewed, k, kw):
+    out = ordering.top_rows(skewed.repartition(7), ["g"], [-F.col("s"), F.col("i")], k, **kw)
     got = {}
     for r in out.collect():
         got.setdefault(r.g, {})[r.position] = r.i
@@ -138,15 +141,10 @@ def test_first_games(spark):
     assert {r.g for r in keys.first_games(df, "g", "o", 2).collect()} == {"a", "b"}
 
 
-def test_first_rows_by_rank_equals_limit(spark):
+@pytest.mark.parametrize("window_rows", [40, 1_000_000])
+def test_first_rows_by_rank_equals_limit(spark, window_rows):
     df = spark.range(3000).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("k"), "id")
     for limit in (1, 700, 2999, 4000):
-        b = ordering.first_rows(df.repartition(5), ["k", "id"], limit)
+        b = ordering.first_rows(df.repartition(5), ["k", "id"], limit, window_rows)
         want = [tuple(r) for r in df.orderBy("k", "id").limit(limit).collect()]
         assert sorted(tuple(r) for r in b.collect()) == want
-
-
-def test_bucket_count_grows_with_the_largest_group():
-    assert ordering.bucket_count(1000, 1_000_000) == 64
-    assert ordering.bucket_count(1_000_000_000, 1_000_000) == 4096
-    assert ordering.bucket_count(10**15, 1_000_000) == ordering.MAX_BUCKETS

@@ -160,6 +160,15 @@ def test_bundle_round_trip(spark, positions, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["bundle"]
     with pytest.raises(Refused, match="already exists"):
         writers.bundle(rows, path, {"schema": "x"})
+    readers.bundle(spark, path, {"schema": "x"})
+    with pytest.raises(Refused, match="schema is 'x'"):
+        readers.bundle(spark, path, {"schema": "y"})
+    for part in (tmp_path / "bundle" / "rows").glob("*.json"):
+        part.write_text(part.read_text().replace('"result":1.0', '"result":0.5'))
+    for check in (tmp_path / "bundle" / "rows").glob(".*.crc"):
+        check.unlink()
+    with pytest.raises(Refused, match="digest"):
+        readers.bundle(spark, path)
 
 
 @pytest.mark.parametrize(
@@ -246,12 +255,12 @@ def test_digest_follows_contents_only(spark):
     def digest(d, **kw):
         return summaries.content_digest(d, **kw).first().digest
 
-    base = digest(df, rows_per_node=64)
-    assert digest(df.repartition(9).select("s", "x", "id"), rows_per_node=64) == base
+    base = digest(df)
+    assert digest(df.repartition(9).select("s", "x", "id")) == base
     edited = df.withColumn("x", F.when(F.col("id") == 77, 0.0).otherwise(F.col("x")))
-    assert digest(edited, rows_per_node=64) != base
-    assert digest(df.union(df.where("id = 5")), rows_per_node=64) != base
-    assert digest(df, metadata={"engine": "2"}, rows_per_node=64) != base
+    assert digest(edited) != base
+    assert digest(df.union(df.where("id = 5"))) != base
+    assert digest(df, metadata={"engine": "2"}) != base
 
 
 def test_reconciliation_survives_repeated_keys(spark):
@@ -346,6 +355,9 @@ def test_giant_game_spreads_over_files_of_one_shard(spark, tmp_path):
     }
     assert stored.count() == 900 and per["big"][0] == 1 and per["big"][1] > 4
     assert all(v == (1, 1) for g, v in per.items() if g != "big")
+    files = stored.where("game_id = 'big'").groupBy("f").agg(F.min("ply").alias("lo"), F.max("ply").alias("hi"))
+    spans = [(r.lo, r.hi) for r in files.orderBy("f").collect()]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_report_is_exclusive(spark, tmp_path):
