@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from evalspark.functions import hashing
 from evalspark.functions import scoring as sx
 from evalspark.operators import calibrate, gates, ranking, scoring
+from evalspark.operators.validation import Refused
 from evalspark.session import materialise
 
 
@@ -92,13 +93,18 @@ def fit_selected(
 
 
 def fit_temperature(
-    train: DataFrame, columns: list[str], budget: int, role: str = "role", rule: str = "brier",
-    y: str = "y",
+    train: DataFrame, columns: list[str], budgets: list[int], role: str = "role",
+    rule: str = "brier", y: str = "y",
 ) -> DataFrame:
-    """Temperature of a probe fit, scored on rows that probe has not seen."""
-    probe = fit_outcome(train.where(F.col(role) == "fit"), columns, y, budget)
-    held = predict_outcome(probe, train.where(F.col(role) == "inner"), columns)
-    return calibrate.select_temperature(calibrate.temperature_scores(held, "z", y), rule)
+    """Temperature of a probe fit under the budget selected on the inner rows, scored on those
+    rows, which the probe has not seen. One row with the budget."""
+    fitting = train.where(F.col(role) == "fit")
+    inner = train.where(F.col(role) == "inner")
+    table = select_budget(fitting, inner, columns, budgets, y)
+    budget = gates.pick_budget(table, "budget", "log_loss").first()["selected"]
+    held = predict_outcome(fit_outcome(fitting, columns, y, budget), inner, columns)
+    chosen = calibrate.select_temperature(calibrate.temperature_scores(held, "z", y), rule)
+    return chosen.withColumn("budget", F.lit(budget))
 
 
 @dataclass
@@ -119,59 +125,63 @@ class Ranker:
         return sx.dot(F.col(features), self.raw_weights()) - shift
 
 
-def best_targets(cands: DataFrame, k: int, group: str, target: str) -> DataFrame:
-    """(group, best) of lists longer than k."""
-    stats = cands.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.max(target).alias("best"))
-    return stats.where(F.col("size") > k).select(group, "best")
+def marked_best(
+    cands: DataFrame, k: int, group: str = "group_id", target: str = "target"
+) -> DataFrame:
+    """Candidates of lists longer than k, with `_best`: its target is the list's best."""
+    stats = cands.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.max(target).alias("_top"))
+    rows = cands.join(stats.where(F.col("_n") > k), group)
+    return rows.withColumn("_best", F.col(target) == F.col("_top")).drop("_n", "_top")
 
 
-def recall(
-    cands: DataFrame,
-    k: int,
-    group: str = "group_id",
-    target: str = "target",
-    score: str = "score",
-    best: DataFrame | None = None,
-) -> float:
-    """Share of lists longer than k whose shortlist keeps a best candidate."""
-    best = best_targets(cands, k, group, target) if best is None else best
-    picked = ranking.shortlist(cands, k, group, score).groupBy(group).agg(
-        F.max(target).alias("kept")
+def recall(marked: DataFrame, k: int, group: str = "group_id", score: str = "score") -> float:
+    """Share of the lists whose shortlist keeps a best candidate; not a number without lists."""
+    picked = ranking.shortlist(marked, k, group, score).groupBy(group).agg(
+        F.max(F.col("_best").cast("double")).alias("kept")
     )
-    row = (
-        picked.join(best, group)
-        .agg(F.avg((F.col("kept") == F.col("best")).cast("double")).alias("r"))
-        .first()
-    )
-    return float(row["r"]) if row["r"] is not None else float("nan")
+    found = picked.agg(F.avg("kept")).first()[0]
+    return float("nan") if found is None else float(found)
 
 
-def fit_ranker(
+@dataclass
+class Lists:
+    """Candidate lists made ready for any number of fits: standardised train and validation
+    columns x0, x1, ... stored once, and the term of the gradient that no weight changes."""
+
+    train: DataFrame
+    held: DataFrame
+    mean: np.ndarray
+    scale: np.ndarray
+    pull: np.ndarray
+    k: int
+    group: str
+
+    @property
+    def width(self) -> int:
+        return len(self.mean)
+
+    def scored(self, df: DataFrame, weights: np.ndarray) -> DataFrame:
+        return df.withColumn(
+            "score", sum(F.col(f"x{i}") * float(w) for i, w in enumerate(weights))
+        )
+
+
+def stage_lists(
     cands: DataFrame,
     width: int,
     k: int,
-    seed: int = 11,
-    epochs: int = 40,
-    patience: int = 5,
-    rate: float = 0.1,
     group: str = "group_id",
     target: str = "target",
     features: str = "features",
     split: str = "split",
-) -> Ranker:
-    """Listwise fit by full-batch Adam on the mean cross entropy over train lists.
-
-    The gradient is mean(softmax-weighted x) - mean(gain-weighted x). The second term does not
-    depend on the weights and is computed once; the first is one map-side-combined aggregation per
-    epoch that returns `width` numbers. Stops when validation recall has not improved for
-    `patience` epochs and restores the best weights.
-    """
+) -> Lists:
+    """Standardisation and gains of the train lists; validation lists longer than k with their
+    best candidates marked. Refused without a list to train on or to measure."""
+    cands = materialise(cands.select(group, "cand_idx", target, features, split), "rank-lists")
     train = ranking.trainable(cands.where(F.col(split) == "train"), group)
     raw = materialise(train.select(group, target, features), "rank-train")
-    raw_held = materialise(
-        cands.where(F.col(split) == "validation").select(group, target, "cand_idx", features),
-        "rank-validation",
-    )
+    if raw.isEmpty():
+        raise Refused("list fit refused: no train list has two candidates")
     stats = {r["feature"]: r for r in ranking.standardisation(raw, features, width).collect()}
     mean = np.array([stats[i]["mean"] for i in range(width)])
     scale = np.array([stats[i]["scale"] for i in range(width)])
@@ -181,68 +191,73 @@ def fit_ranker(
         )
         for i in range(width)
     ]
-    table = raw.select(group, target, *x)
-    held = raw_held.select(group, target, "cand_idx", *x)
-    best_held = materialise(best_targets(held, k, group, target), "rank-best")
-    sums = {f"p{i}": F.col(f"x{i}") for i in range(width)}
-    pulls = ranking.gain_table(table, group, target, **sums)
+    table = materialise(raw.select(group, target, *x), "rank-standard")
+    held = marked_best(cands.where(F.col(split) == "validation"), k, group, target)
+    held = materialise(held.select(group, "cand_idx", "_best", *x), "rank-held")
+    if held.isEmpty():
+        raise Refused(f"list fit refused: no validation list is longer than {k}")
+    pulls = ranking.gain_table(
+        table, group, target, **{f"p{i}": F.col(f"x{i}") for i in range(width)}
+    )
     per_list = pulls.groupBy(group).agg(
         *[F.sum(F.col("gain") * F.col(f"p{i}")).alias(f"p{i}") for i in range(width)]
     )
     row = per_list.agg(*[F.avg(f"p{i}").alias(f"p{i}") for i in range(width)]).first()
     pull = np.array([row[f"p{i}"] for i in range(width)])
+    return Lists(table.drop(target), held, mean, scale, pull, k, group)
 
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, 0.01, width)
-    m, v = np.zeros(width), np.zeros(width)
-    best = Ranker(w.copy(), mean, scale)
-    best_recall, history = -1.0, []
 
-    def scored(df: DataFrame, weights: np.ndarray) -> DataFrame:
-        return df.withColumn("score", sum(F.col(f"x{i}") * float(weights[i]) for i in range(width)))
+def loss_and_gradient(lists: Lists, w: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean cross entropy over the train lists and its gradient: mean(softmax-weighted x) less
+    mean(gain-weighted x), from one map-side-combined aggregation that returns `width` numbers."""
+    names = [f"x{i}" for i in range(lists.width)]
+    softened = ranking.log_sum_exp(
+        lists.scored(lists.train, w), lists.group, "score", **{n: F.col(n) for n in names}
+    )
+    r = softened.agg(F.avg("lse").alias("lse"), *[F.avg(n).alias(n) for n in names]).first()
+    return float(r["lse"] - w @ lists.pull), np.array([r[n] for n in names]) - lists.pull
 
+
+def fit_ranker(
+    lists: Lists, seed: int = 11, epochs: int = 40, patience: int = 5, rate: float = 0.1
+) -> Ranker:
+    """Listwise fit by full-batch Adam on the mean cross entropy over train lists. Stops when
+    validation recall has not improved for `patience` epochs and restores the best weights."""
+    w = np.random.default_rng(seed).normal(0.0, 0.01, lists.width)
+    m, v = np.zeros(lists.width), np.zeros(lists.width)
+    best = Ranker(w.copy(), lists.mean, lists.scale)
+    best_recall, history = -1.0, []
     for epoch in range(1, epochs + 1):
-        softened = ranking.log_sum_exp(
-            scored(table, w), group, "score", **{f"x{i}": F.col(f"x{i}") for i in range(width)}
-        )
-        r = softened.agg(
-            F.avg("lse").alias("lse"), *[F.avg(f"x{i}").alias(f"x{i}") for i in range(width)]
-        ).first()
-        gradient = np.array([r[f"x{i}"] for i in range(width)]) - pull
-        loss = r["lse"] - float(w @ pull)
+        loss, gradient = loss_and_gradient(lists, w)
         m = 0.9 * m + 0.1 * gradient
         v = 0.999 * v + 0.001 * gradient**2
         w = w - rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + 1e-8)
-        measured = recall(scored(held, w), k, group, target, best=best_held)
-        history.append({"epoch": epoch, "train_loss": float(loss), "recall_at_k": measured})
+        measured = recall(lists.scored(lists.held, w), lists.k, lists.group)
+        history.append({"epoch": epoch, "train_loss": loss, "recall_at_k": measured})
         if measured > best_recall:
             best_recall = measured
-            best = Ranker(w.copy(), mean, scale, epoch)
+            best = Ranker(w.copy(), lists.mean, lists.scale, epoch)
         if epoch - best.epoch >= patience:
             break
     best.history = history
     return best
 
 
-def replicate_ranker(
-    cands: DataFrame, width: int, k: int, seeds: list[int], floor_column: int, **kw
-) -> DataFrame:
+def replicate_ranker(lists: Lists, seeds: list[int], floor_column: int, **kw) -> DataFrame:
     """(seed, recall, floor_recall, random_recall, best_epoch) per seed against the ordering by
-    one feature column and a seeded random ordering. A repeated seed is refused."""
+    one feature column and a seeded random ordering, all on the lists staged once. A repeated seed
+    is refused."""
     if len(set(seeds)) != len(seeds):
         raise ValueError("a seed appears twice")
-    spark = cands.sparkSession
-    held = cands.where(F.col("split") == "validation")
-    floor = recall(
-        held.withColumn("score", ranking.column_score("features", floor_column)), k
-    )
+    spark = lists.held.sparkSession
+    # Standardising a column keeps its order.
+    floor = recall(lists.held.withColumn("score", F.col(f"x{floor_column}")), lists.k, lists.group)
     rows = []
     for seed in seeds:
-        model = fit_ranker(cands, width, k, seed, **kw)
+        model = fit_ranker(lists, seed, **kw)
         learned = max(h["recall_at_k"] for h in model.history)
-        chance = recall(
-            held.withColumn("score", ranking.random_score(seed, "group_id", "cand_idx")), k
-        )
+        draw = ranking.random_score(seed, lists.group, "cand_idx")
+        chance = recall(lists.held.withColumn("score", draw), lists.k, lists.group)
         rows.append((seed, float(learned), float(floor), float(chance), model.epoch))
     return spark.createDataFrame(
         rows, "seed int, recall double, floor_recall double, random_recall double, best_epoch int"
@@ -250,16 +265,25 @@ def replicate_ranker(
 
 
 def ablation(
-    rows: DataFrame, feature_sets: dict[str, tuple], budgets: list[int], y: str = "y"
+    rows: DataFrame,
+    feature_sets: dict[str, tuple],
+    budgets: list[int],
+    baseline: str,
+    y: str = "y",
+    rules: gates.GateRules = gates.GateRules(),
 ) -> DataFrame:
     """One protocol over several feature sets: inner budget selection, refit on train, scores on
-    validation. `rows` carry split, bucket and every feature column. Returns one row per set."""
+    validation, margin to the no-information reference, and the decision. `rows` carry split,
+    bucket and every feature column; they are stored once. Returns one row per set: `cleared` needs
+    an admissible loss that undercuts the baseline's by the required share without a worse Brier
+    score or calibration than the rules allow; `selected` marks the set to take."""
     spark = rows.sparkSession
     decisive = rows.where(F.col(y).isin(0.0, 1.0))
     train = decisive.where(F.col("split") == "train").withColumn(
         "role", hashing.inner_role(F.col("bucket"))
     )
-    validation = decisive.where(F.col("split") == "validation")
+    train = materialise(train, "ablation-train")
+    validation = materialise(decisive.where(F.col("split") == "validation"), "ablation-validation")
     out = []
     for name, columns in feature_sets.items():
         model, budget, _ = fit_selected(train, list(columns), budgets, "role", y)
@@ -268,8 +292,20 @@ def ablation(
         out.append(
             (name, len(columns), int(budget), row["count"], row["log_loss"], row["brier"], row["ece"])
         )
-    return spark.createDataFrame(
+    table = spark.createDataFrame(
         out,
         "schema string, features int, budget int, count long, log_loss double, brier double, "
         "ece double",
     )
+    floor = scoring.no_information(validation, train, y=y).select("log_loss").first()[0]
+    base = next(r for r in out if r[0] == baseline)
+    judged = gates.admissibility(table, F.lit(floor))
+    cleared = (
+        F.col("admissible")
+        & (F.col("log_loss") <= base[4] * (1 - rules.min_relative_log_loss_gain))
+        & (F.col("brier") - base[5] <= rules.max_brier_regression)
+        & (F.col("ece") - base[6] <= rules.max_ece_regression)
+    )
+    judged = judged.withColumn("cleared", cleared)
+    chosen = gates.select_schema(judged, baseline).first()["selected"]
+    return judged.withColumn("selected", F.lit(chosen).eqNullSafe(F.col("schema")))

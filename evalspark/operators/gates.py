@@ -69,6 +69,34 @@ def slice_gate(rows: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     return rows.withColumn("reasons", reasons(checks))
 
 
+def unseen_gate(row: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
+    """Gate on the validation rows whose position the train rows never show. Expects one row with
+    count, {log_loss, brier} and the same with `ref_`. No unseen rows is a reason, not a pass."""
+    checks = {
+        "no-unseen-positions": F.col("count") > 0,
+        "unseen-log-loss-regression": F.col("log_loss") - F.col("ref_log_loss")
+        <= rules.max_unseen_log_loss_regression,
+        "unseen-brier-regression": F.col("brier") - F.col("ref_brier")
+        <= rules.max_unseen_brier_regression,
+    }
+    return row.withColumn("reasons", reasons(checks))
+
+
+def cost_gate(
+    overheads: DataFrame, candidates: DataFrame, rules: GateRules = GateRules(),
+    schema: str = "schema",
+) -> DataFrame:
+    """(schema, mean_overhead, reasons) of every candidate. `overheads` holds one row per schema
+    with its mean relative cost; a candidate without one has no evidence, which is a reason."""
+    known = candidates.join(overheads.select(schema, "mean_overhead"), schema, "left")
+    checks = {
+        "missing-extraction-cost-evidence": F.col("mean_overhead").isNotNull(),
+        "extraction-latency-overhead-exceeded": F.col("mean_overhead")
+        <= rules.max_extraction_latency_overhead,
+    }
+    return known.withColumn("reasons", reasons(checks))
+
+
 def slice_regressions(candidate: DataFrame, baseline: DataFrame, key: str = "slice") -> DataFrame:
     """(slice, log_loss_delta, brier_delta) on slices measured by both."""
     base = baseline.select(

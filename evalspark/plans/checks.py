@@ -328,7 +328,16 @@ def field_separators(spark, sf):
     FROM positions""",
 )
 def producer_record(spark, sf):
-    return readers.group_counts(bridge.nested_groups(spark, sf))
+    """The producer writes its counts beside the lists; the lists read back must agree with them."""
+    from evalspark.session import scratch_path
+
+    path = scratch_path(spark, "producer")
+    nested = bridge.nested_groups(spark, sf).drop("row_id")
+    nested.write.json(f"{path}/groups")
+    readers.group_counts(nested).write.json(f"{path}/record")
+    declared = spark.read.json(f"{path}/record").first().asDict()
+    stored = readers.admit_groups(readers.groups(spark, f"{path}/groups"), declared)
+    return readers.group_counts(stored)
 
 
 def sparse_rows(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from evalspark import bridge
@@ -9,9 +10,10 @@ from evalspark.functions import hashing
 from evalspark.functions.scoring import r6
 from evalspark.operators import fit, gates, models, ranking, scoring
 from evalspark.plans.metrics import rounded
-from evalspark.plans.ranks import C, DOT_SQL, WEIGHTS
+from evalspark.plans.ranks import C, DOT_SQL, GAINS, WEIGHTS
 from evalspark.plans.registry import query
 from evalspark.plans.registry import r6_sql as R
+from evalspark.session import materialise
 from evalspark.sources import schemas
 
 BUDGETS = [2, 5, 10]
@@ -24,7 +26,9 @@ def modelled(spark, sf):
 
 
 def train_rows(spark, sf):
-    return scoring.decisive(modelled(spark, sf), "y").where("split = 'train'")
+    """Decisive train rows, stored once for all the fits of a query."""
+    rows = scoring.decisive(modelled(spark, sf), "y").where("split = 'train'")
+    return materialise(rows, "train-rows")
 
 
 @query("m1_outcome_model")
@@ -64,31 +68,56 @@ def budget_refit(spark, sf):
 
 @query("m3_temperature_calibration")
 def temperature_calibration(spark, sf):
-    out = fit.fit_temperature(train_rows(spark, sf), list(schemas.S0), 5)
+    out = fit.fit_temperature(train_rows(spark, sf), list(schemas.S0), BUDGETS)
     return rounded(out, ("temperature", "log_loss", "brier", "ece"))
 
 
-EPOCHS = 3
-
-
 @query("m4_list_ranker")
 def list_ranker(spark, sf):
-    model = fit.fit_ranker(bridge.candidates(spark, sf), 9, 8, epochs=EPOCHS)
+    model = fit.fit_ranker(fit.stage_lists(bridge.candidates(spark, sf), 9, 8))
     return spark.createDataFrame(model.history, "epoch int, train_loss double, recall_at_k double")
 
 
+START = [0.05 * (i - 4) for i in range(9)]
+
+
+@query(
+    "m4_loss_and_gradient",
+    GAINS + f""", tr AS (SELECT * FROM (SELECT *, row_number() OVER () AS id,
+      count(*) OVER (PARTITION BY group_id) AS size FROM gained WHERE split = 'train') WHERE size >= 2),
+    long AS (SELECT group_id, id, gain, unnest(range(9)) AS i, unnest(features)::DOUBLE AS v FROM tr),
+    st AS (SELECT i, avg(v) AS mean, CASE WHEN stddev_pop(v) > 0 THEN stddev_pop(v) ELSE 1 END AS scale
+      FROM long GROUP BY i),
+    x AS (SELECT group_id, id, gain, i, (v - mean) / scale AS x FROM long JOIN st USING (i)),
+    z AS (SELECT group_id, id, any_value(gain) AS gain, sum(x * 0.05::DOUBLE * (i - 4)) AS z FROM x GROUP BY ALL),
+    m AS (SELECT *, exp(z) / sum(exp(z)) OVER (PARTITION BY group_id) AS p,
+      ln(sum(exp(z)) OVER (PARTITION BY group_id)) AS lse FROM z),
+    loss AS (SELECT avg(loss) AS loss FROM (SELECT any_value(lse) - sum(gain * z) AS loss FROM m GROUP BY group_id)),
+    per AS (SELECT group_id, i, sum((p - x.gain) * x) AS g FROM x JOIN m USING (group_id, id) GROUP BY ALL)
+    SELECT i::INTEGER AS feature, {R("any_value(loss)")} AS loss, {R("avg(g)")} AS gradient
+    FROM per, loss GROUP BY i""",
+)
+def loss_and_gradient(spark, sf):
+    """What every step of the list fit computes, at fixed weights."""
+    lists = fit.stage_lists(bridge.candidates(spark, sf), 9, 8)
+    loss, gradient = fit.loss_and_gradient(lists, np.array(START))
+    rows = [(i, loss, float(g)) for i, g in enumerate(gradient)]
+    return rounded(
+        spark.createDataFrame(rows, "feature int, loss double, gradient double"), ("loss", "gradient")
+    )
+
+
 @query("m5_seed_replication")
 def seed_replication(spark, sf):
-    runs = fit.replicate_ranker(
-        bridge.candidates(spark, sf), 9, 8, bridge.SEEDS[:2], floor_column=0, epochs=2
-    )
-    return gates.seed_range(runs, bridge.SEEDS[:2])
+    lists = fit.stage_lists(bridge.candidates(spark, sf), 9, 8)
+    runs = fit.replicate_ranker(lists, bridge.SEEDS, floor_column=0)
+    return gates.seed_range(runs, bridge.SEEDS)
 
 
 @query("m6_feature_ablation")
 def feature_ablation(spark, sf):
-    out = fit.ablation(modelled(spark, sf), schemas.FEATURE_SETS, BUDGETS[1:])
-    return rounded(out, ("log_loss", "brier", "ece"))
+    out = fit.ablation(modelled(spark, sf), schemas.FEATURE_SETS, BUDGETS, "S0")
+    return rounded(out, ("log_loss", "brier", "ece", "margin"))
 
 
 @query("u1_batch_scoring", C + f" SELECT cand_idx, {R(DOT_SQL)} AS score FROM candidates")
@@ -130,4 +159,7 @@ def exact_binomial(spark, sf):
     counts = bridge.read(spark, sf, "events").groupBy("user_id").agg(
         F.count_if(F.col("event_id") % 2 == 0).alias("wins"), F.count(F.lit(1)).alias("trials")
     )
-    return counts.withColumn("p_value", r6(ranking.binomial_p("wins", "trials")))
+    # Many users share their counts: each pair is computed once.
+    pairs = counts.select("wins", "trials").distinct()
+    known = pairs.withColumn("p_value", r6(ranking.binomial_p("wins", "trials")))
+    return counts.join(known, ["wins", "trials"]).select("user_id", "wins", "trials", "p_value")

@@ -101,18 +101,32 @@ def overlap_decisive(spark, sf):
 
 @query(
     "d5_sealed_disjointness",
-    KEYED + """, sides AS (SELECT *, split = 'test' AS final FROM keyed)
-    SELECT 'game' AS field, count(*)::BIGINT AS shared FROM (
+    KEYED + f""", sides AS (SELECT *, split = 'test' AS final,
+      key || '|' || {bridge.ROLL_SQL.format('dice')} AS root,
+      {bridge.GROUP_ID_SQL} AS group_id
+      FROM keyed JOIN (SELECT row_id, dice FROM positions) USING (row_id))
+    SELECT 'group' AS field, count(*)::BIGINT AS shared FROM (
+      SELECT group_id FROM sides GROUP BY 1 HAVING bool_or(final) AND bool_or(NOT final))
+    UNION ALL SELECT 'root', count(*)::BIGINT FROM (
+      SELECT root FROM sides GROUP BY 1 HAVING bool_or(final) AND bool_or(NOT final))
+    UNION ALL SELECT 'game' AS field, count(*)::BIGINT AS shared FROM (
       SELECT game_id FROM sides GROUP BY 1 HAVING bool_or(final) AND bool_or(NOT final))
     UNION ALL SELECT 'position', count(*)::BIGINT FROM (
       SELECT key FROM sides GROUP BY 1 HAVING bool_or(final) AND bool_or(NOT final))""",
 )
 def sealed_disjointness(spark, sf):
-    rows = keyed(spark, sf)
+    rows = bridge.positions(spark, sf).withColumns(
+        {"key": fx.position_key("fen"), "split": hashing.split_for("game_id")}
+    )
     return keys.disjointness(
         rows.where("split = 'test'"),
         rows.where("split <> 'test'"),
-        {"game": F.col("game_id"), "position": F.col("key")},
+        {
+            "game": F.col("game_id"),
+            "position": F.col("key"),
+            "group": hashing.group_id_for(F.col("key"), fx.canonical_dice("dice")),
+            "root": F.concat_ws("|", "key", fx.canonical_dice("dice")),
+        },
     )
 
 
@@ -251,7 +265,22 @@ def root_coverage(spark, sf):
     return summaries.coverage(keys.distinct_roots(bridge.positions(spark, sf)))
 
 
-@query("e20_group_set_identity")
+def digest_sql(source: str, body: str, label: str) -> str:
+    """(digest, rows) of a source with one JSON text `body` per row; label and lanes as in
+    `summaries.content_digest`."""
+    lanes = ", ".join(
+        f"sum(('0x' || substr(d, {1 + 8 * i}, 8))::BIGINT)::VARCHAR" for i in range(summaries.LANES)
+    )
+    return f"""(SELECT sha256(concat_ws('|', '{label}', count(*)::VARCHAR, {lanes})) AS digest,
+      count(*)::BIGINT AS rows FROM (SELECT sha256({body}) AS d FROM {source}))"""
+
+
+@query(
+    "e20_group_set_identity",
+    S + f""", games AS (SELECT DISTINCT game_id FROM scored WHERE split = 'train')
+    SELECT digest AS digest_a, rows, true AS same FROM """
+    + digest_sql("games", """'{"game_id":"' || game_id || '"}'""", "||game_id:string"),
+)
 def group_set_identity(spark, sf):
     """Digest of the distinct train groups; must not depend on partitioning."""
     rows = bridge.scored(spark, sf).where("split = 'train'").select("game_id")
@@ -262,23 +291,38 @@ def group_set_identity(spark, sf):
     return a.withColumn("same", F.col("digest_a") == b.select("digest").scalar())
 
 
-@query("e21_content_digest")
+ORDER_BODY = """'{"cents":' || (o_totalprice * 100)::BIGINT || ',"o_custkey":' || o_custkey
+  || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}'"""
+ORDER_LABEL = "||cents:bigint,o_custkey:bigint,o_orderkey:bigint,o_orderpriority:string"
+
+
+@query(
+    "e21_content_digest",
+    """WITH edited AS (SELECT * REPLACE (CASE WHEN o_orderkey = 1 THEN 0.0 ELSE o_totalprice END
+      AS o_totalprice) FROM orders), parts AS (
+      SELECT 'plain' AS part, digest FROM """ + digest_sql("orders", ORDER_BODY, ORDER_LABEL) + """
+      UNION ALL SELECT 'turned', digest FROM """ + digest_sql("orders", ORDER_BODY, ORDER_LABEL) + """
+      UNION ALL SELECT 'edited', digest FROM """ + digest_sql("edited", ORDER_BODY, ORDER_LABEL) + """)
+    SELECT digest, count(*)::BIGINT AS tables, min(part) AS first FROM parts GROUP BY digest""",
+)
 def content_digest(spark, sf):
-    """Per-table digests and their digest; layout changes leave them alone, data changes do not."""
-    orders = bridge.read(spark, sf, "orders")
+    """Per-table digests; layout changes leave them alone, data changes do not."""
+    orders = bridge.read(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority",
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+    )
     turned = orders.repartition(5).select(*reversed(orders.columns))
     edited = orders.withColumn(
-        "o_totalprice", F.when(F.col("o_orderkey") == 1, 0.0).otherwise(F.col("o_totalprice"))
+        "cents", F.when(F.col("o_orderkey") == 1, 0).otherwise(F.col("cents")).cast("long")
     )
     parts = [
         summaries.content_digest(t).withColumn("part", F.lit(name))
         for name, t in (("plain", orders), ("turned", turned), ("edited", edited))
     ]
     table = keys.union_all(parts)
-    per = table.groupBy("digest").agg(
+    return table.groupBy("digest").agg(
         F.count(F.lit(1)).alias("tables"), F.min("part").alias("first")
     )
-    return per.select("tables", "first")
 
 
 @query(

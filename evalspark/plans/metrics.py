@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evalspark import bridge
+from evalspark.functions import fen as fx
 from evalspark.functions.scoring import r6
 from evalspark.operators import bootstrap, calibrate, gates, keys, scoring, summaries
-from evalspark.plans.expressions import SLICE_CASES
+from evalspark.plans.expressions import KEY, SLICE_CASES
 from evalspark.plans.identity import KEYED, keyed
 from evalspark.plans.registry import query
 from evalspark.plans.registry import r6_sql as R
@@ -325,6 +326,50 @@ def slice_gate(spark, sf):
     return out.select("slice", "groups", F.array_join("reasons", ",").alias("reasons"))
 
 
+OVERHEADS = "WITH " + bridge.LATENCIES_SQL + """, overheads AS (
+  SELECT probe, schema, (a.median_us - b.base) / b.base AS overhead FROM latencies a JOIN (
+    SELECT probe, median_us AS base FROM latencies WHERE schema = 'S0') b USING (probe)
+  WHERE schema <> 'S0')"""
+
+#: Candidates of the cost gate; the last has no evidence.
+COSTED = ["S1", "S2", "S9"]
+
+
+@query(
+    "e11_unseen_gate",
+    EVALUATED + f""", seen AS (SELECT DISTINCT {KEY} AS key FROM scored
+      WHERE split = 'train' AND y IN (0, 1)),
+    unseen AS (SELECT * FROM evaluated WHERE {KEY} NOT IN (SELECT key FROM seen)),
+    c AS ({scores_sql("unseen", rounded=False)}), b AS ({scores_sql("unseen", p="ref", rounded=False)})
+    SELECT c.count, array_to_string(list_filter([
+      CASE WHEN NOT c.log_loss - b.log_loss <= 0.01 THEN 'unseen-log-loss-regression' END,
+      CASE WHEN NOT c.brier - b.brier <= 0 THEN 'unseen-brier-regression' END],
+      lambda x : x IS NOT NULL), ',') AS reasons FROM c, b""",
+)
+def unseen_gate(spark, sf):
+    train = scoring.decisive(keyed(spark, sf), "y").where("split = 'train'")
+    rows = evaluated(spark, sf).withColumn("key", fx.position_key("fen"))
+    unseen = keys.mark_unseen(rows, train, "key").where("unseen")
+    out = gates.unseen_gate(scoring.paired_scores(unseen, "y", "p", "ref"))
+    return out.select("count", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(
+    "e11_cost_gate",
+    OVERHEADS + f""", per AS (SELECT schema, avg(overhead) AS mean FROM overheads GROUP BY schema),
+    wanted AS (SELECT unnest({COSTED}) AS schema)
+    SELECT schema, {R("mean")} AS mean_overhead, array_to_string(list_filter([
+      CASE WHEN mean IS NULL THEN 'missing-extraction-cost-evidence' END,
+      CASE WHEN NOT coalesce(mean <= 0.1, false) THEN 'extraction-latency-overhead-exceeded' END],
+      lambda x : x IS NOT NULL), ',') AS reasons FROM wanted LEFT JOIN per USING (schema)""",
+)
+def cost_gate(spark, sf):
+    overheads = summaries.extraction_overhead(bridge.latencies(spark, sf), "S0")
+    wanted = spark.createDataFrame([(x,) for x in COSTED], "schema string")
+    out = gates.cost_gate(summaries.overhead_gate(overheads), wanted)
+    return rounded(out, ("mean_overhead",)).withColumn("reasons", F.array_join("reasons", ","))
+
+
 @query(
     "e12_slice_regressions",
     SLICED + f""", c AS ({scores_sql("sliced", "slice", rounded=False)}),
@@ -412,12 +457,6 @@ def train_standardisation(spark, sf):
     return rounded(out, ("mean", "scale"))
 
 
-OVERHEADS = "WITH " + bridge.LATENCIES_SQL + """, overheads AS (
-  SELECT probe, schema, (a.median_us - b.base) / b.base AS overhead FROM latencies a JOIN (
-    SELECT probe, median_us AS base FROM latencies WHERE schema = 'S0') b USING (probe)
-  WHERE schema <> 'S0')"""
-
-
 @query(
     "e19_overhead_gate",
     OVERHEADS + f""" SELECT schema, count(*)::BIGINT AS probes, {R("avg(overhead)")}

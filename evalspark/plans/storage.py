@@ -261,7 +261,16 @@ def footer_scan(spark, sf):
     )
 
 
-@query("u5_footer_reader")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@query(
+    "u5_footer_reader",
+    " UNION ALL ".join(f"SELECT '{t}' AS file, count(*)::BIGINT AS rows FROM {t}" for t in TABLES),
+)
 def footer_reader(spark, sf):
     """Footers of the given tables themselves: one row per file, no data read."""
     table = readers.footers(spark, sf)
@@ -308,11 +317,26 @@ def shard_sink(spark, sf):
 
 @query(
     "a14_bundle_sink",
-    "SELECT count(*)::BIGINT AS rows, 'rows-v1' AS schema FROM orders",
+    FEATURED + f""" SELECT count(*)::BIGINT AS rows, 'rows-v1' AS schema,
+      count(DISTINCT game_id)::BIGINT AS games, sum(ply)::BIGINT AS plies, sum(result) AS result,
+      {R("sum(material_diff)")} AS material, {R("sum(mobility_diff)")} AS mobility FROM featured""",
 )
 def bundle_sink(spark, sf):
+    """The record written, beside what the rows written add up to."""
     path, _ = stored_bundle(spark, sf)
-    return spark.read.json(f"{path}/manifest").select("rows", "schema")
+    at = {name: i for i, name in enumerate(schemas.S0)}
+    value = lambda name: F.sum(F.get("features", at[name]).cast("double"))
+    found = spark.read.schema(schemas.ROWS).json(f"{path}/rows").agg(
+        F.count_distinct("game_id").alias("games"),
+        F.sum("ply").alias("plies"),
+        F.sum("result").alias("result"),
+        r6(value("material_diff")).alias("material"),
+        r6(value("mobility_diff")).alias("mobility"),
+    )
+    declared = spark.read.json(f"{path}/manifest").select("rows", "schema").first()
+    return found.select(
+        F.lit(declared["rows"]).alias("rows"), F.lit(declared["schema"]).alias("schema"), *found.columns
+    )
 
 
 @query(

@@ -338,3 +338,18 @@ def test_constant_feature_keeps_scale_one(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "a double, b double")
     got = {r.feature: (r["mean"], r.scale) for r in summaries.column_statistics(df, ["a", "b"]).collect()}
     assert got == {"a": (2.0, 1.0), "b": (2.0, 1.0)}
+
+
+def test_gates_fail_closed(spark):
+    from evalspark.operators import gates
+
+    names = "count long, log_loss double, brier double, ref_log_loss double, ref_brier double"
+    rows = [(0, None, None, None, None), (5, 0.6, 0.2, 0.6, 0.2), (5, 0.62, 0.21, 0.6, 0.2)]
+    got = [r.reasons for r in gates.unseen_gate(spark.createDataFrame(rows, names)).collect()]
+    assert "no-unseen-positions" in got[0] and got[1] == []
+    assert got[2] == ["unseen-log-loss-regression", "unseen-brier-regression"]
+    costs = spark.createDataFrame([("S1", 0.05), ("S2", 0.2)], "schema string, mean_overhead double")
+    wanted = spark.createDataFrame([("S1",), ("S2",), ("S9",)], "schema string")
+    got = {r.schema: r.reasons for r in gates.cost_gate(costs, wanted).collect()}
+    assert got["S1"] == [] and got["S2"] == ["extraction-latency-overhead-exceeded"]
+    assert "missing-extraction-cost-evidence" in got["S9"]

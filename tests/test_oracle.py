@@ -7,7 +7,6 @@ from oracle import compare, connect
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
-HEAVY = {"m2_budget_refit", "m5_seed_replication", "m6_feature_ablation"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def test_matches_sql(spark, con, name):
     assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
 def test_runs(spark, name):
     assert queries()[name](spark, SF).count() > 0
 

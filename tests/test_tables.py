@@ -411,10 +411,25 @@ def test_ranker_learns_the_planted_feature(spark):
     df = spark.createDataFrame(
         data, "group_id string, cand_idx int, target long, split string, features array<double>"
     )
-    model = fit.fit_ranker(df, 3, 2, epochs=6, patience=5, rate=0.5)
+    lists = fit.stage_lists(df, 3, 2)
+    model = fit.fit_ranker(lists, epochs=6, patience=5, rate=0.5)
     assert max(h["recall_at_k"] for h in model.history) > 0.9
     assert abs(model.weights[1]) > 3 * max(abs(model.weights[0]), abs(model.weights[2]))
     losses = [h["train_loss"] for h in model.history]
     assert losses[-1] < losses[0]
     with pytest.raises(ValueError, match="twice"):
-        fit.replicate_ranker(df, 3, 2, [1, 1], 0)
+        fit.replicate_ranker(lists, [1, 1], 0)
+    with pytest.raises(Refused, match="longer than 12"):
+        fit.stage_lists(df, 3, 12)
+    with pytest.raises(Refused, match="train list"):
+        fit.stage_lists(df.where("cand_idx = 0 OR split = 'validation'"), 3, 2)
+
+
+def test_ranker_stops_early_and_restores_the_best_weights(spark, monkeypatch):
+    lists = fit.Lists(None, None, np.zeros(1), np.ones(1), np.zeros(1), 2, "group_id")
+    steps = iter([0.3, 0.5, 0.4, 0.5, 0.2, 0.9])
+    monkeypatch.setattr(fit, "loss_and_gradient", lambda lists, w: (1.0, np.ones(1)))
+    monkeypatch.setattr(fit, "recall", lambda *a: next(steps))
+    monkeypatch.setattr(fit.Lists, "scored", lambda self, df, w: None)
+    model = fit.fit_ranker(lists, epochs=40, patience=3, rate=0.1)
+    assert model.epoch == 2 and len(model.history) == 5
