@@ -28,9 +28,10 @@ def batch_scorer(
             out = np.empty(len(batch), dtype=np.float64)
             for at in range(0, len(batch), rows):
                 part = batch.iloc[at : at + rows]
-                matrix = np.asarray(part.tolist(), dtype=np.float32)
-                if matrix.ndim != 2 or matrix.shape[1] != width:
+                if any(v is None or len(v) != width for v in part):
                     raise ValueError(f"expected {width} features per row")
+                # The rows are numpy arrays already; one copy lays them end to end.
+                matrix = np.concatenate(part.to_numpy()).reshape(-1, width).astype(np.float32)
                 values = np.asarray(run(matrix), dtype=np.float64).reshape(-1)
                 if len(values) != len(part):
                     raise ValueError("the model lost rows")

@@ -201,20 +201,22 @@ def dice_encoding(spark, sf):
     P + f""", views AS (SELECT row_id, dice, {MOVER_VIEW} AS view FROM positions),
     hot AS (SELECT row_id, dice, {PLANE_INDEX} AS idx FROM views)
     SELECT row_id, 774::BIGINT AS width, len(idx)::BIGINT AS pieces,
-      list_min(idx)::BIGINT AS first, {R("1.0")} AS dice_total FROM hot""",
+      array_to_string(list_sort(idx), ',') AS board, {FACES} FROM hot""",
 )
 def encode_position(spark, sf):
     rows = bridge.positions(spark, sf).select(
         "row_id", fx.encode_position("fen", "dice", "side").alias("v")
     )
-    board = F.slice("v", 1, fx.BOARD_DIM)
-    dice = F.slice("v", fx.BOARD_DIM + 1, fx.DICE_DIM)
+    dice = [F.get("v", fx.BOARD_DIM + i) for i in range(fx.DICE_DIM)]
+    # All 774 values: the board holds zeros and ones only, so its ones, by place, say it all.
+    places = F.transform(F.slice("v", 1, fx.BOARD_DIM), lambda v, i: F.when(v == 1, i).when(v != 0, -1))
+    ones = F.filter(places, lambda i: i.isNotNull())
     return rows.select(
         "row_id",
         F.size("v").cast("long").alias("width"),
-        F.size(F.array_remove(board, 0.0)).cast("long").alias("pieces"),
-        (F.array_position("v", F.lit(1.0).cast("float")) - 1).alias("first"),
-        r6(F.aggregate(dice, F.lit(0.0), lambda a, v: a + v)).alias("dice_total"),
+        F.size(ones).cast("long").alias("pieces"),
+        F.concat_ws(",", ones.cast("array<string>")).alias("board"),
+        *[r6(d.cast("double")).alias(f"share_{p.lower()}") for d, p in zip(dice, fx.PIECES)],
     )
 
 
