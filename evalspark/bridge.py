@@ -407,16 +407,19 @@ def nested_groups(spark: SparkSession, sf_dir: str, spoil: bool = False) -> Data
         F.sequence(F.lit(1), (1 + k % 4).cast("int")),
         lambda i: F.struct(
             F.array(
-                F.concat(F.lit("m"), i.cast("string")), F.concat(F.lit("r"), (k % 9).cast("string"))
+                F.when(fault(59, 8) & (i == 1), "").otherwise(F.concat(F.lit("m"), i.cast("string"))),
+                F.concat(F.lit("r"), (k % 9).cast("string")),
             ).alias("moves"),
-            F.concat_ws(
-                "#", canonical, F.when(fault(61, 1), F.lit(1)).otherwise(i).cast("string")
+            F.when(fault(53, 9) & (i == 1), " ").otherwise(
+                F.concat_ws("#", canonical, F.when(fault(61, 1), F.lit(1)).otherwise(i).cast("string"))
             ).alias("result_fen"),
             F.transform(
                 F.sequence(F.lit(1), F.when(fault(67, 2), F.lit(8)).otherwise(9)),
                 lambda j: ((k * j + i) % 13).cast("double"),
             ).alias("features"),
-            ((k * i) % 17).cast("double").alias("target"),
+            F.when(fault(47, 10) & (i == 1), float("nan"))
+            .otherwise(((k * i) % 17).cast("double"))
+            .alias("target"),
         ),
     )
     listed = fx.let(canonical, candidates_)

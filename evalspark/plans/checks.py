@@ -279,11 +279,13 @@ GROUP_RULES = {
     "root_side": "row_id % 83 = 6",
     "group_id": "row_id % 71 = 3 OR row_id % 79 = 5",
     "no_candidates": "row_id % 89 = 7",
-    "moves": "false",
-    "result_fen": "false",
-    "repeated_result": "row_id % 61 = 1 AND row_id % 4 > 0 AND row_id % 89 <> 7",
+    "moves": "row_id % 59 = 8 AND row_id % 89 <> 7",
+    "result_fen": "row_id % 53 = 9 AND row_id % 89 <> 7",
+    # A blank first result no longer repeats the others.
+    "repeated_result": "row_id % 61 = 1 AND row_id % 89 <> 7"
+    " AND row_id % 4 > CASE WHEN row_id % 53 = 9 THEN 1 ELSE 0 END",
     "features": "row_id % 67 = 2 AND row_id % 89 <> 7",
-    "target": "false",
+    "target": "row_id % 47 = 10 AND row_id % 89 <> 7",
 }
 
 
