@@ -71,12 +71,15 @@ def laid_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return cells, first
 
 
-def pooled(model: Model, cells: np.ndarray):
-    """Activations, max-pooled over each half chunk, and the position of each maximum."""
+def pooled(model: Model, cells: np.ndarray, first: np.ndarray):
+    """Activations of each half chunk. The last window of a document ends in filling, whatever is
+    laid behind it."""
     groups = model.embedding[cells].reshape(-1, STEP * EMBEDDING)
     k = STEP * EMBEDDING
     hidden = groups[:-1] @ model.filters[:k]
-    hidden += groups[1:] @ model.filters[k:]
+    behind = groups[1:].copy()
+    behind[first[1:] * (HALF // STEP) - 1] = np.tile(model.embedding[PAD], STEP)
+    hidden += behind @ model.filters[k:]
     return hidden.reshape(-1, HALF // STEP, FILTERS)
 
 
@@ -93,7 +96,7 @@ def document_features(half: np.ndarray, first: np.ndarray):
 
 
 def probability(model: Model, cells: np.ndarray, first: np.ndarray) -> np.ndarray:
-    half = np.maximum(pooled(model, cells).max(axis=1) + model.shift, 0)
+    half = np.maximum(pooled(model, cells, first).max(axis=1) + model.shift, 0)
     chunk, edge, count = document_features(half, first)
     features = np.hstack(
         (
@@ -107,7 +110,7 @@ def probability(model: Model, cells: np.ndarray, first: np.ndarray) -> np.ndarra
 
 
 def _gradients(model: Model, cells: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray):
-    hidden = pooled(model, cells)
+    hidden = pooled(model, cells, first)
     top = hidden.argmax(axis=1)
     raw = np.take_along_axis(hidden, top[:, None, :], axis=1)[:, 0] + model.shift
     half = np.maximum(raw, 0)
@@ -134,6 +137,8 @@ def _gradients(model: Model, cells: np.ndarray, first: np.ndarray, labels: np.nd
     g = d_half[rows, f]
     at = (rows * (HALF // STEP) + top[rows, f]) * STEP
     bytes_at = cells[at[:, None] + np.arange(WIDTH)]
+    last = np.isin(at + STEP, first[1:] * HALF)
+    bytes_at[last, STEP:] = PAD
     seen = model.embedding[bytes_at].reshape(len(at), -1)
     g_filters = np.zeros_like(model.filters)
     for k in range(FILTERS):
@@ -221,7 +226,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with `score`, the probability of label 1, from the bytes of the whole text.
 
     Null and empty texts are scored as filling only. Repeated rows score alike; a score depends on
-    nothing but the text. A column of `docs` named score is replaced, others are kept.
+    nothing but the text (up to the rounding of float32 sums). A column of `docs` named score is replaced, others are kept.
     """
     held = docs.drop("score")
     kept = held.columns

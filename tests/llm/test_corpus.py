@@ -293,6 +293,26 @@ def test_quality_gradients():
         assert (up - down) / (2 * step) == pytest.approx(float(g[at]), rel=0.1, abs=1e-3)
 
 
+def test_quality_scores_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(4)
+    sizes = [0, 3, 512, 509, 700, 1024, 1, 2000, 256, 4]
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in sizes]
+    model = quality.initial(1)
+    model.shift[:] = -0.5
+
+    def scores(some):
+        size = np.array([len(t) for t in some], np.int64)
+        data = np.frombuffer(b"".join(some), np.uint8)
+        return quality.probability(model, *quality.laid_out(data, np.cumsum(size) - size, np.cumsum(size)))
+
+    alone = np.concatenate([scores([t]) for t in texts])
+    for _ in range(5):
+        order = rng.permutation(len(texts))
+        for width in (2, 3, len(texts)):
+            got = np.concatenate([scores([texts[i] for i in order[k : k + width]]) for k in range(0, len(texts), width)])
+            assert got == pytest.approx(alone[order], abs=1e-6)
+
+
 def test_quality_edges(frame, spark):
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 0), (3, 0), (3, 1)], "doc_id bigint, quality int")
     docs = frame([(1, None), (2, ""), (3, "x"), (None, "y"), (3, "x")])
