@@ -104,9 +104,19 @@ def simhash_groups(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text
     return prints.join(mapped, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each group: the row whose doc_id names the component. Rows with a null
-    doc_id stay, as nothing tells them apart; of rows with that one doc_id all stay."""
-    groups = simhash_groups(docs, doc_id=doc_id, **options).where("doc_id <> component_id")
-    gone = groups.select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+def without_near_duplicates(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group: the one with the smallest doc_id (null behind all others), of these
+    the one with the smallest digest of its text; of rows equal in both any one. Rows are dropped by
+    themselves, so another row of a dropped row's doc_id stays.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    # Written once: the numbers hold in all plans below.
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = simhash_groups(rows, words, row, text).select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+    rank = F.struct(F.col(doc_id).isNull(), F.col(doc_id), digest, F.col(row).alias("row"))
+    ranked = rows.select(row, rank.alias("rank")).join(groups, row)
+    stay = ranked.groupBy("group").agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias(row))
+    return rows.join(stay, row, "left_semi").select(*docs.columns)

@@ -172,6 +172,15 @@ def test_simhash_null_ids(frame):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 4), (4, 4)]
 
 
+@pytest.mark.parametrize("options", [{}])
+def test_near_duplicates_drop_rows_not_ids(frame, options):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    c = " ".join(f"c{i}" for i in range(30))
+    df = frame([(5, a), (7, a), (3, b), (5, b), (3, b), (None, a), (None, c), (None, c)])
+    got = simhash.without_near_duplicates(df, **options).collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in got)) == [(0, c), (3, b), (5, a)]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}
