@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.llm.components import components
+from evalspark.llm.similar import similar_groups
 from evalspark.llm.texts import LOWER, Texts, slices, texts_of
 from evalspark.session import materialise
 
@@ -104,17 +105,25 @@ def simhash_groups(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text
     return prints.join(mapped, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text", similarity: float | None = None
+) -> DataFrame:
     """One row of each group: the one with the smallest doc_id (null behind all others), of these
     the one with the smallest digest of its text; of rows equal in both any one. Rows are dropped by
     themselves, so another row of a dropped row's doc_id stays.
+
+    Without `similarity`, groups are those of `simhash_groups`; with it, those of
+    `similar.similar_groups`: shingles of `words` words with that Jaccard similarity.
     """
     row = "_row"
     while row in docs.columns:
         row = "_" + row
     # Written once: the numbers hold in all plans below.
     rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    groups = simhash_groups(rows, words, row, text).select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    if similarity is None:
+        groups = simhash_groups(rows, words, row, text).select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    else:
+        groups = similar_groups(rows, row, text, words, similarity).toDF(row, "group")
     digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
     rank = F.struct(F.col(doc_id).isNull(), F.col(doc_id), digest, F.col(row).alias("row"))
     ranked = rows.select(row, rank.alias("rank")).join(groups, row)

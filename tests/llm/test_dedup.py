@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import brute
 import numpy as np
@@ -172,7 +173,48 @@ def test_simhash_null_ids(frame):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 4), (4, 4)]
 
 
-@pytest.mark.parametrize("options", [{}])
+def by_similarity(rows, words=5, bound=0.8):
+    """Component (least position) of each row, from all pairs."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(brute.WORD, brute.lowered(text))
+        sets.append({" ".join(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set())
+    own = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or (a and len(a & sets[j]) >= bound * len(a | sets[j])):
+                x, y = own[i], own[j]
+                own = [min(x, y) if c in (x, y) else c for c in own]
+    return own
+
+
+def test_near_duplicates_by_similarity(documents, rows, frame):
+    edited = [t.split() for _, t in rows if t and len(t.split()) > 60][:40]
+    more = [(1000 + i, " ".join([*w[: len(w) // 2], "another", *w[len(w) // 2 :]])) for i, w in enumerate(edited)]
+    given = sorted([*rows, *more, (2000, " \n"), (2001, None), (2002, "One two"), (2003, "one  TWO"), (2004, "one")])
+    own = by_similarity(given)
+    want = {given[c][0] for c in own}
+    assert len(want) < len(set(brute.linked(brute.fingerprints(given)).values()))  # 2 bits find less
+    df = frame(given)
+    got = [r.doc_id for r in simhash.without_near_duplicates(df, words=5, similarity=0.8).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_near_duplicates_of_a_key_with_several_components(frame):
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(200)]
+    given = []
+    for i in range(120):  # chains: each text differs a little from one before it
+        w = list(base if i < 3 else given[int(rng.integers(0, i))][1].split())
+        for at in rng.integers(0, 200, int(rng.integers(2, 8))):
+            w[at] = f"x{rng.integers(0, 10**6)}"
+        given.append((i, " ".join(w)))
+    want = {given[c][0] for c in by_similarity(given)}
+    got = [r.doc_id for r in simhash.without_near_duplicates(frame(given), words=5, similarity=0.8).collect()]
+    assert len(want) > 1 and sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("options", [{}, {"words": 5, "similarity": 0.8}])
 def test_near_duplicates_drop_rows_not_ids(frame, options):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     c = " ".join(f"c{i}" for i in range(30))
