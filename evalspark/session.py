@@ -52,6 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table whose consumers are all written; one outside the shared folder is
+    refused, one already gone is no error."""
+    if not path.startswith(shared_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not an intermediate table")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once as parquet in the shared folder and read back: a checkpoint that survives lost
     executors, keeps column pruning and can be reused by many plans."""
