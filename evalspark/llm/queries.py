@@ -1,4 +1,4 @@
-"""The ten operators over the given tables, with SQL twins where SQL can express them."""
+"""The operators over the given tables, with SQL twins where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalspark.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
+    line_dedup,
     mixing,
     quality,
+    resample,
     sharding,
     simhash,
     substring_dedup,
@@ -125,6 +128,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _covered(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
@@ -142,5 +159,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_exact_dedup,
         op10_simhash,
+        op11_line_dedup,
+        op12_collocations,
+        op13_resampling,
     )
 }

@@ -82,4 +82,64 @@ SQL: dict[str, str] = {
       count(*) OVER (PARTITION BY t)::BIGINT AS group_size,
       doc_id = first_value(doc_id) OVER g AS kept, sha256(t) AS text_sha256
     FROM d WINDOW g AS (PARTITION BY t ORDER BY points DESC, doc_id)""",
+    "op11_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+      FROM documents),
+    x AS (SELECT doc_id, i, l[i] AS line,
+      regexp_replace(translate(l[i], '{UPPER}', '{LOWER}'), '^{SPACE}+|{SPACE}+$', '', 'g') AS k
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+    f AS (SELECT k, min(doc_id) AS first FROM x WHERE length(k) >= 10 GROUP BY 1),
+    j AS (SELECT x.*, coalesce(first <> doc_id, false) AS gone FROM x LEFT JOIN f USING (k))
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM j GROUP BY 1""",
+    "op12_collocations": f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS t FROM documents),
+    w AS (SELECT lang, regexp_extract_all(t, '[^\\x20\\x09]+') AS w FROM p),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM
+      (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+       FROM w, range(1, 5) t(k) WHERE len(w) >= k)),
+    f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+    c AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 30),
+    cut AS (SELECT lang, phrase, a, j, array_to_string(w[:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+    s AS (SELECT cut.lang, cut.phrase, a, j, l.c AS l, r.c AS r,
+      (2000000::HUGEINT * a // (l.c + r.c))::BIGINT AS score
+      FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+    low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    part AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, max(a) AS around FROM
+      (SELECT lang, w, a, z, unnest(range(1, k - z + 2)) AS i FROM c, range(2, 4) t(z) WHERE z < k)
+      GROUP BY ALL),
+    stay AS (SELECT low.* FROM low LEFT JOIN part USING (lang, phrase)
+      WHERE around IS NULL OR 100 * around::HUGEINT < 80 * a::HUGEINT)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+      phrase, a, l, r, n, score FROM stay JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op13_resampling": f"""WITH RECURSIVE step AS (
+      SELECT b::BIGINT AS b, b::BIGINT AS c, 0 AS k FROM range(256) t(b)
+      UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1
+      FROM step WHERE k < 8),
+    lookup AS (SELECT list(c ORDER BY b) AS t FROM step WHERE k = 8),
+    d AS (SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}')) AS x FROM documents),
+    b AS (SELECT unnest(regexp_extract_all(
+      translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}')) AS x FROM benchmark),
+    words AS (SELECT x, list_transform(regexp_extract_all(hex(encode(x)), '..'),
+      lambda h: ('0x' || h)::BIGINT) AS h FROM (SELECT x FROM d UNION SELECT x FROM b)),
+    coded AS (SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, h),
+      lambda c, y: xor(c // 256, t[xor(c % 256, y) + 1])), 4294967295) % 10000 AS bucket FROM words, lookup),
+    s AS (SELECT bucket, count(*) AS s FROM d JOIN coded USING (x) GROUP BY 1),
+    t AS (SELECT bucket, count(*) AS t FROM b JOIN coded USING (x) GROUP BY 1),
+    gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE
+      * ((SELECT count(*) FROM d) + 10000)::DOUBLE / ((s + 1)::DOUBLE
+      * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+    weighed AS (SELECT doc_id, count(*) AS n_features, sum(gain) AS weight
+      FROM d JOIN coded USING (x) JOIN gain USING (bucket) GROUP BY 1),
+    scored AS (SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+      (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+      FROM documents LEFT JOIN weighed USING (doc_id)),
+    ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able
+      FROM scored WHERE n_features >= 20)
+    SELECT scored.*, CASE WHEN rank <= 10 * able // 100 THEN rank END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)""",
 }
