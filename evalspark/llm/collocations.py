@@ -11,12 +11,14 @@ per slot, the only thing sent to the tasks. Two phrases in one slot make a longe
 earlier than need be, which costs counting and changes no result: a slot never changes once set, so
 every phrase has one starting round and one full cycle. Counts are kept by 64-bit keys in a stored
 table that a round's partial counts are added to; phrases whose cycle ends below the threshold
-leave it. A last pass names the keys that stayed and counts these phrases by their text.
+leave it. At last the keys that stayed are named from the first shard, and what it lacks from the
+next; should two named phrases share a key, all is counted anew with other keys.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +34,32 @@ GAPS = b" \t"
 LONGEST, LEAST, MOST = 4, 30, 2000
 SHARDS = 2
 #: The table of reached phrases has so many slots, as a power of two.
-SLOT_BITS = 22
+SLOT_BITS = 24
 NEVER = 255
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Words whose arrays are held at once; a text of any length goes through in such steps.
-STEP_WORDS = 1 << 18
+STEP_WORDS = 1 << 17
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
 _WORD = ~_BREAK
 _WORD[list(GAPS)] = False
 _STATE = "key bigint, meta int, n bigint"
+_NAMES = "key bigint, lang string, words int, phrase string"
 _BLOCK = 1 << 15
+RECENT_KEYS = 1 << 20
 
 
-def _lang_code(lang: str) -> int:
-    return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
+def _lang_code(lang: str, seed: int) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{seed} {lang}".encode(), digest_size=8).digest(), "little")
 
 
-def _steps(batch, longest: int, step: int):
+def _steps(batch, longest: int, step: int, seed: int):
     """Words of a batch in steps: (bytes, starts, ends, piece numbers, keys of the words, language
     numbers, own words). The last longest - 1 words of a step only complete the phrases before."""
     codes: dict[str, int] = {}
     langs = batch["lang"].to_pylist()
-    code = np.array([codes.setdefault(x, _lang_code(x)) for x in langs], np.uint64)
+    code = np.array([codes.setdefault(x, _lang_code(x, seed)) for x in langs], np.uint64)
     for a, b in slices(batch["text"], SLICE_BYTES):
         texts = texts_of(batch["text"].slice(a, b - a))
         starts, ends, first = texts.words(_WORD)
@@ -82,33 +86,42 @@ def _runs(keys: np.ndarray, piece: np.ndarray, longest: int):
         yield n, run, piece[: len(run)] == piece[n - 1 :]
 
 
-def _slots(keys: np.ndarray, slots: int) -> np.ndarray:
-    return (keys >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _scan(table, now: int, shards: int, longest: int, step: int):
+def _start(reached: np.ndarray, bits: int, part: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    """The round before which each run is activated, from the keys of the runs one word shorter."""
+    if part is None:
+        return np.zeros(len(keys), np.uint8)
+    times = reached[_slots(part, bits)]
+    return np.maximum(times[:-1], times[1:])
+
+
+def _scan(table, now: int, shards: int, longest: int, step: int, seed: int):
     """Counts of all phrases that are active in this round; meta is starting round * 8 + length."""
 
     def batches(parts):
         reached = np.frombuffer(table.value, np.uint8)
+        bits = len(reached).bit_length() - 1
         for batch in parts:
-            for _, _, _, piece, words, _, own in _steps(batch, longest, step):
-                held = []
-                before = None
+            codes = {x: _lang_code(x, seed) for x in set(batch["lang"].to_pylist())}
+            code = np.array([codes[x] for x in batch["lang"].to_pylist()], np.uint64)
+            for _, _, _, piece, words, doc, own in _steps(batch, longest, step, seed):
+                held, part = [], None
+                if now < shards:  # the words of each language, as a phrase of no words
+                    some, words_of = np.unique(code[doc[:own]], return_counts=True)
+                    held.append((some, np.zeros(len(some), np.int32), words_of))
                 for n, keys, whole in _runs(words, piece, longest):
-                    if n == 1:
-                        start = np.zeros(len(keys), np.int32)
-                    else:
-                        start = np.maximum(before[:-1], before[1:])
+                    start = _start(reached, bits, part, keys).astype(np.int32)
                     active = whole & (start <= now) & (now < start + shards)
                     active[own:] = False
-                    found, at, count = np.unique(keys[active], return_index=True, return_counts=True)
-                    held.append((found, start[active][at] * 8 + n, count))
-                    if n < longest:
-                        before = reached[_slots(keys, len(reached))].astype(np.int32)
-                keys, meta, count = (np.concatenate(x) for x in zip(*held))
+                    found, at, times = np.unique(keys[active], return_index=True, return_counts=True)
+                    held.append((found, start[active][at] * 8 + n, times))
+                    part = keys
+                keys, meta, times = (np.concatenate(x) for x in zip(*held))
                 if len(keys):
-                    columns = [keys.view(np.int64), meta.astype(np.int32), count.astype(np.int64)]
+                    columns = [keys.view(np.int64), meta.astype(np.int32), times.astype(np.int64)]
                     yield pa.record_batch([pa.array(c) for c in columns], ["key", "meta", "n"])
 
     return batches
@@ -132,33 +145,43 @@ def _spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return out, begin
 
 
-def _name(table, longest: int, step: int):
-    """Phrases whose slots hold a frequent key, by language and text, with their key and count; and
-    every language's words as a phrase of length 0."""
+def _name(tables, longest: int, step: int, seed: int):
+    """Language, length, text and key of all phrases that were counted and whose slot holds a wanted
+    key; and every language as a phrase of length 0."""
 
     def batches(parts):
-        frequent = np.unpackbits(np.frombuffer(table.value, np.uint8), bitorder="little").view(bool)
+        reached, wanted = (np.frombuffer(x, np.uint8) for x in tables.value)
+        bits, fine = len(reached).bit_length() - 1, len(wanted).bit_length() + 2
+        last = np.zeros(RECENT_KEYS, np.uint64)  # keys named last: most repeats end here
         for batch in parts:
             langs = batch["lang"].to_pylist()
-            for data, starts, ends, piece, words, doc, own in _steps(batch, longest, step):
+            some = sorted(set(langs))
+            codes = np.array([_lang_code(x, seed) for x in some], np.uint64)
+            yield _named(some, 0, pa.array([""] * len(some)), codes)
+            for data, starts, ends, piece, words, doc, own in _steps(batch, longest, step, seed):
                 spaced, begin = _spaced(data, starts, ends)
-                rows = np.unique(doc[:own], return_counts=True)
-                yield _named([langs[i] for i in rows[0]], 0, pa.array([""] * len(rows[0])), np.zeros(len(rows[0]), np.int64), rows[1])
+                part = None
                 for n, keys, whole in _runs(words, piece, longest):
-                    chosen = whole & frequent[_slots(keys, len(frequent))]
+                    slot = _slots(keys, fine)
+                    chosen = whole & (wanted[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1)
+                    chosen &= _start(reached, bits, part, keys) != NEVER
                     chosen[own:] = False
                     chosen = np.flatnonzero(chosen)
-                    found, at, count = np.unique(keys[chosen], return_index=True, return_counts=True)
-                    at = chosen[at]
+                    found, at = np.unique(keys[chosen], return_index=True)
+                    place = (found % np.uint64(RECENT_KEYS)).astype(np.int64)
+                    new = last[place] != found
+                    last[place[new]] = found[new]
+                    at = chosen[at[new]]
                     text = _strings(spaced, begin[at], begin[at + n] - 1)
-                    yield _named([langs[i] for i in doc[at]], n, text, found.view(np.int64), count)
+                    yield _named([langs[i] for i in doc[at]], n, text, found[new])
+                    part = keys
 
     return batches
 
 
-def _named(langs, n: int, text: pa.Array, keys: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), n, np.int32)), text, pa.array(keys), pa.array(count.astype(np.int64))]
-    return pa.record_batch(columns, ["lang", "words", "phrase", "key", "n"])
+def _named(langs: list[str], n: int, text: pa.Array, keys: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(keys.view(np.int64)), pa.array(langs, pa.string()), pa.array(np.full(len(langs), n, np.int32)), text]
+    return pa.record_batch(columns, ["key", "lang", "words", "phrase"])
 
 
 def _bits(keys: DataFrame, slot_bits: int) -> np.ndarray:
@@ -193,39 +216,66 @@ def phrase_counts(
     )
     dealt.write.partitionBy("shard").parquet(corpus)
     staged = spark.read.schema("lang string, text string, shard int").parquet(corpus)
+    for seed in count():
+        settled, reached, used = _counted(staged, longest, least, shards, slot_bits, step_words, seed)
+        names, left = None, settled
+        for shard in range(shards):
+            tables = spark.sparkContext.broadcast((reached.tobytes(), _bits(left, slot_bits + 3).tobytes()))
+            some = staged.where(F.col("shard") == shard).select("lang", "text").mapInArrow(_name(tables, longest, step_words, seed), _NAMES)
+            path = scratch_path(spark, "phrase-names")
+            some.join(left, "key", "left_semi").distinct().write.parquet(path)
+            tables.destroy()
+            used.append(path)
+            some = spark.read.schema(_NAMES).parquet(path)
+            names = some if names is None else names.union(some)
+            left = settled.join(names, "key", "left_anti")
+            if left.isEmpty():
+                break
+        known = names.join(settled, "key").select("key", "lang", "words", "phrase", "n")
+        if not _shared(known):
+            break
+        for old in used:
+            discard(spark, old)
+    path = scratch_path(spark, "phrases")
+    known.drop("key").write.parquet(path)
+    for old in (*used, corpus):
+        discard(spark, old)
+    return spark.read.schema("lang string, words int, phrase string, n bigint").parquet(path)
+
+
+def _counted(staged: DataFrame, longest: int, least: int, shards: int, slot_bits: int, step: int, seed: int):
+    """The rounds: keys with their counts, the table of reached phrases, the paths of both."""
+    spark = staged.sparkSession
     reached = np.full(1 << slot_bits, NEVER, np.uint8)
     open_, settled, used = None, None, []
     now, end = 0, shards
     while now < end:
         table = spark.sparkContext.broadcast(reached.tobytes())
-        found = staged.where(F.col("shard") == now % shards).select("lang", "text").mapInArrow(_scan(table, now, shards, longest, step_words), _STATE)
+        scan = _scan(table, now, shards, longest, step, seed)
+        found = staged.where(F.col("shard") == now % shards).select("lang", "text").mapInArrow(scan, _STATE)
         both = found if open_ is None else found.union(open_)
         counts = both.groupBy("key", "meta").agg(F.sum("n").alias("n"))
         # The cycle of a phrase ends `shards` rounds after its first.
         over = F.shiftright("meta", 3) + shards <= now + 1
         path = scratch_path(spark, "phrase-counts")
-        counts.where(~over | (F.col("n") >= least)).write.parquet(path)
+        counts.where(~over | (F.col("n") >= least) | (F.col("meta") == 0)).write.parquet(path)
         stored = spark.read.schema(_STATE).parquet(path)
         table.destroy()
         used.append(path)
         open_ = stored.where(~over)
         settled = stored.where(over) if settled is None else settled.union(stored.where(over))
-        bits = _bits(stored.where((F.col("n") >= least) & (F.col("meta") % 8 < longest)), slot_bits)
+        bits = _bits(stored.where((F.col("n") >= least) & (F.col("meta") % 8).between(1, longest - 1)), slot_bits)
         new = np.unpackbits(bits, bitorder="little").view(bool) & (reached == NEVER)
         now += 1
         if new.any():
             reached[new] = now
             end = now + shards
-    table = spark.sparkContext.broadcast(_bits(settled, slot_bits).tobytes())
-    names = staged.select("lang", "text").mapInArrow(_name(table, longest, step_words), "lang string, words int, phrase string, key bigint, n bigint")
-    names = names.groupBy("lang", "words", "phrase", "key").agg(F.sum("n").alias("n"))
-    path = scratch_path(spark, "phrases")
-    named = names.where(F.col("words") > 0).join(settled, "key", "left_semi").where(F.col("n") >= least)
-    named.select("lang", "words", "phrase", "n").union(names.where("words = 0").select("lang", "words", "phrase", "n")).write.parquet(path)
-    table.destroy()
-    for old in (*used, corpus):
-        discard(spark, old)
-    return spark.read.schema("lang string, words int, phrase string, n bigint").parquet(path)
+    return settled, reached, used
+
+
+def _shared(known: DataFrame) -> bool:
+    """Whether two phrases have one key."""
+    return not known.groupBy("key").count().where("count > 1").isEmpty()
 
 
 def collocations(
@@ -271,7 +321,13 @@ def collocations(
     around = parts.groupBy("lang", F.array_join(F.slice("w", F.col("at"), F.col("size")), " ").alias("phrase")).agg(F.max("a").alias("around"))
     stay = judged.join(around, ["lang", "phrase"], "left")
     stay = stay.where(f"around IS NULL OR 100 * cast(around as decimal(20, 0)) < {int(covered)} * cast(a as decimal(20, 0))")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("lowest.score"), F.desc("a"), "phrase"))
+    # A language may hold most phrases: parts of it name their best first.
+    order = (F.desc("lowest.score"), F.desc("a"), "phrase")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stay = stay.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    best = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    stay = stay.withColumn("place", best).where(F.col("place") <= most)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     ranked = stay.withColumn("rank", place.cast("long")).where(F.col("rank") <= most)
     total = counts.where("words = 0").select("lang", "n")
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "lowest.l", "lowest.r", "n", "lowest.score")

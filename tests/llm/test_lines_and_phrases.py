@@ -77,7 +77,7 @@ def worded(seed, n=120):
 
 
 def found(df, **options):
-    return sorted(map(tuple, collocations.collocations(df, **options).collect()))
+    return sorted(map(tuple, collocations.collocations(df, **{"slot_bits": 16, **options}).collect()))
 
 
 @pytest.mark.parametrize("shards,bits,step", [(2, 22, 1 << 18), (3, 15, 7), (1, 22, 50)])
@@ -96,12 +96,20 @@ def test_collocations_limit_and_repeats(frame):
 
 def test_phrases_start_after_their_parts_and_are_counted_in_full(spark):
     # One document per shard in turn: "a b" reaches 30 only in the last shard of the first cycle.
-    rows = [("en", "a b c d . " * (4 if i else 2)) for i in range(8)]
+    rows = [("en", "a b c d . " * (10 if i else 0)) for i in range(4)]
     df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
-    counts = {r.phrase: r.n for r in collocations.phrase_counts(df, shards=8).collect()}
+    counts = {r.phrase: r.n for r in collocations.phrase_counts(df, shards=4).collect()}
     assert counts == {"": 120, **{p: 30 for p in ("a", "b", "c", "d", "a b", "b c", "c d", "a b c", "b c d", "a b c d")}}
 
 
+def test_phrases_that_share_a_key_are_counted_anew(frame, monkeypatch):
+    answers = iter([True, False])
+    monkeypatch.setattr(collocations, "_shared", lambda known: next(answers))
+    rows = worded(5, 40)
+    assert found(frame(rows, "lang string, text string"), shards=1) == sorted(brute.collocations(rows))
+    assert next(answers, None) is None
+
+
 def test_collocations_edges(frame, spark):
     assert found(frame([], "lang string, text string")) == []
     clash = spark.createDataFrame([("en", "a b " * 40, 1, 2, 3, "x")], "lang string, text string, shard int, key int, n int, rank string")
