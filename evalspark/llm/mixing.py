@@ -13,21 +13,26 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalspark.llm.texts import texts_of, word_bytes
+from evalspark.llm.texts import slices, texts_of, word_bytes
 from evalspark.session import materialise
 
 BLOCK_WORDS = 64
-#: One shard of a source for so many words; a large source has many.
-SHARD_WORDS = 16_000_000
+#: One shard of a source for so many words, so that no task orders a whole large source.
+SHARD_WORDS = 1 << 18
+#: A corpus of more than SHARD_WORDS * MAX_SHARDS words has larger shards: the plan stays this short.
+MAX_SHARDS = 1 << 16
 MOST = 3
 #: A mix names a weight for every source; more than this is no mix, and is refused.
 MAX_SOURCES = 1_000_000
 #: A prime above the number of blocks of any shard: its multiples visit every block once.
 STRIDE = 1_000_000_007
 WORDS = word_bytes(alphanumeric=False)
+#: Bytes of texts whose word spans are held at once.
+SLICE_BYTES = 1 << 19
 
 
 def word_count(text: str):
@@ -78,8 +83,9 @@ def sainte_lague(claims: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray
 
 
 def mix_plan(sized: DataFrame, weights: list[float], seed: int, block: int, shard_words: int):
-    """`sized` with its shard, and a DataFrame (source, shard, source_size, target, blocks, rounds,
-    rest): what to take of each shard. Only one row per source and per shard reaches the driver."""
+    """A DataFrame (source, shards) and a DataFrame (source, shard, source_size, target, blocks,
+    rounds, rest): what to take of each shard. Only one row per source and per shard reaches the
+    driver."""
     spark = sized.sparkSession
     rows = sized.groupBy("source").agg(F.sum("size").alias("n")).orderBy(F.asc_nulls_last("source"))
     rows = rows.limit(MAX_SOURCES + 1).collect()
@@ -88,7 +94,7 @@ def mix_plan(sized: DataFrame, weights: list[float], seed: int, block: int, shar
     n = np.array([r.n or 0 for r in rows], np.int64)
     weight = np.array([weights[i % len(weights)] for i in range(len(rows))], float)
     target = targets(n, weight)
-    shards = np.maximum(1, -(-n // shard_words))
+    shards = np.maximum(1, -(-n // max(shard_words, int(n.sum()) // MAX_SHARDS)))
     known = spark.createDataFrame(
         [(r.source, int(k)) for r, k in zip(rows, shards)], "source string, shards bigint"
     )
@@ -115,7 +121,7 @@ def mix_plan(sized: DataFrame, weights: list[float], seed: int, block: int, shar
         for c, i, b, q in zip(cells, owner.tolist(), blocks.tolist(), quota.tolist())
     ]
     ddl = "source string, shard bigint, source_size bigint, target double, blocks bigint, rounds bigint, rest bigint"
-    return placed, spark.createDataFrame(plan, ddl)
+    return known, spark.createDataFrame(plan, ddl)
 
 
 def mix(
@@ -143,17 +149,22 @@ def mix(
     kept = held.columns
     names = {"doc_id": F.col(doc_id), "source": F.col(source).cast("string"), "size": word_count(text)}
     # The plan needs three narrow columns; they are stored once, the texts are read when used.
-    placed = held.select(*[F.col(c).alias(f"_{c}") for c in kept], *[v.alias(k) for k, v in names.items()])
-    narrow = materialise(placed.select("doc_id", "source", "size"), "sizes")
-    _, plan = mix_plan(narrow, list(weights), seed, block, shard_words)
-    # Shards of the wide rows, by the same rule; the plan has a row per shard of 16M words.
-    shards = plan.groupBy("source").agg(F.max("source_size").alias("n"))
-    shards = shards.select("source", F.greatest(F.lit(1), F.ceil(F.col("n") / shard_words)).alias("shards"))
-    wide = placed.alias("p").join(F.broadcast(shards).alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")))
-    wide = wide.select("p.*", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("k.shards")).alias("shard"))
+    rows = held.select(*[F.col(c).alias(f"_{c}") for c in kept], *[v.alias(k) for k, v in names.items()])
+    narrow = materialise(rows.select("doc_id", "source", "size"), "sizes")
+    laid = _laid(rows, narrow, list(weights), seed, block, shard_words)
+    return laid.select(*[F.col(f"_{c}").alias(c) for c in kept], *results)
+
+
+def _laid(rows: DataFrame, narrow: DataFrame, weights: list[float], seed: int, block: int, shard_words: int) -> DataFrame:
+    """`rows` (doc_id, source, size and others) laid into their shards, with what is taken of each;
+    `narrow` is the three columns, stored."""
+    shards, plan = mix_plan(narrow, weights, seed, block, shard_words)
+    # A row per source and a row per shard: MAX_SOURCES and MAX_SOURCES + MAX_SHARDS rows at most.
+    placed = rows.alias("p").join(F.broadcast(shards).alias("k"), F.col("p.source").eqNullSafe(F.col("k.source")))
+    placed = placed.select("p.*", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("k.shards")).alias("shard"))
     cell = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size")
     begin = F.sum("size").over(cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    laid = wide.withColumn("begin", begin)
+    laid = placed.withColumn("begin", begin)
     at = F.col("l.source").eqNullSafe(F.col("q.source")) & (F.col("l.shard") == F.col("q.shard"))
     laid = laid.alias("l").join(F.broadcast(plan).alias("q"), at).select("l.*", *[f"q.{c}" for c in ("source_size", "target", "blocks", "rounds", "rest")])
     shift = F.pmod(F.xxhash64("source", "shard", F.lit(seed + 2)), F.greatest("blocks", F.lit(1)))
@@ -167,36 +178,74 @@ def mix(
     ).cast("array<struct<start: bigint, end: bigint>>")
     laid = laid.withColumn("parts", parts)
     once = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"])
-    laid = laid.withColumn("taken", F.col("rounds") * F.col("size") + once)
-    return laid.select(*[F.col(f"_{c}").alias(c) for c in kept], *results)
-
-
-def _cut(parts):
-    for batch in parts:
-        texts = texts_of(batch["text"])
-        starts, ends, first = texts.words(WORDS)
-        out = []
-        for i, spans in enumerate(batch["parts"].to_pylist()):
-            n, base = first[i + 1] - first[i], int(texts.starts[i])
-            body, pieces = texts.text(i), []
-            for s in spans:
-                a = 0 if s["start"] == 0 else int(starts[first[i] + s["start"]]) - base
-                b = len(body) if s["end"] == n else int(ends[first[i] + s["end"] - 1]) - base
-                if pieces and pieces[-1][1] == s["start"]:
-                    pieces[-1] = (pieces[-1][0], s["end"], b)
-                else:
-                    pieces.append((a, s["end"], b))
-            out.append(b"\n".join(body[a:b] for a, _, b in pieces).decode())
-        i = batch.schema.get_field_index("text")
-        yield batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself, in the columns of `docs` (text among them): a document as often as it is
+    return laid.withColumn("taken", F.col("rounds") * F.col("size") + once)
+
+
+def _copies(batches):
+    """Each row as often as it is taken whole, and once more with the blocks taken of it."""
+    for batch in batches:
+        names = [c for c in batch.schema.names if c not in ("rounds", "parts")]
+        for a, b in slices(batch["text"], SLICE_BYTES):
+            some = batch.slice(a, b - a)
+            rounds = some["rounds"].to_numpy(zero_copy_only=False)
+            for k in range(int(rounds.max(initial=0))):
+                yield some.filter(pa.array(rounds > k)).select(names)
+            cut = some.filter(pc.greater(pc.list_value_length(some["parts"]), 0))
+            if len(cut):
+                at = names.index("text")
+                yield cut.select(names).set_column(at, cut.schema.field("text"), _cut(cut))
+
+
+def _cut(batch: pa.RecordBatch) -> pa.Array:
+    """The word ranges of each text, joined by a line end where words between are missing."""
+    texts = texts_of(batch["text"])
+    starts, ends, first = texts.words(WORDS)
+    out = []
+    for i, spans in enumerate(batch["parts"].to_pylist()):
+        n, base = first[i + 1] - first[i], int(texts.starts[i])
+        body, pieces = texts.text(i), []
+        for s in spans:
+            a = 0 if s["start"] == 0 else int(starts[first[i] + s["start"]]) - base
+            b = len(body) if s["end"] == n else int(ends[first[i] + s["end"] - 1]) - base
+            if pieces and pieces[-1][1] == s["start"]:
+                pieces[-1] = (pieces[-1][0], s["end"], b)
+            else:
+                pieces.append((a, s["end"], b))
+        out.append(b"\n".join(body[a:b] for a, _, b in pieces).decode())
+    return pa.array(out, batch.schema.field("text").type)
+
+
+def mixed(
+    docs: DataFrame,
+    weights: list[float] = (1, 2, 3),
+    seed: int = 0,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    block: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """The mix itself, in the columns of `docs`, whatever their names: a document as often as it is
     taken whole, and once more with the blocks taken of it (in order, joined by a line end where
-    blocks between are missing) if only some are."""
-    taken = mix(docs, **options)
-    whole = taken.where("rounds > 0 and size > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "rounds")))
-    whole = whole.select(*docs.columns)
-    some = taken.where("size(parts) > 0").withColumn("text", F.col("text").cast("string")).select(*docs.columns, "parts")
-    return whole.union(some.mapInArrow(_cut, some.schema).select(*docs.columns))
+    blocks between are missing) if only some are.
+
+    Only numbers, ids, sources and sizes are ordered; the texts are stored once with their numbers
+    and meet their part of the plan in one join.
+    """
+    others = [c for c in docs.columns if c != text]
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("at"),
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).cast("string").alias("source"),
+        word_count(text).alias("size"),
+        F.col(text).cast("string").alias("text"),
+        F.struct(*[F.col(c) for c in others]).alias("row"),
+    )
+    rows = materialise(rows, "numbered")  # the numbers hold in both uses below
+    narrow = rows.select("at", "doc_id", "source", "size")
+    taken = _laid(narrow, narrow.drop("at"), list(weights), seed, block, shard_words)
+    taken = taken.where("taken > 0").select("at", "rounds", "parts")
+    both = rows.select("at", "text", "row").join(taken, "at").drop("at")
+    copies = both.mapInArrow(_copies, both.drop("rounds", "parts").schema)
+    kind = docs.schema[text].dataType
+    return copies.select(*[F.col("text").cast(kind).alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

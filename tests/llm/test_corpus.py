@@ -9,6 +9,7 @@ import pytest
 
 from evalspark.llm import decontaminate, mixing, quality, sharding, url_filter, warc
 from evalspark.llm.queries import URL_RULES
+from test_dedup import by_similarity
 
 DOC = "doc_id bigint, text string"
 SOURCED = "doc_id bigint, source string, text string"
@@ -229,6 +230,35 @@ def test_mixed_texts(frame, small):
     assert words == Counter({d: n for d, n in taken.items() if n})
 
 
+def test_mixed_keeps_columns_of_any_name(frame, small, spark):
+    extra = "size int, taken string, _copy int, parts string, target double, rounds int, source_size int, shard int, row string, at int"
+    rows = [(d, f"s{d % 4}", t, 99, "k", 7, "p", 0.5, 2, 3, 4, "r", 5) for d, t in small]
+    plain = mixing.mixed(frame([r[:3] for r in rows], SOURCED), block=8)
+    got = mixing.mixed(spark.createDataFrame(rows, SOURCED + ", " + extra).repartition(3), block=8)
+    assert got.columns[3:] == ["size", "taken", "_copy", "parts", "target", "rounds", "source_size", "shard", "row", "at"]
+    assert {tuple(r)[3:] for r in got.collect()} == {rows[0][3:]}
+    assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(map(tuple, plain.collect()))
+    renamed = frame([r[:3] for r in rows], "id bigint, origin string, body string")
+    got = mixing.mixed(renamed, block=8, doc_id="id", source="origin", text="body")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_mix_takes_blocks_by_a_seeded_permutation(frame, small):
+    """Blocks taken of each shard, from the rounds and parts: a permutation's first `rest` blocks."""
+    rows = [(d, "s", t) for d, t in small] + [(d + 10_000, "z", t) for d, t in small[:5]]
+    got = mixing.mix(frame(rows, SOURCED), block=4, weights=(1, 1)).collect()
+    for name in ("s", "z"):
+        own = sorted((r for r in got if r.source == name and r["size"]), key=lambda r: r.doc_id)
+        assert len({r.rounds for r in own}) == 1  # one shard, one number of rounds
+        total = sum(r["size"] for r in own)
+        quota = round(own[0].target / 4)
+        blocks = -(-total // 4)
+        rest = quota - own[0].rounds * blocks
+        assert 0 <= rest < blocks or abs(quota - 3 * blocks) <= 1
+        partial = sum(p.end - p.start for r in own for p in r.parts)
+        assert 4 * (rest - 2) <= partial <= 4 * (rest + 2)
+
+
 def test_mix_edges(frame, spark):
     assert mixing.mix(frame([], SOURCED)).count() == 0
     got = mixing.mix(frame([(1, None, None), (1, None, " "), (None, "a", "x y"), (None, "a", "x y")], SOURCED), block=1).collect()
@@ -346,8 +376,9 @@ def test_pipeline_stages(spark):
         old = [(r.doc_id, r.text) for r in before.collect()]
         if name == "quality classifier":
             want = {d for d, _ in old if scores[d] >= quality.THRESHOLD}
-        elif name == "SimHash near-dedup":
-            want = set(brute.linked(brute.fingerprints(old)).values())
+        elif name == "near-dedup":
+            old.sort()
+            want = {old[c][0] for c in by_similarity(old)}
         else:
             bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
             want = {d for d, v in brute.contamination(old, bench).items() if not v[3]}
