@@ -5,7 +5,7 @@ import brute
 import numpy as np
 import pytest
 
-from evalspark.llm import exact_dedup, repeats, simhash, substring_dedup, suffix_dedup
+from evalspark.llm import exact_dedup, repeats, similar, simhash, substring_dedup, suffix_dedup
 from evalspark.llm.components import components
 
 
@@ -227,3 +227,23 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(links, "a", "b").collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+
+
+def test_texts_of_one_template_do_not_meet(frame, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"t{i}" for i in range(120)]
+    given = []
+    for i in range(150):  # 120 words in common, 50 of each one's own: similarity below 0.8
+        own = [f"x{i}-{k}" for k in range(50)]
+        at = sorted(rng.choice(120, 5, replace=False))
+        w = list(words)
+        for k, a in enumerate(reversed(at)):
+            w[a:a] = own[k * 10 : k * 10 + 10]
+        given.append((i, " ".join(w)))
+    tested = []
+    held = similar.materialise
+    monkeypatch.setattr(similar, "materialise", lambda df, name: (lambda t: tested.append(t.count()) or t if name == "pairs" else t)(held(df, name)))
+    got = simhash.without_near_duplicates(frame(given), words=5, similarity=0.8).count()
+    assert got == len({c for c in by_similarity(given)})
+    # 11,175 pairs in all: only those with the least text of a key are compared.
+    assert len(tested) == 2 and tested[0] < 150 * similar.BANDS and tested[1] == 0
