@@ -22,8 +22,10 @@ CHUNK = 512  # bytes; the next chunk starts half of it later
 HALF = CHUNK // 2
 WIDTH, STEP = 8, 4
 EMBEDDING, FILTERS = 8, 24
-#: Bounds of the sample that the network is fitted on: documents, and bytes of one document.
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16_384
+#: Bound of the sample that the network is fitted on: labelled documents, whole texts of them.
+SAMPLE_ROWS = 3000
+#: Bytes of texts whose activations are held at once; one document at least.
+PASS_BYTES = 1 << 18
 #: Steps of BATCH documents, however many there are.
 STEPS, BATCH, RATE, DECAY = 400, 64, 0.01, 1e-5
 PAD = 256
@@ -172,12 +174,18 @@ def train(texts: list[bytes], labels: list[int], seed: int = 0) -> Model:
             if step == STEPS:
                 break
             rows = order[at : at + BATCH]
-            data = np.frombuffer(b"".join(texts[i] for i in rows), np.uint8)
             size = np.array([len(texts[i]) for i in rows], np.int64)
-            cells, first = laid_out(data, np.cumsum(size) - size, np.cumsum(size))
+            passes = np.split(rows, np.flatnonzero(np.diff(np.cumsum(size) // PASS_BYTES)) + 1)
+            total = [np.zeros_like(x) for x in model.parts()]
+            for own in passes:  # long texts of a batch do not lie in memory together
+                data = np.frombuffer(b"".join(texts[i] for i in own), np.uint8)
+                size = np.array([len(texts[i]) for i in own], np.int64)
+                cells, first = laid_out(data, np.cumsum(size) - size, np.cumsum(size))
+                for t, g in zip(total, _gradients(model, cells, first, y[own], weight[own])):
+                    t += g * np.float32(len(own) / len(rows))
             step += 1
             rate = RATE * (1 - step / (STEPS + 1))
-            for x, g, (m, v) in zip(model.parts(), _gradients(model, cells, first, y[rows], weight[rows]), moments):
+            for x, g, (m, v) in zip(model.parts(), total, moments):
                 g = g + DECAY * x
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -193,19 +201,18 @@ def held_out(doc_id: str):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Fit on at most SAMPLE_ROWS labelled documents that are not held out, in the order of a hash
-    of the id, by their first SAMPLE_BYTES bytes. Rows with a null id, label or text teach nothing;
-    of repeated labels of an id the greatest counts."""
+    """Fit on the whole texts of at most SAMPLE_ROWS labelled documents that are not held out, in
+    the order of a hash of id and text. Rows with a null id, label or text teach nothing; of repeated
+    labels of an id the greatest counts, rows equal in id and text are one."""
     known = labels.where(F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(doc_id).agg(F.max(label).cast("int").alias("y"))
-    chosen = known.where(F.col(doc_id).isNotNull()).orderBy(F.xxhash64(doc_id), doc_id).limit(SAMPLE_ROWS)
-    body = F.substring(F.encode(F.col(text).cast("string"), "UTF-8"), 1, SAMPLE_BYTES).alias("body")
-    # At most SAMPLE_ROWS ids; the documents stay where they are.
-    rows = docs.join(F.broadcast(chosen), doc_id).where(F.col(text).isNotNull()).select(doc_id, body, "y")
-    held = {}
-    for r in rows.limit(2 * SAMPLE_ROWS).collect():  # repeated documents may add a few
-        held[(r[0], bytes(r["body"]))] = r["y"]
-    order = sorted(held)
-    return train([k[1] for k in order], [held[k] for k in order])
+    names = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("body")).where("id IS NOT NULL AND body IS NOT NULL")
+    digest = F.sha2("body", 256).alias("digest")
+    found = names.join(known.withColumnRenamed(doc_id, "id"), "id").select("id", digest, "y").distinct()
+    # At most SAMPLE_ROWS rows; the documents stay where they are.
+    chosen = found.orderBy(F.xxhash64("id", "digest"), "id", "digest").limit(SAMPLE_ROWS)
+    rows = names.withColumn("digest", digest).join(F.broadcast(chosen), ["id", "digest"])
+    rows = rows.groupBy("id", "digest", "y").agg(F.first("body").alias("body")).orderBy("id", "digest").collect()
+    return train([r.body.encode() for r in rows], [r.y for r in rows])
 
 
 def _score(model: Model):
