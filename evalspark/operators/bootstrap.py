@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions import scoring as sx
-from evalspark.operators import scoring
+from evalspark.operators import multinomial, scoring
 
 REPEATS = 1000
 SEED = 13
@@ -99,6 +99,12 @@ def replicate_sums(
     return parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in names])
 
 
+def draws(stats: DataFrame, group: str, columns: list[str], repeats: int, seed: int, fixed: bool) -> DataFrame:
+    """Weighted sums per replicate: Poisson(1) weights, or exactly as many draws as groups."""
+    drawn = multinomial.fixed_sums if fixed else replicate_sums
+    return drawn(stats, group, columns, repeats, seed)
+
+
 def interval(
     values: DataFrame, metrics: list[str], low: float = 0.025, high: float = 0.975
 ) -> DataFrame:
@@ -148,12 +154,14 @@ def score_intervals(
     ref: str | None = None,
     repeats: int = REPEATS,
     seed: int = SEED,
+    fixed: bool = False,
 ) -> DataFrame:
     """(metric, point, low, high, groups) for prevalence, log loss, Brier, ECE and, with `ref`, the
-    paired differences in the same draws. Fewer than two groups give null bounds."""
+    paired differences in the same draws. Fewer than two groups give null bounds. `fixed`: every
+    replicate draws as many groups as there are (`multinomial`), instead of Poisson(1) weights."""
     stats = group_statistics(df, group, y, p, ref)
     columns = [c for c in stats.columns if c != group]
-    sums = replicate_sums(stats, group, columns, repeats, seed).where("n > 0")
+    sums = draws(stats, group, columns, repeats, seed, fixed).where("n > 0")
     extra = [c for c in ("d_ll", "d_br", "n") if c in columns]
     drawn = scoring.finish(sums, ["replicate", "groups", *extra])
     metrics = ["prevalence", "log_loss", "brier", "ece"]
@@ -205,6 +213,7 @@ def seed_intervals(
     ref: str,
     repeats: int = REPEATS,
     seed: int = SEED,
+    fixed: bool = False,
 ) -> DataFrame:
     """(seed, low, high): the paired log-loss interval of every seed, all in the same draws.
 
@@ -218,7 +227,7 @@ def seed_intervals(
         sums.append(F.sum(F.when(hit, delta).otherwise(0.0)).alias(f"d{s}"))
     stats = replicates.groupBy(group).agg(*sums)
     columns = [f"{kind}{s}" for s in seeds for kind in ("n", "d")]
-    drawn = replicate_sums(stats, group, columns, repeats, seed)
+    drawn = draws(stats, group, columns, repeats, seed, fixed)
     ratios = drawn.select(
         "replicate",
         "groups",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from evalspark import bridge
 from evalspark.functions import fen as fx
 from evalspark.functions.scoring import r6
-from evalspark.operators import bootstrap, calibrate, gates, keys, scoring, summaries
+from evalspark.operators import bootstrap, calibrate, gates, keys, multinomial, scoring, summaries
 from evalspark.plans.expressions import KEY, SLICE_CASES
 from evalspark.plans.identity import KEYED, keyed
 from evalspark.plans.registry import query
@@ -175,6 +175,34 @@ def group_bootstrap(spark, sf):
     return rounded(out, ("low", "high"))
 
 
+@query(
+    "e4_fixed_count_draws",
+    EVALUATED + """, g AS (SELECT count(DISTINCT game_id)::BIGINT AS groups, count(*)::BIGINT AS rows
+      FROM evaluated)
+    SELECT 1001::BIGINT AS replicates, groups AS least, groups AS most, rows, true AS near,
+      true AS same FROM g""",
+)
+def fixed_count_draws(spark, sf):
+    """Draws of every replicate of the fixed-count bootstrap: as many as groups. The mean of the
+    drawn rows lies within 5 standard errors of all rows, and another partitioning draws the same."""
+    stats = evaluated(spark, sf).groupBy("game_id").agg(F.count(F.lit(1)).alias("n"))
+    a = multinomial.fixed_sums(stats, "game_id", ["n"], bootstrap.REPEATS, bootstrap.SEED)
+    b = multinomial.fixed_sums(stats.repartition(7, "n"), "game_id", ["n"], bootstrap.REPEATS, bootstrap.SEED)
+    drawn = F.col("replicate") >= 0
+    out = a.agg(
+        F.count(F.lit(1)).alias("replicates"),
+        F.min("groups").cast("long").alias("least"),
+        F.max("groups").cast("long").alias("most"),
+        F.max(F.when(~drawn, F.col("n"))).cast("long").alias("rows"),
+        F.avg(F.when(drawn, F.col("n"))).alias("mean"),
+        F.stddev(F.when(drawn, F.col("n"))).alias("spread"),
+        F.sum(F.col("n") * (F.col("replicate") + 2)).alias("mark"),
+    )
+    near = F.abs(F.col("mean") - F.col("rows")) <= 5 * F.col("spread") / bootstrap.REPEATS**0.5
+    mark = b.agg(F.sum(F.col("n") * (F.col("replicate") + 2)).alias("mark")).scalar()
+    return out.select("replicates", "least", "most", "rows", near.alias("near"), (F.col("mark") == mark).alias("same"))
+
+
 @query(
     "e5_paired_deltas",
     DRAWN

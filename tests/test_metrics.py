@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evalspark.operators import bootstrap, calibrate, gates, ranking, scoring, summaries
+from evalspark.operators import bootstrap, calibrate, gates, multinomial, ranking, scoring, summaries
 
 ROWS = [
     ("a", 1.0, 0.9), ("a", 0.0, 0.2), ("b", 1.0, 0.4), ("b", 0.0, 0.05), ("c", 1.0, 1.0),
@@ -353,3 +353,43 @@ def test_gates_fail_closed(spark):
     got = {r.schema: r.reasons for r in gates.cost_gate(costs, wanted).collect()}
     assert got["S1"] == [] and got["S2"] == ["extraction-latency-overhead-exceeded"]
     assert "missing-extraction-cost-evidence" in got["S9"]
+
+
+def test_fixed_draws_split_down_a_tree(monkeypatch):
+    counts = np.array([3, 0, 5, 1, 0, 0, 2, 9])
+    weights = [multinomial.bucket_weights(counts, b, 400, 5) for b in range(8)]
+    assert [w.shape[1] for w in weights] == counts.tolist()
+    both = np.hstack(weights)
+    assert (both.sum(axis=1) == 20).all()
+    # Moments of a plain multinomial draw of 20 of 20.
+    assert both.mean(axis=0) == pytest.approx(np.ones(20), abs=0.25)
+    assert both.var(axis=0).mean() == pytest.approx(0.95, abs=0.1)
+    cov = np.cov(both.T)
+    assert cov[~np.eye(20, dtype=bool)].mean() == pytest.approx(-0.05, abs=0.02)
+
+
+def test_fixed_count_bootstrap(spark, monkeypatch):
+    monkeypatch.setattr(multinomial, "BUCKET_GROUPS", 16)
+    rng = np.random.default_rng(3)
+    data = [(f"g{i}" if i else None, int(rng.integers(1, 9)), float(rng.normal())) for i in range(300)]
+    stats = spark.createDataFrame(data, "g string, n int, s double")
+    got = sorted(map(tuple, multinomial.fixed_sums(stats, "g", ["n", "s"], 200, 7).collect()))
+    assert [r[0] for r in got] == list(range(-1, 200)) and {r[3] for r in got} == {300}
+    assert got[0][1] == sum(r[1] for r in data)
+    again = sorted(map(tuple, multinomial.fixed_sums(stats.repartition(5), "g", ["n", "s"], 200, 7).collect()))
+    assert np.array(again) == pytest.approx(np.array(got))
+    # The spread of the mean is that of resampling directly.
+    n, s = np.array([r[1] for r in data]), np.array([r[2] for r in data])
+    drawn = rng.integers(0, 300, (2000, 300))
+    direct = s[drawn].sum(axis=1) / n[drawn].sum(axis=1)
+    ratios = np.array([r[2] / r[1] for r in got[1:]])
+    assert ratios.std() == pytest.approx(direct.std(), rel=0.2)
+    assert multinomial.fixed_sums(stats.limit(0), "g", ["n"], 10, 7).count() == 0
+
+
+def test_intervals_with_fixed_draws(rows):
+    a = {r.metric: r for r in bootstrap.score_intervals(rows, "g", ref="ref", fixed=True).collect()}
+    b = {r.metric: r for r in bootstrap.score_intervals(rows, "g", ref="ref").collect()}
+    for name in a:
+        assert a[name].point == pytest.approx(b[name].point) and a[name].groups == 4
+        assert a[name].low <= a[name].point <= a[name].high or name == "ece"
