@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,6 +136,72 @@ def column_statistics(train: DataFrame, columns: list[str]) -> DataFrame:
 LANES = 8
 
 
+def row_body(df: DataFrame, names: list[str]) -> Column:
+    """A row as JSON text, in the order of `names`."""
+    kinds = dict(df.dtypes)
+    cells = [F.hex(F.col(c)) if kinds[c] == "binary" else F.col(c).alias(c) for c in names]
+    return F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+
+
+def digest_tree(
+    df: DataFrame, key: str, columns: list[str] | None = None, depth: int = 3, spread: int = 0
+) -> DataFrame:
+    """(level, path, digest, rows): a Merkle tree over the table, one row per node, level 0 the root.
+
+    A row's path is the first `depth` digits of the SHA-256 of its key, then `spread` digits of the
+    SHA-256 of the row; `spread` cuts the leaf of a key that holds a large part of the rows. A leaf's
+    digest is the SHA-256 of its rows' digests with their counts, in sorted order; a node's that of
+    its children's digits and digests. So it does not depend on row order, layout or column order,
+    repeated rows count, and edits cannot cancel out as they can in a sum. Equal rows are counted
+    before a leaf is gathered, so a leaf holds rows / 16 ** (depth + spread) digests. The root of an
+    empty table is the digest of nothing. A null key is the text `null`.
+    """
+    names = sorted(columns or df.columns)
+    row = F.sha2(row_body(df, names), 256).alias("row")
+    place = F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("null")), 256).alias("place")
+    each = df.select(place, row)
+    path = F.concat(F.substring("place", 1, depth), F.substring("row", 1, spread))
+    counted = each.groupBy(path.alias("path"), "row").agg(F.count(F.lit(1)).alias("n"))
+
+    def folded(rows: DataFrame, at: Column, entry: Column, n: str) -> DataFrame:
+        body = F.concat_ws(",", F.sort_array(F.collect_list(entry)))
+        found = rows.groupBy(at.alias("path")).agg(F.sha2(body, 256).alias("digest"), F.sum(n).alias("rows"))
+        return materialise(found, "digest-tree")
+
+    entry = F.concat_ws(":", "row", F.col("n").cast("string"))
+    level = depth + spread
+    nodes = [folded(counted, F.col("path"), entry, "n")]
+    for short in range(level - 1, 0, -1):
+        child = F.concat_ws(":", F.substring("path", -1, 1), "digest")
+        nodes.append(folded(nodes[-1], F.substring("path", 1, short), child, "rows"))
+    body = F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", F.substring("path", -1, 1), "digest"))))
+    root = nodes[-1].agg(F.sha2(body, 256).alias("digest"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    parts = [root.select(F.lit(0).alias("level"), F.lit("").alias("path"), "digest", "rows")]
+    parts += [t.select(F.lit(i).alias("level"), "path", "digest", "rows") for i, t in zip(range(level, 0, -1), nodes)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def tree_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(level, path, rows_a, rows_b): the leaves in which two trees of one shape differ, found by
+    descent: a level looks only at children of nodes that differ. No rows: equal tables."""
+    a, b = materialise(a, "digest-tree"), materialise(b, "digest-tree")
+    depth = max(a.agg(F.max("level")).first()[0], b.agg(F.max("level")).first()[0])
+    open_ = None
+    for level in range(depth + 1):
+        x, y = (t.where(F.col("level") == level).drop("level") for t in (a, b))
+        if open_ is not None:
+            parent = F.substring("path", 1, level - 1)
+            x, y = (t.join(open_, parent.eqNullSafe(F.col("parent")), "left_semi") for t in (x, y))
+        both = x.select("path", F.col("digest").alias("da"), F.col("rows").alias("rows_a")).join(
+            y.select("path", F.col("digest").alias("db"), F.col("rows").alias("rows_b")), "path", "full"
+        )
+        found = both.where(~F.col("da").eqNullSafe(F.col("db")))
+        open_ = materialise(found.select(F.col("path").alias("parent")), "open-nodes")
+    return found.select(
+        F.lit(depth).alias("level"), "path", F.coalesce("rows_a", F.lit(0)).alias("rows_a"), F.coalesce("rows_b", F.lit(0)).alias("rows_b")
+    )
+
+
 def content_digest(
     df: DataFrame, columns: list[str] | None = None, metadata: dict[str, str] | None = None
 ) -> DataFrame:
@@ -147,10 +215,7 @@ def content_digest(
     """
     names = sorted(columns or df.columns)
     kinds = dict(df.dtypes)
-    cells = [
-        F.hex(F.col(c)) if kinds[c] == "binary" else F.col(c).alias(c) for c in names
-    ]
-    body = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+    body = row_body(df, names)
     label = "|".join(f"{k}={v}" for k, v in sorted((metadata or {}).items()))
     label += "||" + ",".join(f"{c}:{kinds[c]}" for c in names)
     lanes = [
