@@ -11,6 +11,7 @@ from evalspark.functions import fen as fx
 from evalspark.functions import hashing
 from evalspark.operators import ordering
 from evalspark.operators.validation import Refused
+from evalspark.session import materialise
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,6 +34,53 @@ def exclude_seen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return rows.join(seen.select(key).distinct(), key, "left_anti")
 
 
+#: Positions of one block of the filter of seen keys; a block is a bitmap of 4 KB.
+BLOCK_BITS = 1 << 15
+#: Bits that a key sets in its block.
+KEY_BITS = 4
+
+
+def _block(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def _positions(key: str) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(BLOCK_BITS)).cast("int") for i in range(1, KEY_BITS + 1)]
+
+
+def seen_filter(seen: DataFrame, key: str, blocks: int) -> DataFrame:
+    """(block, bits): a blocked Bloom filter of the keys, `blocks` bitmaps of 4 KB at most. A key sets
+    KEY_BITS bits of the one block its hash names. Built as a partial aggregate; filters of parts of
+    a table merge by `merged_filters`."""
+    each = seen.where(F.col(key).isNotNull()).select(_block(key, blocks).alias("block"), F.explode(F.array(*_positions(key))).alias("at"))
+    return each.groupBy("block").agg(F.bitmap_construct_agg(F.col("at").cast("long")).alias("bits"))
+
+
+def merged_filters(filters: DataFrame) -> DataFrame:
+    return filters.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def maybe_seen(rows: DataFrame, filter_: DataFrame, key: str, blocks: int, name: str = "_maybe") -> DataFrame:
+    """`rows` with a flag that is false only for keys that the filter surely lacks (null keys among
+    them). The filter has `blocks` rows at most, and is sent to the tasks: nothing is shuffled."""
+    bits = F.broadcast(filter_.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
+    held = rows.withColumn("_block", _block(key, blocks)).withColumn("_at", F.array(*_positions(key)))
+    byte = "cast(conv(hex(substring(_bits, _at[{0}] div 8 + 1, 1)), 16, 10) as int)"
+    set_ = " AND ".join(f"shiftright({byte.format(i)}, _at[{i}] % 8) & 1 = 1" for i in range(KEY_BITS))
+    flag = F.coalesce(F.col(key).isNotNull() & F.expr(set_), F.lit(False))
+    return held.join(bits, "_block", "left").select(*rows.columns, flag.alias(name))
+
+
+def exclude_seen_prefiltered(rows: DataFrame, seen: DataFrame, key: str, blocks: int = 1024) -> DataFrame:
+    """Rows of `exclude_seen`, null keys kept like there. Rows that a Bloom filter of the seen keys
+    surely lacks pass without a shuffle; only the others meet the exact exclusion, which decides, so
+    nothing is removed by chance. Worth it where most rows are unseen: `rows` is read twice, and the
+    filter (4 KB a block) should have some 8 bits per seen key; a full one only saves nothing."""
+    flagged = maybe_seen(rows, materialise(seen_filter(seen, key, blocks), "seen-filter"), key, blocks)
+    sure = flagged.where(~F.col("_maybe")).drop("_maybe")
+    return sure.unionByName(exclude_seen(flagged.where("_maybe").drop("_maybe"), seen, key).select(*rows.columns))
+
+
 def exclusion_counts(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Input, removed and kept rows of `exclude_seen`, without joining row by row: both sides are
     counted per key first."""

@@ -32,6 +32,19 @@ def exclude_seen(spark, sf):
     ).select("row_id", "key")
 
 
+@query(
+    "d1_exclude_seen_prefiltered",
+    KEYED + """ SELECT row_id, key FROM keyed k WHERE split = 'test'
+      AND NOT EXISTS (SELECT 1 FROM keyed t WHERE t.split = 'train' AND t.key = k.key)""",
+)
+def exclude_seen_prefiltered(spark, sf):
+    """The same exclusion, the rows that are surely unseen not shuffled."""
+    rows = keyed(spark, sf).select("row_id", "key", "split")
+    return keys.exclude_seen_prefiltered(
+        rows.where("split = 'test'"), rows.where("split = 'train'"), "key"
+    ).select("row_id", "key")
+
+
 @query(
     "d1_exclusion_counts",
     """WITH d AS (SELECT lower(trim(text)) AS key, lang FROM documents),
@@ -325,6 +338,54 @@ def content_digest(spark, sf):
     )
 
 
+TREE_KEY = "sha256(o_orderkey::VARCHAR)"
+
+
+def tree_sql(name: str, source: str) -> str:
+    """Leaves, inner nodes and root of `summaries.digest_tree` at depth 2, as CTEs named by `name`."""
+    kids = "sha256(string_agg(right(path, 1) || ':' || digest, ',' ORDER BY path))"
+    return f"""{name}_rows AS (SELECT left({TREE_KEY}, 2) AS path, sha256({ORDER_BODY}) AS r, count(*) AS n
+      FROM {source} GROUP BY ALL),
+    {name}_2 AS (SELECT path, sha256(string_agg(r || ':' || n, ',' ORDER BY r || ':' || n)) AS digest,
+      sum(n)::BIGINT AS rows FROM {name}_rows GROUP BY 1),
+    {name}_1 AS (SELECT left(path, 1) AS up, {kids} AS digest, sum(rows)::BIGINT AS rows
+      FROM {name}_2 GROUP BY 1),
+    {name} AS (SELECT 0 AS level, '' AS path, {kids} AS digest, sum(rows)::BIGINT AS rows
+      FROM (SELECT up AS path, digest, rows FROM {name}_1)
+      UNION ALL SELECT 1, up, digest, rows FROM {name}_1
+      UNION ALL SELECT 2, path, digest, rows FROM {name}_2)"""
+
+
+def _orders(spark, sf):
+    return bridge.read(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority",
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+    )
+
+
+@query("e21_digest_tree", "WITH " + tree_sql("tree", "orders") + " SELECT * FROM tree")
+def digest_tree(spark, sf):
+    """Every node of the Merkle tree over the orders, by key."""
+    return summaries.digest_tree(_orders(spark, sf).repartition(5), "o_orderkey", depth=2)
+
+
+@query(
+    "e21_tree_differences",
+    """WITH edited AS (SELECT * REPLACE (CASE WHEN o_orderkey % 5000 = 1 THEN 0.0 ELSE o_totalprice END
+      AS o_totalprice) FROM orders WHERE o_orderkey % 7000 <> 3),
+    """ + tree_sql("a", "orders") + ", " + tree_sql("b", "edited") + """
+    SELECT 2 AS level, path, coalesce(a_2.rows, 0)::BIGINT AS rows_a, coalesce(b_2.rows, 0)::BIGINT AS rows_b
+    FROM a_2 FULL JOIN b_2 USING (path) WHERE a_2.digest IS DISTINCT FROM b_2.digest""",
+)
+def tree_differences(spark, sf):
+    """The leaves that hold edited and lost orders, found by descent from the roots."""
+    orders = _orders(spark, sf)
+    price = F.when(F.col("o_orderkey") % 5000 == 1, 0).otherwise(F.col("cents")).cast("long")
+    edited = orders.where("o_orderkey % 7000 <> 3").withColumn("cents", price)
+    trees = [summaries.digest_tree(t, "o_orderkey", depth=2) for t in (orders, edited)]
+    return summaries.tree_differences(*trees)
+
+
 @query(
     "e25_uniqueness",
     """SELECT count(*)::BIGINT AS keys, count(*) FILTER (WHERE n > 1)::BIGINT AS repeated_keys,
