@@ -101,13 +101,17 @@ def to_positions(export_df: DataFrame) -> DataFrame:
 
 # How a footer names the types of the position columns.
 ARROW_NAMES = {"string": "string", "int": "int32", "float": "float"}
+# Encodings of a string column that Spark reads as a string.
+STRING_NAMES = ("large_string", "string_view")
 ROW_METADATA = "org.apache.spark.sql.parquet.row.metadata"
 
 
 def file_layouts(spark: SparkSession, *paths: str) -> DataFrame:
     """(columns, identity, files): the distinct layouts of all parquet files. `columns` maps names
     to types, `identity` is the stored row schema with its field metadata. A healthy table has one."""
-    found = footers(spark, *paths)
+    text = F.lit("string")
+    plain = lambda k, v: F.when(v.isin(*STRING_NAMES) | v.rlike(r"^dictionary<values=(large_)?string"), text).otherwise(v)
+    found = footers(spark, *paths).withColumn("columns", F.transform_values("columns", plain))
     layout = F.sort_array(F.map_entries("columns")).alias("layout")
     identity = F.try_element_at("metadata", F.lit(ROW_METADATA)).alias("identity")
     distinct = found.groupBy(layout, identity).agg(F.count(F.lit(1)).alias("files"))
@@ -115,14 +119,14 @@ def file_layouts(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def footers(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, rows, metadata, columns): key/value metadata and column types of every parquet file,
-    read by the executors.
+    """(path, rows, metadata, columns): key/value metadata and column types of every file that a
+    parquet scan of the paths reads, whatever its name, read by the executors.
 
-    Only file listings and footers are touched; file contents are not loaded.
+    Only file listings and footers are touched; file contents are not loaded. Names that start with
+    `_` or `.` are left out, as scans leave them out.
     """
     listed = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
         .load(list(paths))
         .select("path")

@@ -433,3 +433,59 @@ def test_ranker_stops_early_and_restores_the_best_weights(spark, monkeypatch):
     monkeypatch.setattr(fit.Lists, "scored", lambda self, df, w: None)
     model = fit.fit_ranker(lists, epochs=40, patience=3, rate=0.1)
     assert model.epoch == 2 and len(model.history) == 5
+
+
+def test_every_file_of_a_scan_is_judged(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    names = [f.name for f in schemas.POSITION.fields]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float32()]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*POSITIONS), kinds)], names)
+    wide = table.cast(pa.schema([(n, pa.large_string() if pa.types.is_string(t) else t) for n, t in zip(names, kinds)]))
+    coded = table.set_column(4, "side", table["side"].dictionary_encode())
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    for path in (good, bad):
+        path.mkdir()
+    for i, t in enumerate((table, wide, coded)):  # shards of other writers
+        pq.write_table(t, good / f"{i}.parquet")
+    (good / "_notes").write_text("not a shard")
+    assert readers.positions(spark, str(good)).count() == 9
+    pq.write_table(table, bad / "a.parquet")
+    pq.write_table(table.drop(["dice"]), bad / "b.pq")
+    with pytest.raises(Refused, match="missing dice"):
+        readers.positions(spark, str(bad))
+
+
+def test_prefiltered_exclusion_decides_exactly(spark):
+    rows = spark.createDataFrame([(i, None if i % 50 == 0 else f"k{i % 400}") for i in range(1000)], "i int, k string")
+    seen = spark.createDataFrame([(f"k{i}",) for i in range(0, 400, 7)] * 2 + [(None,)], "k string")
+    want = sorted(r.i for r in keys.exclude_seen(rows, seen, "k").collect())
+    for blocks in (1, 64):
+        got = keys.exclude_seen_prefiltered(rows, seen, "k", blocks)
+        assert sorted(r.i for r in got.collect()) == want
+    maybe = keys.maybe_seen(rows, keys.seen_filter(seen, "k", 64), "k", 64).where("_maybe").count()
+    assert 1000 - len(want) <= maybe < 300  # only these rows are shuffled
+    halves = [keys.seen_filter(seen.where(f"coalesce(xxhash64(k), 0) % 2 {op} 0"), "k", 8) for op in ("=", "<>")]
+    whole = {r.block: bytes(r.bits) for r in keys.seen_filter(seen, "k", 8).collect()}
+    assert {r.block: bytes(r.bits) for r in keys.merged_filters(halves[0].union(halves[1])).collect()} == whole
+    assert keys.exclude_seen_prefiltered(rows, seen.limit(0), "k").count() == 1000
+
+
+def test_digest_tree_locates_an_edited_row(spark):
+    rows = spark.range(3000).selectExpr("id", "id * 7 % 11 AS v", "'x' AS t")
+    tree = summaries.digest_tree(rows, "id")
+    turned = summaries.digest_tree(rows.repartition(7).select("t", "v", "id"), "id")
+    assert summaries.tree_differences(tree, turned).count() == 0
+    edited = rows.withColumn("v", F.when(F.col("id") == 1234, 99).otherwise(F.col("v")))
+    path = rows.where("id = 1234").select(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 3)).first()[0]
+    found = summaries.tree_differences(tree, summaries.digest_tree(edited, "id")).collect()
+    assert [(r.level, r.path) for r in found] == [(3, path)] and found[0].rows_a == found[0].rows_b
+    lost = summaries.tree_differences(tree, summaries.digest_tree(rows.where("id <> 5").union(rows.where("id = 6")), "id")).collect()
+    assert sum(r.rows_a - r.rows_b for r in lost) == 0 and len(lost) == 2
+    hot = spark.range(500).selectExpr("1 AS id", "id AS v")  # one key: its leaf is cut by the rows
+    leaves = summaries.digest_tree(hot, "id", depth=1, spread=2).where("level = 3")
+    assert leaves.count() > 50 and leaves.agg(F.max("rows")).first()[0] < 20
+    empty = summaries.digest_tree(rows.limit(0), "id").collect()
+    assert [(r.level, r.rows) for r in empty] == [(0, 0)]
+    assert summaries.tree_differences(tree, summaries.digest_tree(rows.limit(0), "id")).agg(F.sum("rows_a")).first()[0] == 3000
