@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from evalspark.llm.rows import put_back, set_aside
 from evalspark.llm.texts import LOWER, Texts, slices, span_hashes, texts_of, word_bytes
 
 WORDS = word_bytes(alphanumeric=True)
@@ -131,10 +133,14 @@ def _suffixes(symbols: np.ndarray, top: int) -> np.ndarray:
         reach *= 2
 
 
+def _last_null(name: str | None) -> tuple[bool, str]:
+    return name is None, name or ""
+
+
 class Phrases:
     """The windows of some benchmark items, and the items that hold each."""
 
-    def __init__(self, items: list[tuple[str, str]], length: int):
+    def __init__(self, items: list[tuple[str | None, str]], length: int):
         texts = _lowered(texts_of(pa.array([t for _, t in items], pa.large_string())))
         starts, ends, first = texts.words(WORDS)
         hashes = span_hashes(texts.data, starts, ends)
@@ -145,7 +151,7 @@ class Phrases:
             own = symbols[first[i] : first[i + 1]].tolist()
             for at in range(max(1, len(own) - length + 1)) if own else ():
                 holders[tuple(own[at : at + length])].add(name)
-        self.items = [sorted(x) for x in holders.values()]
+        self.items = [sorted(x, key=_last_null) for x in holders.values()]
         self.lengths = np.array([len(p) for p in holders], np.int64)
         self.rows = np.zeros((len(holders), length), np.int64)
         for i, p in enumerate(holders):
@@ -204,7 +210,7 @@ def _search(phrases: Phrases):
                     own = order[edges[d] : edges[d + 1]]
                     earlier = [(s["start"], s["end"]) for s in spans[d]]
                     spans[d] = _merged(earlier + list(zip(start[own].tolist(), (start + size)[own].tolist())))
-                    items[d] = sorted({*items[d], *(i for p in set(phrase[own].tolist()) for i in phrases.items[p])})
+                    items[d] = sorted({*items[d], *(i for p in set(phrase[own].tolist()) for i in phrases.items[p])}, key=_last_null)
                 for name, column in (("n_words", pa.array(n, pa.int64())), ("spans", pa.array(spans, _SPANS)), ("items", pa.array(items, pa.list_(pa.string())))):
                     part = part.set_column(part.schema.get_field_index(name), name, column)
                 yield part
@@ -225,8 +231,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict]:
 def _passes(benchmark: DataFrame, item_id: str, text: str):
     """Benchmark items in lists of bounded size, brought over one after the other."""
     held, size = [], 0
-    chosen = benchmark.select(F.col(item_id).cast("string"), F.coalesce(F.col(text), F.lit("")))
-    for name, body in chosen.where(F.col(item_id).isNotNull()).toLocalIterator():
+    chosen = benchmark.select(F.col(item_id).cast("string"), F.coalesce(F.col(text).cast("string"), F.lit("")))
+    for name, body in chosen.toLocalIterator():
         if held and size + len(body) > PASS_BYTES:
             yield held
             held, size = [], 0
@@ -246,28 +252,30 @@ def find_contamination(
     items (ids as strings, sorted, whose windows occur) and contaminated (one word in 20 is hit).
 
     A window is `length` consecutive words of an item, or all words of a shorter one. Null and
-    empty texts have no words and are never contaminated; items without words or id search for
-    nothing; repeated items count once. Repeated documents are judged alike. Columns of `docs`
-    named like a result are replaced, all others are kept. The benchmark is a query set: it is
+    empty texts have no words and are never contaminated; items without words search for nothing;
+    repeated items count once, and so do all items without an id: they hit like any other and stand
+    as one null at the end of `items`. Repeated documents are judged alike. Columns of `docs` named
+    like a result are replaced, all others are kept, whatever their names. The benchmark is a query set: it is
     brought to the tasks in lists of at most PASS_BYTES, one pass over the documents for each.
     """
     results = ("n_words", "n_hit", "spans", "items", "contaminated")
-    held = docs.drop(*results)
-    kept = held.columns
-    found = held.withColumns(
-        {
-            "text": F.col(text).cast("string"),
-            "n_words": F.lit(0).cast("long"),
-            "spans": F.lit(None).cast(HITS),
-            "items": F.lit(None).cast("array<string>"),
-        }
-    ).withColumns({x: F.coalesce(x, F.array().cast(t)) for x, t in (("spans", HITS), ("items", "array<string>"))})
+    kept = docs.drop(*results).columns
+    # A text that is a string rides once, under its working name.
+    apart = [c for c in kept if c != text or docs.schema[c].dataType != StringType()]
+    empty = {x: F.coalesce(F.lit(None).cast(t), F.array().cast(t)) for x, t in (("spans", HITS), ("items", "array<string>"))}
+    found = docs.select(
+        *set_aside(apart),
+        F.col(text).cast("string").alias("text"),
+        F.lit(0).cast("long").alias("n_words"),
+        *[v.alias(x) for x, v in empty.items()],
+    )
     for items in _passes(benchmark, item_id, text):
         found = found.mapInArrow(_search(Phrases(items, length)), found.schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     found = found.withColumn("n_hit", hit)
     bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return found.withColumn("contaminated", bad).select(*kept, *results)
+    own = dict(zip(apart, put_back(apart)))
+    return found.withColumn("contaminated", bad).select(*[own.get(c, F.col("text").alias(c)) for c in kept], *results)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evalspark.llm.rows import put_back, set_aside
 from evalspark.llm.texts import slices, texts_of
 
 CHUNK = 512  # bytes; the next chunk starts half of it later
@@ -218,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
 def _score(model: Model):
     def batches(parts):
         for batch in parts:
-            column, out = batch["_body"], []
+            column, out = batch["body"], []
             for a, b in slices(column, 1 << 19):
                 texts = texts_of(column.slice(a, b - a))
                 out.append(probability(model, *laid_out(texts.data, texts.starts, texts.ends)))
@@ -233,10 +234,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with `score`, the probability of label 1, from the bytes of the whole text.
 
     Null and empty texts are scored as filling only. Repeated rows score alike; a score depends on
-    nothing but the text (up to the rounding of float32 sums). A column of `docs` named score is replaced, others are kept.
+    nothing but the text (up to the rounding of float32 sums). A column of `docs` named
+    score is replaced, all others are kept, whatever their names.
     """
-    held = docs.drop("score")
-    kept = held.columns
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    ready = held.withColumns({"_body": body, "score": F.coalesce(F.lit(None).cast("double"), F.lit(0.0))})
-    return ready.mapInArrow(_score(model), ready.schema).select(*kept, "score")
+    kept = docs.drop("score").columns
+    body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body")
+    blank = F.coalesce(F.lit(None).cast("double"), F.lit(0.0)).alias("score")
+    ready = docs.select(*set_aside(kept), body, blank)
+    return ready.mapInArrow(_score(model), ready.schema).select(*put_back(kept), "score")

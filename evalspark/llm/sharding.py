@@ -13,6 +13,7 @@ from math import ceil, sqrt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.llm.rows import put_back, set_aside
 from evalspark.session import materialise
 
 #: Added to the UTF-8 bytes of each text.
@@ -20,11 +21,6 @@ OVERHEAD = 16
 CHUNK_ROWS = 1024
 
 
-def sized(docs: DataFrame, text: str) -> DataFrame:
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.withColumns({"size": F.octet_length(body).cast("long") + OVERHEAD, "text_crc32": F.crc32(body)})
-
-
 def shard_by_bytes(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with size (bytes of the text and 16), text_crc32, shard (0 to `shards` - 1)
     and slot (place in the shard, gapless from 0), in the order of doc_id, size and checksum.
@@ -33,16 +29,22 @@ def shard_by_bytes(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: s
     target by less than one document. Null texts have 16 bytes. A null doc_id comes first; rows
     equal in doc_id, size and checksum may change places. With fewer documents than shards some
     shards stay empty; an empty table gives no rows. Columns of `docs` named like a result are
-    replaced, others kept.
+    replaced, all others kept, whatever their names.
     """
     results = ("size", "text_crc32", "shard", "slot")
-    held = docs.drop(*results)
-    kept = held.columns
-    rows = held.count()
+    kept = docs.drop(*results).columns
+    rows = docs.count()
     # As many partitions as a sixteenth of the square root: their number and their size both stay small.
     ranges = max(1, ceil(sqrt(rows) / 4))
-    order = (doc_id, "size", "text_crc32")
-    placed = sized(held, text).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    sized = docs.select(
+        *set_aside(kept),
+        F.col(doc_id).alias("doc_id"),
+        (F.octet_length(body).cast("long") + OVERHEAD).alias("size"),
+        F.crc32(body).alias("text_crc32"),
+    )
+    order = ("doc_id", "size", "text_crc32")
+    placed = sized.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("doc_id")
     staged = materialise(placed.withColumn("_part", F.spark_partition_id()), "shards")
     at = staged.select("*", F.col("_metadata.row_index").alias("_row"))
     chunk = F.expr(f"_row div {CHUNK_ROWS}").alias("chunk")
@@ -88,7 +90,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: s
     # One row per partition: the square root of the documents, at most.
     found = at.join(F.broadcast(plan), "_part").withColumn("mine", F.coalesce(mine, "earlier"))
     return found.select(
-        *kept,
+        *put_back(kept),
         "size",
         "text_crc32",
         F.col("mine.shard").cast("int").alias("shard"),

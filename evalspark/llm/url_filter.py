@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evalspark.llm.rows import put_back, set_aside
+
 #: Rules swept in one pass over the urls; longer lists take more passes.
 PASS_RULES = 200_000
 
@@ -112,19 +114,27 @@ def filter_urls(
     in passes of `pass_rules`. A rule fits its host and all subdomains if the url's path starts
     with the rule's; the longest wins, by host and path together, then by host, then block before
     allow. Null urls and urls without `://` have empty host and path and fit no rule. Repeated
-    pages are judged alike. Columns of `pages` named like a result are replaced, others kept.
+    pages are judged alike. Columns of `pages` named like a result are replaced, all others kept,
+    whatever their names.
     """
     results = ("host", "path", "rule", "verdict")
-    held = pages.drop(*results)
-    kept = held.columns
+    kept = pages.drop(*results).columns
     host, path = host_and_path(url)
-    found = held.withColumns({"host": host, "path": path, "rule": F.lit(None).cast("string"), "verdict": F.lit(default), "rule_size": F.lit(-1)})
+    found = pages.select(
+        *set_aside(kept),
+        host.alias("host"),
+        path.alias("path"),
+        F.lit(None).cast("string").alias("rule"),
+        F.lit(default).alias("verdict"),
+        F.lit(-1).alias("rule_size"),
+        F.xxhash64(url).alias("spread"),
+    )
     # Sorted by key: labels in reverse, compared label by label. Path and url split a hot host.
     labels = F.reverse(F.split(F.regexp_replace("host", "\x00", "\x00\x01"), r"\."))
     key = F.concat(F.concat_ws("\x00\x00", labels), F.lit("\x00\x00"))
-    found = found.withColumn("_key", key).repartitionByRange("_key", "path", F.xxhash64(url)).sortWithinPartitions("_key")
-    found = found.drop("_key")
+    found = found.withColumn("key", key).repartitionByRange("key", "path", "spread").sortWithinPartitions("key")
+    found = found.drop("key", "spread")
     rules = sorted(rules, key=lambda r: (-len(r[0]), r[2] != "block"))
     for first in range(0, len(rules), pass_rules):
         found = found.mapInArrow(_sweep(Rules(rules[first : first + pass_rules])), found.schema)
-    return found.select(*kept, *results)
+    return found.select(*put_back(kept), *results)

@@ -62,8 +62,8 @@ def contamination(rows, items, length=13):
     windows, out = defaultdict(set), {}
     for name, text in items:
         w = words(text)
-        for k in range(max(1, len(w) - length + 1)) if w and name is not None else ():
-            windows[tuple(w[k : k + length])].add(str(name))
+        for k in range(max(1, len(w) - length + 1)) if w else ():
+            windows[tuple(w[k : k + length])].add(name if name is None else str(name))
     sizes = {len(k) for k in windows}
     for d, text in rows:
         w = words(text)
@@ -73,7 +73,7 @@ def contamination(rows, items, length=13):
                 if x := windows.get(tuple(w[k : k + size])):
                     hit[k : k + size] = [1] * size
                     found |= x
-        out[d] = (len(w), sum(hit), sorted(found), sum(hit) > 0 and 20 * sum(hit) >= len(w))
+        out[d] = (len(w), sum(hit), sorted(found, key=lambda x: (x is None, x or "")), sum(hit) > 0 and 20 * sum(hit) >= len(w))
     return out
 
 

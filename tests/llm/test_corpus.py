@@ -157,6 +157,42 @@ def test_decontamination_edges(frame, spark):
     assert [tuple(r) for r in decontaminate.without_contaminated(clash, bench).collect()] == [(2, "fine", 3, "y")]
 
 
+def test_decontamination_of_a_text_of_several_slices(frame, spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 10_000)
+    rows = [(1, " ".join(f"w{i % 911}" for i in range(30_000))), (2, "w5"), (3, None)]
+    assert hits(frame(rows), ITEMS, spark) == brute.contamination(rows, ITEMS)
+
+
+def test_items_without_id(frame, spark):
+    """They hit; together they are one item, which the list of ids leaves out."""
+    items = [(None, "a b"), (None, "c d"), (7, "c d")]
+    rows = [(1, "a b x"), (2, "a b c d"), (3, "x")]
+    assert hits(frame(rows), items, spark) == {1: (3, 2, [None], True), 2: (4, 4, ["7", None], True), 3: (1, 0, [], False)}
+
+
+# Columns of any name
+
+
+WORKING = ("_row", "_part", "part", "chunk", "begin", "kept_0", "key", "_key", "spread", "rule_size", "body", "_body", "text", "spans2", "row", "at")
+
+
+def test_columns_of_any_name_are_kept(frame, spark):
+    """No working column of an operator meets a column of the caller's."""
+    ddl = "doc_id bigint, body string, `a.b` int, " + ", ".join(f"`{c}` string" for c in WORKING if c != "body")
+    rows = [(i, f"http://x{i}.com/ w{i} w2 w3", i, *[f"{c} {i}" for c in WORKING if c != "body"]) for i in range(9)]
+    docs = spark.createDataFrame(rows, ddl).repartition(3)
+    none = quality.fit(docs.where("doc_id < 0"), spark.createDataFrame([], "doc_id bigint, quality int"), text="body")
+    bench = spark.createDataFrame([(1, "w2 w3")], "item_id bigint, body string")
+    for got in (
+        sharding.shard_by_bytes(docs, 3, text="body"),
+        url_filter.filter_urls(docs, URL_RULES, url="body"),
+        quality.score(docs, none, text="body"),
+        decontaminate.find_contamination(docs, bench, text="body"),
+    ):
+        assert got.columns[: len(docs.columns)] == docs.columns
+        assert sorted(tuple(r)[: len(docs.columns)] for r in got.collect()) == rows
+
+
 def test_index_counts_and_locates():
     rng = np.random.default_rng(5)
     text = np.concatenate([np.append(rng.integers(1, 4, n), 0) for n in (50, 1, 33, 80)])
