@@ -17,6 +17,9 @@ from evalspark.session import materialise
 
 # Largest group a single task sorts; above it the rows are cut into ranges of a quarter of it.
 WINDOW_ROWS = 1_000_000
+# Candidate cuts lie so many standard deviations of a sampled rank, about, from the wanted one.
+CUTS = (-4, -2, -1, -0.5, 0.5, 1, 2, 4)
+SAMPLE_KEYS = 4096
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_LIMIT = 1000
 
@@ -157,8 +160,8 @@ def top_rows(
 
 def _prefix_rows(cut: DataFrame, order: str, limit: int) -> DataFrame:
     """The first `limit` rows when `_bucket` never decreases along the unique `order`. Rows are
-    counted per bucket; buckets below the cut stay whole and only rows inside the last one are
-    ranked, so no task sees more than one bucket."""
+    counted per bucket and ranked inside their own, so no task sees more than one bucket; those
+    below the cut stay whole."""
     counts = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     through = F.sum("n").over(Window.orderBy("_bucket"))
     counts = counts.select("_bucket", (through - F.col("n")).alias("before")).where(
@@ -173,12 +176,61 @@ def _prefix_rows(cut: DataFrame, order: str, limit: int) -> DataFrame:
     return kept.withColumn("_place", place).where(inside).drop("_bucket", "_last", "_place")
 
 
-def first_rows(df: DataFrame, order: list, limit: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """The first `limit` rows in a unique order, cut by rank from the counts of key ranges,
-    whatever the limit."""
-    keyed = keyed_by(df, order)
-    cut = ranges_of(keyed, [], keyed.count(), window_rows)
-    return _prefix_rows(cut, "_key", limit).select(*df.columns)
+def _candidate_cuts(inside: DataFrame, rows: int, wanted: int, sample_keys: int) -> DataFrame:
+    """One row, `cuts`: keys around the wanted rank, ascending, from a hashed sample of the keys.
+    Null where a cut would lie outside the sample."""
+    step = max(1, rows // sample_keys)
+    draw = F.xxhash64("_key")
+    drawn = inside.where(F.pmod(draw, F.lit(step)) == 0).orderBy(draw).limit(2 * sample_keys)
+    drawn = drawn.agg(F.array_sort(F.collect_list("_key")).alias("keys"), F.count("_key").alias("n"))
+    at = [F.floor(F.col("n") * (wanted / rows) + d * F.sqrt("n")).cast("int") for d in CUTS]
+    return materialise(drawn.select(F.array(*[F.get("keys", i) for i in at]).alias("cuts")), "cuts")
+
+
+def first_rows(
+    df: DataFrame,
+    order: list,
+    limit: int,
+    window_rows: int = WINDOW_ROWS,
+    sample_keys: int = SAMPLE_KEYS,
+) -> DataFrame:
+    """The first `limit` rows in a unique order, whatever the limit; the rows are not sorted.
+
+    Candidate cuts come from a sample of the keys; one pass counts the rows below each. Rows below
+    the last cut that is not too high stay whole, and the range that holds the wanted rank is cut
+    again while it has more than `window_rows` rows. Only that range is ranked at last. The sample
+    decides how many passes there are, never which rows.
+    """
+    keyed = materialise(keyed_by(df, order), "keyed")
+    rows, wanted = keyed.count(), limit
+    if rows <= limit:
+        return keyed.select(*df.columns)
+    key, low, inside = F.col("_key"), None, keyed
+    high = None
+    while rows > window_rows:
+        cuts = one_row(_candidate_cuts(inside, rows, wanted, sample_keys))["cuts"]
+        # No cut: nothing lies below a missing low one, everything below a missing high one.
+        below = [F.coalesce(key < cuts[i], F.lit(d > 0)) for i, d in enumerate(CUTS)]
+        counts = list(inside.agg(*[F.count_if(b).alias(f"n{i}") for i, b in enumerate(below)]).first())
+        first = max((i for i, n in enumerate(counts) if n <= wanted), default=None)
+        last = min((i for i, n in enumerate(counts) if n > wanted), default=None)
+        begin = counts[first] if first is not None else 0
+        end = counts[last] if last is not None else rows
+        if end - begin == rows:
+            break
+        low = cuts[first] if begin else low
+        high = cuts[last] if end < rows else high
+        rows, wanted = end - begin, wanted - begin
+        inside = keyed
+        for bound in ([key >= low] if low is not None else []) + ([key < high] if high is not None else []):
+            inside = inside.where(bound)
+    if rows <= window_rows:
+        kept = inside.orderBy("_key").limit(wanted)
+    else:  # a sample that cuts nothing off
+        kept = _prefix_rows(ranges_of(inside, [], rows, window_rows), "_key", wanted)
+    if low is not None:
+        kept = keyed.where(key < low).unionByName(kept)
+    return kept.select(*df.columns)
 
 
 def ordered_prefix(df: DataFrame, key: str, limit: int) -> DataFrame:

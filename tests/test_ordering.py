@@ -141,6 +141,27 @@ def test_first_games(spark):
     assert {r.g for r in keys.first_games(df, "g", "o", 2).collect()} == {"a", "b"}
 
 
+@pytest.mark.parametrize("sample", [1, 16, 4096])
+def test_first_rows_do_not_depend_on_the_sample(spark, sample):
+    """Nulls come first, as in a sort; a sample of one key cuts little off and changes nothing."""
+    k = F.when(F.col("id") % 7 > 0, F.pmod(F.xxhash64("id"), F.lit(90)))
+    df = spark.range(4000).select(k.alias("k"), F.concat(F.lit("g"), "id").alias("name")).repartition(4)
+    for limit in (0, 3, 571, 572, 3999):
+        got = ordering.first_rows(df, ["k", "name"], limit, 60, sample).collect()
+        want = df.orderBy("k", "name").limit(limit).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_first_rows_are_not_sorted(spark, capsys):
+    """Only the range that holds the cut is ordered."""
+    df = spark.range(50_000).select(F.xxhash64("id").alias("k"), "id")
+    found = ordering.first_rows(df, ["k", "id"], 20_000, 5_000)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "rangepartitioning" not in plan and "Window" not in plan and "Sort [" not in plan
+    assert found.count() == 20_000
+
+
 @pytest.mark.parametrize("window_rows", [40, 1_000_000])
 def test_first_rows_by_rank_equals_limit(spark, window_rows):
     df = spark.range(3000).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("k"), "id")
