@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from evalspark.functions import hashing
 from evalspark.functions import scoring as sx
-from evalspark.operators import calibrate, gates, ranking, scoring
+from evalspark.operators import calibrate, gates, ordering, packed, ranking, scoring
 from evalspark.operators.validation import Refused
 from evalspark.session import materialise
 
@@ -134,37 +134,31 @@ def marked_best(
     return rows.withColumn("_best", F.col(target) == F.col("_top")).drop("_n", "_top")
 
 
-def recall(marked: DataFrame, k: int, group: str = "group_id", score: str = "score") -> float:
-    """Share of the lists whose shortlist keeps a best candidate; not a number without lists."""
-    picked = ranking.shortlist(marked, k, group, score).groupBy(group).agg(
-        F.max(F.col("_best").cast("double")).alias("kept")
-    )
-    found = picked.agg(F.avg("kept")).first()[0]
-    return float("nan") if found is None else float(found)
+def recall(marked: DataFrame, k: int, keys: list[str], by: str, score: str = "score") -> dict:
+    """Per value of `by`, one of the keys: share of the lists whose first k keep a best candidate."""
+    first = ordering.top_rows(marked, keys, [-F.col(score), F.col("cand_idx")], k)
+    picked = first.groupBy(*keys).agg(F.max(F.col("_best").cast("double")).alias("kept"))
+    return {r[by]: r["kept"] for r in picked.groupBy(by).agg(F.avg("kept").alias("kept")).collect()}
 
 
 @dataclass
 class Lists:
-    """Candidate lists made ready for any number of fits: standardised train and validation
-    columns x0, x1, ... stored once, and the term of the gradient that no weight changes."""
+    """Candidate lists made ready for any number of fits: standardised train and validation lists
+    packed once, and the term of the gradient that no weight changes."""
 
-    train: DataFrame
+    packed: DataFrame
     held: DataFrame
     mean: np.ndarray
     scale: np.ndarray
     pull: np.ndarray
     k: int
     group: str
+    cut: bool = False
 
     @property
     def width(self) -> int:
         return len(self.mean)
 
-    def scored(self, df: DataFrame, weights: np.ndarray) -> DataFrame:
-        return df.withColumn(
-            "score", sum(F.col(f"x{i}") * float(w) for i, w in enumerate(weights))
-        )
-
 
 def stage_lists(
     cands: DataFrame,
@@ -174,91 +168,106 @@ def stage_lists(
     target: str = "target",
     features: str = "features",
     split: str = "split",
+    piece_rows: int = packed.PIECE_ROWS,
 ) -> Lists:
     """Standardisation and gains of the train lists; validation lists longer than k with their
-    best candidates marked. Refused without a list to train on or to measure."""
+    best candidates marked; both packed by list. Refused without a list to train on or to measure."""
     cands = materialise(cands.select(group, "cand_idx", target, features, split), "rank-lists")
     train = ranking.trainable(cands.where(F.col(split) == "train"), group)
-    raw = materialise(train.select(group, target, features), "rank-train")
+    raw = materialise(train.select(group, "cand_idx", target, features), "rank-train")
     if raw.isEmpty():
         raise Refused("list fit refused: no train list has two candidates")
     stats = {r["feature"]: r for r in ranking.standardisation(raw, features, width).collect()}
     mean = np.array([stats[i]["mean"] for i in range(width)])
     scale = np.array([stats[i]["scale"] for i in range(width)])
     x = [
-        ((F.get(F.col(features), i).cast("double") - float(mean[i])) / float(scale[i])).alias(
-            f"x{i}"
-        )
+        (F.get(F.col(features), i).cast("double") - float(mean[i])) / float(scale[i])
         for i in range(width)
     ]
-    table = materialise(raw.select(group, target, *x), "rank-standard")
     held = marked_best(cands.where(F.col(split) == "validation"), k, group, target)
-    held = materialise(held.select(group, "cand_idx", "_best", *x), "rank-held")
+    held = materialise(held.select(group, "cand_idx", "_best", features), "rank-held")
     if held.isEmpty():
         raise Refused(f"list fit refused: no validation list is longer than {k}")
-    pulls = ranking.gain_table(
-        table, group, target, **{f"p{i}": F.col(f"x{i}") for i in range(width)}
-    )
+    pulls = ranking.gain_table(raw, group, target, **{f"p{i}": c for i, c in enumerate(x)})
     per_list = pulls.groupBy(group).agg(
         *[F.sum(F.col("gain") * F.col(f"p{i}")).alias(f"p{i}") for i in range(width)]
     )
     row = per_list.agg(*[F.avg(f"p{i}").alias(f"p{i}") for i in range(width)]).first()
     pull = np.array([row[f"p{i}"] for i in range(width)])
-    return Lists(table.drop(target), held, mean, scale, pull, k, group)
+    both = raw.drop(target).withColumn("_best", F.lit(None).cast("boolean")).withColumn("_held", F.lit(False))
+    both = both.unionByName(held.withColumn("_held", F.lit(True)))
+    table = packed.pack(both, group, x, "cand_idx", F.col("_held"), F.col("_best"), piece_rows)
+    table = materialise(table, "rank-packed")
+    cut = not table.where("pieces > 1").isEmpty()
+    return Lists(table, held.drop(features), mean, scale, pull, k, group, cut)
+
+
+def measure(lists: Lists, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per model (row of `weights`): mean cross entropy over the train lists, its gradient, and
+    recall on the validation lists. The gradient is mean(softmax-weighted x) less mean(gain-weighted x)."""
+    got = packed.measure(lists.packed, weights, lists.k, lists.cut)
+    return got.lse - weights @ lists.pull, got.means - lists.pull, got.recall
 
 
 def loss_and_gradient(lists: Lists, w: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean cross entropy over the train lists and its gradient: mean(softmax-weighted x) less
-    mean(gain-weighted x), from one map-side-combined aggregation that returns `width` numbers."""
-    names = [f"x{i}" for i in range(lists.width)]
-    softened = ranking.log_sum_exp(
-        lists.scored(lists.train, w), lists.group, "score", **{n: F.col(n) for n in names}
-    )
-    r = softened.agg(F.avg("lse").alias("lse"), *[F.avg(n).alias(n) for n in names]).first()
-    return float(r["lse"] - w @ lists.pull), np.array([r[n] for n in names]) - lists.pull
-
-
-def fit_ranker(
-    lists: Lists, seed: int = 11, epochs: int = 40, patience: int = 5, rate: float = 0.1
-) -> Ranker:
-    """Listwise fit by full-batch Adam on the mean cross entropy over train lists. Stops when
-    validation recall has not improved for `patience` epochs and restores the best weights."""
-    w = np.random.default_rng(seed).normal(0.0, 0.01, lists.width)
-    m, v = np.zeros(lists.width), np.zeros(lists.width)
-    best = Ranker(w.copy(), lists.mean, lists.scale)
-    best_recall, history = -1.0, []
+    """Loss and gradient of one model."""
+    loss, gradient, _ = measure(lists, w[None, :])
+    return float(loss[0]), gradient[0]
+
+
+def fit_rankers(
+    lists: Lists, seeds: list[int], epochs: int = 40, patience: int = 5, rate: float = 0.1
+) -> list[Ranker]:
+    """Listwise fits by full-batch Adam on the mean cross entropy over train lists, one per seed, all
+    in the same passes: a pass measures the recall of every model's present weights and the gradient
+    of its next step. A model leaves the passes when its validation recall has not improved for
+    `patience` epochs, and takes its best weights. The number of jobs does not grow with the seeds."""
+    w = np.stack([np.random.default_rng(s).normal(0.0, 0.01, lists.width) for s in seeds])
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    models = [Ranker(row.copy(), lists.mean, lists.scale) for row in w]
+    best = np.full(len(seeds), -1.0)
+    live = np.arange(len(seeds))
+    loss, gradient, _ = measure(lists, w)
     for epoch in range(1, epochs + 1):
-        loss, gradient = loss_and_gradient(lists, w)
-        m = 0.9 * m + 0.1 * gradient
-        v = 0.999 * v + 0.001 * gradient**2
-        w = w - rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + 1e-8)
-        measured = recall(lists.scored(lists.held, w), lists.k, lists.group)
-        history.append({"epoch": epoch, "train_loss": loss, "recall_at_k": measured})
-        if measured > best_recall:
-            best_recall = measured
-            best = Ranker(w.copy(), lists.mean, lists.scale, epoch)
-        if epoch - best.epoch >= patience:
+        m[live] = 0.9 * m[live] + 0.1 * gradient
+        v[live] = 0.999 * v[live] + 0.001 * gradient**2
+        w[live] -= rate * (m[live] / (1 - 0.9**epoch)) / (np.sqrt(v[live] / (1 - 0.999**epoch)) + 1e-8)
+        ahead, following, measured = measure(lists, w[live])
+        for i, before, now in zip(live, loss, measured):
+            models[i].history.append({"epoch": epoch, "train_loss": float(before), "recall_at_k": float(now)})
+            if now > best[i]:
+                best[i], models[i].weights, models[i].epoch = now, w[i].copy(), epoch
+        going = np.array([epoch - models[i].epoch < patience for i in live])
+        live, loss, gradient = live[going], ahead[going], following[going]
+        if not len(live):
             break
-    best.history = history
-    return best
+    return models
+
+
+def fit_ranker(lists: Lists, seed: int = 11, **kw) -> Ranker:
+    """The fit of one seed."""
+    return fit_rankers(lists, [seed], **kw)[0]
 
 
 def replicate_ranker(lists: Lists, seeds: list[int], floor_column: int, **kw) -> DataFrame:
     """(seed, recall, floor_recall, random_recall, best_epoch) per seed against the ordering by
-    one feature column and a seeded random ordering, all on the lists staged once. A repeated seed
-    is refused."""
+    one feature column and a seeded random ordering, all on the lists staged once and fitted
+    together. A repeated seed is refused."""
     if len(set(seeds)) != len(seeds):
         raise ValueError("a seed appears twice")
     spark = lists.held.sparkSession
     # Standardising a column keeps its order.
-    floor = recall(lists.held.withColumn("score", F.col(f"x{floor_column}")), lists.k, lists.group)
-    rows = []
-    for seed in seeds:
-        model = fit_ranker(lists, seed, **kw)
-        learned = max(h["recall_at_k"] for h in model.history)
-        draw = ranking.random_score(seed, lists.group, "cand_idx")
-        chance = recall(lists.held.withColumn("score", draw), lists.k, lists.group)
-        rows.append((seed, float(learned), float(floor), float(chance), model.epoch))
+    floor = measure(lists, np.eye(lists.width)[[floor_column]])[2][0]
+    draws = [
+        F.struct(F.lit(s).alias("seed"), ranking.random_score(s, lists.group, "cand_idx").alias("score"))
+        for s in seeds
+    ]
+    drawn = lists.held.select(lists.group, "cand_idx", "_best", F.inline(F.array(*draws)))
+    chance = recall(drawn, lists.k, [lists.group, "seed"], "seed")
+    rows = [
+        (s, max(h["recall_at_k"] for h in model.history), float(floor), float(chance[s]), model.epoch)
+        for s, model in zip(seeds, fit_rankers(lists, seeds, **kw))
+    ]
     return spark.createDataFrame(
         rows, "seed int, recall double, floor_recall double, random_recall double, best_epoch int"
     )

@@ -427,14 +427,61 @@ def test_ranker_learns_the_planted_feature(spark):
 
 def test_ranker_stops_early_and_restores_the_best_weights(spark, monkeypatch):
     lists = fit.Lists(None, None, np.zeros(1), np.ones(1), np.zeros(1), 2, "group_id")
-    steps = iter([0.3, 0.5, 0.4, 0.5, 0.2, 0.9])
-    monkeypatch.setattr(fit, "loss_and_gradient", lambda lists, w: (1.0, np.ones(1)))
-    monkeypatch.setattr(fit, "recall", lambda *a: next(steps))
-    monkeypatch.setattr(fit.Lists, "scored", lambda self, df, w: None)
+    steps = iter([0.0, 0.3, 0.5, 0.4, 0.5, 0.2, 0.9])
+    one = np.ones(1)
+    monkeypatch.setattr(fit, "measure", lambda lists, w: (one, one[None, :], np.array([next(steps)])))
     model = fit.fit_ranker(lists, epochs=40, patience=3, rate=0.1)
     assert model.epoch == 2 and len(model.history) == 5
 
 
+def brute_measure(data, w, k, mean, scale):
+    """Mean log-sum-exp, mean softmax-weighted features and recall, list by list."""
+    lists = {}
+    for g, i, target, split, x in data:
+        lists.setdefault((split, g), []).append((i, target, (np.array(x) - mean) / scale))
+    lse, means, kept = [], [], []
+    for (split, _), rows in lists.items():
+        z = np.array([x @ w for _, _, x in rows])
+        if split == "train" and len(rows) > 1:
+            lse.append(np.log(np.exp(z).sum()))
+            means.append((np.exp(z - lse[-1])[:, None] * np.array([x for _, _, x in rows])).sum(axis=0))
+        if split == "validation" and len(rows) > k:
+            top = max(t for _, t, _ in rows)
+            first = sorted(range(len(rows)), key=lambda j: (-z[j], rows[j][0]))[:k]
+            kept.append(any(rows[j][1] == top for j in first))
+    return np.mean(lse), np.mean(means, axis=0), np.mean(kept)
+
+
+@pytest.mark.parametrize("piece_rows", [7, 4096])
+def test_packed_lists_are_measured_whole(spark, piece_rows):
+    """Several models in one pass, lists cut into pieces or not, tied scores: as list by list; and
+    fits of several seeds together are those of each seed alone."""
+    rng = np.random.default_rng(8)
+    data = []
+    for g in range(24):
+        size = 150 if g in (3, 5) else int(rng.integers(1, 20))
+        split = "train" if g % 4 < 2 or g == 3 else "validation"
+        for i in range(size):
+            x = [float(v) for v in rng.integers(0, 3, 3)]
+            data.append((f"g{g}", i, int(3 * x[1] + rng.integers(0, 4)), split, x))
+    df = spark.createDataFrame(
+        data, "group_id string, cand_idx int, target long, split string, features array<double>"
+    )
+    lists = fit.stage_lists(df.repartition(3), 3, 2, piece_rows=piece_rows)
+    assert lists.cut == (piece_rows == 7)
+    w = np.array([[0.3, -0.2, 0.1], [0.0, 1.0, 0.0], [1.0, 0.5, -2.0]])
+    got = fit.packed.measure(lists.packed, w, 2, lists.cut)
+    for m, row in enumerate(w):
+        lse, means, kept = brute_measure(data, row, 2, lists.mean, lists.scale)
+        assert abs(got.lse[m] - lse) < 1e-9 and abs(got.recall[m] - kept) < 1e-9
+        assert np.abs(got.means[m] - means).max() < 1e-9
+    both = fit.fit_rankers(lists, [1, 2], epochs=3, patience=2)
+    for seed, model in zip([1, 2], both):
+        alone = fit.fit_ranker(lists, seed, epochs=3, patience=2)
+        assert np.abs(alone.weights - model.weights).max() < 1e-9 and alone.epoch == model.epoch
+        assert [h["recall_at_k"] for h in alone.history] == [h["recall_at_k"] for h in model.history]
+
+
 def test_every_file_of_a_scan_is_judged(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
