@@ -15,6 +15,8 @@ TRAIN_CUTOFF = 8000
 VALIDATION_CUTOFF = 9000
 INNER_CUTOFF = 7000
 SPLITS = ("train", "validation", "test")
+# Hex digits of a digest that are folded at once: 60 bits, and 62 of a product below 2^31 squared.
+WORD_DIGITS = 15
 
 
 def text(value) -> Column:
@@ -24,17 +26,18 @@ def text(value) -> Column:
 def split_bucket(identity, label: str = SPLIT_LABEL, modulus: int = SPLIT_MODULUS) -> Column:
     """sha256(label + id) as a 256-bit integer, modulo `modulus` (at most 2^31).
 
-    The digest is cut once into eight 32-bit words and folded, so the hash is evaluated a single
-    time wherever the optimizer moves the expression.
+    The digest is folded in words of 15 hex digits by plain arithmetic, which stays in generated
+    code: sums stay below 2^63, and the digest is a common subexpression of the words.
     """
     digest = F.sha2(F.concat(F.lit(label), text(identity).cast("string")), 256)
-    words = F.regexp_extract_all(digest, F.lit("([0-9a-f]{8})"), F.lit(1))
-    return F.aggregate(
-        words,
-        F.lit(0).cast("long"),
-        lambda acc, word: (acc * F.lit(4294967296 % modulus) + F.conv(word, 16, 10).cast("long"))
-        % F.lit(modulus),
-    )
+    folded = None
+    for at in range(1, 65, WORD_DIGITS):
+        digits = min(WORD_DIGITS, 65 - at)
+        word = F.conv(F.substring(digest, at, digits), 16, 10).cast("long")
+        if folded is not None:
+            word = folded * F.lit(16**digits % modulus) + word
+        folded = word % F.lit(modulus)
+    return folded
 
 
 def split_of_bucket(

@@ -125,15 +125,6 @@ class Ranker:
         return sx.dot(F.col(features), self.raw_weights()) - shift
 
 
-def marked_best(
-    cands: DataFrame, k: int, group: str = "group_id", target: str = "target"
-) -> DataFrame:
-    """Candidates of lists longer than k, with `_best`: its target is the list's best."""
-    stats = cands.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.max(target).alias("_top"))
-    rows = cands.join(stats.where(F.col("_n") > k), group)
-    return rows.withColumn("_best", F.col(target) == F.col("_top")).drop("_n", "_top")
-
-
 def recall(marked: DataFrame, k: int, keys: list[str], by: str, score: str = "score") -> dict:
     """Per value of `by`, one of the keys: share of the lists whose first k keep a best candidate."""
     first = ordering.top_rows(marked, keys, [-F.col(score), F.col("cand_idx")], k)
@@ -171,35 +162,40 @@ def stage_lists(
     piece_rows: int = packed.PIECE_ROWS,
 ) -> Lists:
     """Standardisation and gains of the train lists; validation lists longer than k with their
-    best candidates marked; both packed by list. Refused without a list to train on or to measure."""
-    cands = materialise(cands.select(group, "cand_idx", target, features, split), "rank-lists")
-    train = ranking.trainable(cands.where(F.col(split) == "train"), group)
-    raw = materialise(train.select(group, "cand_idx", target, features), "rank-train")
-    if raw.isEmpty():
+    best candidates marked; both packed by list. Refused without a list to train on or to measure.
+
+    The rows that count are stored once, with their list's size and best target; every later step
+    reads that table."""
+    cands = cands.select(group, "cand_idx", target, features, split)
+    stats = cands.groupBy(group, split).agg(F.count(F.lit(1)).alias("_n"), F.max(target).alias("_top"))
+    held = F.col(split) == "validation"
+    chosen = (F.col(split) == "train") & (F.col("_n") >= 2) | held & (F.col("_n") > k)
+    best = F.when(held, F.col(target) == F.col("_top")).alias("_best")
+    rows = cands.join(stats.where(chosen), [group, split])
+    rows = materialise(rows.select(group, "cand_idx", target, features, "_n", held.alias("_held"), best), "rank-lists")
+    largest = dict(rows.groupBy("_held").agg(F.max("_n")).collect())
+    if False not in largest:
         raise Refused("list fit refused: no train list has two candidates")
-    stats = {r["feature"]: r for r in ranking.standardisation(raw, features, width).collect()}
+    if True not in largest:
+        raise Refused(f"list fit refused: no validation list is longer than {k}")
+    train, held = rows.where("NOT _held"), rows.where("_held")
+    stats = {r["feature"]: r for r in ranking.standardisation(train, features, width).collect()}
     mean = np.array([stats[i]["mean"] for i in range(width)])
     scale = np.array([stats[i]["scale"] for i in range(width)])
     x = [
         (F.get(F.col(features), i).cast("double") - float(mean[i])) / float(scale[i])
         for i in range(width)
     ]
-    held = marked_best(cands.where(F.col(split) == "validation"), k, group, target)
-    held = materialise(held.select(group, "cand_idx", "_best", features), "rank-held")
-    if held.isEmpty():
-        raise Refused(f"list fit refused: no validation list is longer than {k}")
-    pulls = ranking.gain_table(raw, group, target, **{f"p{i}": c for i, c in enumerate(x)})
+    pulls = ranking.gain_table(train, group, target, **{f"p{i}": c for i, c in enumerate(x)})
     per_list = pulls.groupBy(group).agg(
         *[F.sum(F.col("gain") * F.col(f"p{i}")).alias(f"p{i}") for i in range(width)]
     )
     row = per_list.agg(*[F.avg(f"p{i}").alias(f"p{i}") for i in range(width)]).first()
     pull = np.array([row[f"p{i}"] for i in range(width)])
-    both = raw.drop(target).withColumn("_best", F.lit(None).cast("boolean")).withColumn("_held", F.lit(False))
-    both = both.unionByName(held.withColumn("_held", F.lit(True)))
-    table = packed.pack(both, group, x, "cand_idx", F.col("_held"), F.col("_best"), piece_rows)
+    table = packed.pack(rows, group, x, "cand_idx", F.col("_held"), F.col("_best"), F.col("_n"), piece_rows)
     table = materialise(table, "rank-packed")
-    cut = not table.where("pieces > 1").isEmpty()
-    return Lists(table, held.drop(features), mean, scale, pull, k, group, cut)
+    held = held.select(group, "cand_idx", "_best")
+    return Lists(table, held, mean, scale, pull, k, group, max(largest.values()) > piece_rows)
 
 
 def measure(lists: Lists, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -46,16 +46,17 @@ class Measured:
 
 def pack(
     rows: DataFrame, group: str, x: list[Column], tie: str, held: Column, best: Column,
-    piece_rows: int = PIECE_ROWS,
+    size: Column, piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """(list, held, pieces, x, tie, best): the candidates of a list, or of a piece of one, in the
-    order of `tie`; x lays their features end to end. Not stored."""
+    order of `tie`; x lays their features end to end. `size` is the rows of a list, the same on all
+    of them. Not stored."""
     cell = F.struct(F.col(tie).cast("long").alias("tie"), best.alias("best"), F.array(*x).alias("x"))
-    rows = rows.select(F.col(group).cast("string").alias("list"), held.alias("held"), cell.alias("cell"))
-    sizes = rows.groupBy("list", "held").agg(F.ceil(F.count(F.lit(1)) / piece_rows).cast("int").alias("pieces"))
+    pieces = F.ceil(size / piece_rows).cast("int").alias("pieces")
+    rows = rows.select(F.col(group).cast("string").alias("list"), held.alias("held"), pieces, cell.alias("cell"))
     piece = F.pmod(F.xxhash64("cell.tie", "list"), F.col("pieces")).alias("piece")
     cells = F.sort_array(F.collect_list("cell")).alias("cells")
-    placed = rows.join(sizes, ["list", "held"]).groupBy("list", "held", "pieces", piece).agg(cells)
+    placed = rows.groupBy("list", "held", "pieces", piece).agg(cells)
     return placed.select(
         "list",
         "held",
