@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.operators import selection
 from evalspark.session import materialise
 
 # Largest group a single task sorts; above it the rows are cut into ranges of a quarter of it.
@@ -115,9 +116,12 @@ def nearest_rank(
 ) -> DataFrame:
     """sorted(values)[int(n * fraction)] per group, exact, plus min, max and n.
 
-    Works on the value histogram, so repeated values are counted before anything is sorted; the
-    histogram is written once and read by sizing, totals and ranks.
+    Numbers and dates are selected by counting passes. Other types go by the value histogram, so
+    repeated values are counted before anything is sorted; it is written once and read by sizing,
+    totals and ranks.
     """
+    if selection.selectable(df.schema[value].dataType):
+        return selection.nearest_ranks(df, group, value, fractions)
     rows = df.where(F.col(value).isNotNull())
     counts = materialise(histogram(rows, group, value), "value-histogram")
     run = running_total(counts, group, [value], "n", "_through")

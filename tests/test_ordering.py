@@ -169,3 +169,67 @@ def test_first_rows_by_rank_equals_limit(spark, window_rows):
         b = ordering.first_rows(df.repartition(5), ["k", "id"], limit, window_rows)
         want = [tuple(r) for r in df.orderBy("k", "id").limit(limit).collect()]
         assert sorted(tuple(r) for r in b.collect()) == want
+
+
+SPECIAL = [0.0, -0.0, 1e-308, -1e308, float("inf"), float("-inf"), float("nan"), -2.5, 2.5]
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "long", "int", "date"])
+@pytest.mark.parametrize("parts", [1, 6])
+def test_nearest_rank_is_that_of_the_sorted_values(spark, kind, parts):
+    """Distinct values, ties, both signs and a group with a third of the rows."""
+    i = F.col("id")
+    spread = F.pmod(F.xxhash64(i), F.lit(2_000_003)) - 1_000_000
+    value = {
+        "double": spread / 7.0,
+        "float": (spread / 7.0).cast("float"),
+        "long": spread * F.lit(4_000_000_000_000),
+        "int": (spread % 50).cast("int"),
+        "date": F.date_add(F.lit("1970-01-01").cast("date"), (spread % 9000).cast("int")),
+    }[kind]
+    df = spark.range(3000).select(F.when(i % 3 == 0, "hot").when(i % 3 == 1, (i % 11).cast("string")).alias("g"), value.alias("v"))
+    df = df.repartition(parts)
+    out = ordering.nearest_rank(df, ["g"], "v", {"median": 0.5, "p95": 0.95, "first": 0.0})
+    by = {}
+    for r in df.collect():
+        by.setdefault(r.g, []).append(r.v)
+    got = {r.g: tuple(r)[1:] for r in out.collect()}
+    assert set(got) == set(by) and None in by
+    for g, values in by.items():
+        v, n = sorted(values), len(values)
+        assert got[g] == (n, v[0], v[n // 2], v[int(n * 0.95)], v[0], v[-1])
+
+
+def test_nearest_rank_of_special_values(spark):
+    df = spark.createDataFrame([(x,) for x in SPECIAL] + [(None,)], "v double")
+    fractions = {f"r{i}": (i + 0.5) / 9 for i in range(9)}
+    row = ordering.nearest_rank(df, [], "v", fractions).first()
+    wanted = [float("-inf"), -1e308, -2.5, 0.0, 0.0, 1e-308, 2.5, float("inf"), float("nan")]
+    assert row.n == 9 and repr([row[f"r{i}"] + 0.0 for i in range(9)]) == repr(wanted)
+    empty = ordering.nearest_rank(df.where("v IS NULL"), [], "v", {"median": 0.5}).collect()
+    assert [tuple(r) for r in empty] == [(0, None, None, None)]
+    assert ordering.nearest_rank(df.withColumn("g", F.lit(1)).where("false"), ["g"], "v", {"median": 0.5}).collect() == []
+
+
+def test_selection_sorts_no_rows(spark, capsys):
+    """The rows meet partial aggregates only; what is sorted are counted bins and their totals."""
+    from evalspark.operators import selection
+
+    plans = []
+    keep = selection.materialise
+
+    def watched(df, name):
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return keep(df, name)
+
+    selection.materialise = watched
+    try:
+        df = spark.range(5000).select((F.col("id") / 3.0).alias("v"))
+        row = ordering.nearest_rank(df, [], "v", {"median": 0.5}).first()
+    finally:
+        selection.materialise = keep
+    assert row.median == 2500 / 3.0
+    first = plans[2]
+    assert "Window" in first and first.index("Window") < first.index("HashAggregate")
+    assert "Sort" not in first[first.index("HashAggregate"):]
