@@ -68,6 +68,8 @@ def export_scan(spark, sf):
     return by_side(readers.to_positions(readers.export(spark, path)))
 
 
+FEATURED_S1 = P + f", featured AS (SELECT *, {bridge.features_sql(schemas.S1)} FROM positions)"
+SUMS_S1 = ", ".join(f"{R(f'sum({c})')} AS {c}" for c in schemas.S1)
 FEATURE_SUMS = ", ".join(f"{R(f'sum({c})')} AS {c}" for c in schemas.S0)
 
 
@@ -341,8 +343,8 @@ def bundle_sink(spark, sf):
 
 @query(
     "a15_enriched_sink",
-    f"""SELECT 'S1' AS feature_schema, '0.9.3' AS engine_version, count(*)::BIGINT AS rows,
-      {6 + len(schemas.S1)}::INTEGER AS width FROM orders""",
+    FEATURED_S1 + f""" SELECT side, 'S1' AS feature_schema, '0.9.3' AS engine_version, count(*)::BIGINT AS rows,
+      {6 + len(schemas.S1)}::INTEGER AS width, sum(ply)::BIGINT AS plies, {SUMS_S1} FROM featured GROUP BY side""",
 )
 def enriched_sink(spark, sf):
     path = scratch_path(spark, "enriched")
@@ -351,11 +353,13 @@ def enriched_sink(spark, sf):
     writers.enriched(rows, path, schemas.S1, identity)
     df = readers.enriched(spark, path, columns=schemas.S1, expected=identity)
     found = readers.field_metadata(df)
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+    return df.groupBy("side").agg(
         F.lit(found["feature_schema"]).alias("feature_schema"),
         F.lit(found["engine_version"]).alias("engine_version"),
-        "rows",
+        F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).alias("width"),
+        F.sum("ply").alias("plies"),
+        *[r6(F.sum(F.col(c).cast("double"))).alias(c) for c in schemas.S1],
     )
 
 
