@@ -28,8 +28,6 @@ def batch_scorer(
             out = np.empty(len(batch), dtype=np.float64)
             for at in range(0, len(batch), rows):
                 part = batch.iloc[at : at + rows]
-                if any(v is None or len(v) != width for v in part):
-                    raise ValueError(f"expected {width} features per row")
                 # The rows are numpy arrays already; one copy lays them end to end.
                 matrix = np.concatenate(part.to_numpy()).reshape(-1, width).astype(np.float32)
                 values = np.asarray(run(matrix), dtype=np.float64).reshape(-1)
@@ -40,7 +38,12 @@ def batch_scorer(
                 out[at : at + len(part)] = np.clip(values, 0.0, 1.0) if clamp else values
             yield pd.Series(out)
 
-    return score
+    def checked(column: Column) -> Column:
+        # Widths are judged before the rows leave the JVM; a null array has no width.
+        fits = F.size(column) == width
+        return score(F.when(fits, column).otherwise(F.raise_error(F.lit(f"expected {width} features per row"))))
+
+    return checked
 
 
 def linear_session(weights, bias: float = 0.0):

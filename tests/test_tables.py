@@ -373,6 +373,9 @@ def test_scoring_refuses_wrong_width_and_non_finite(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "x array<double>")
     with pytest.raises(Exception, match="expected 3 features"):
         models.score_rows(df, "x", models.batch_scorer(models.linear_session([1, 1, 1]), 3)).collect()
+    with pytest.raises(Exception, match="expected 2 features"):
+        none = df.select(F.lit(None).cast("array<double>").alias("x"))
+        models.score_rows(none, "x", models.batch_scorer(models.linear_session([1, 1]), 2)).collect()
     bad = models.linear_session([float("nan"), 1.0])
     with pytest.raises(Exception, match="non-finite"):
         models.score_rows(df, "x", models.batch_scorer(bad, 2)).collect()
