@@ -370,8 +370,9 @@ COSTED = ["S1", "S2", "S9"]
     unseen AS (SELECT * FROM evaluated WHERE {KEY} NOT IN (SELECT key FROM seen)),
     c AS ({scores_sql("unseen", rounded=False)}), b AS ({scores_sql("unseen", p="ref", rounded=False)})
     SELECT c.count, array_to_string(list_filter([
-      CASE WHEN NOT c.log_loss - b.log_loss <= 0.01 THEN 'unseen-log-loss-regression' END,
-      CASE WHEN NOT c.brier - b.brier <= 0 THEN 'unseen-brier-regression' END],
+      CASE WHEN c.count = 0 THEN 'no-unseen-positions' END,
+      CASE WHEN NOT coalesce(c.log_loss - b.log_loss <= 0.01, false) THEN 'unseen-log-loss-regression' END,
+      CASE WHEN NOT coalesce(c.brier - b.brier <= 0, false) THEN 'unseen-brier-regression' END],
       lambda x : x IS NOT NULL), ',') AS reasons FROM c, b""",
 )
 def unseen_gate(spark, sf):
