@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions import hashing
@@ -158,21 +158,25 @@ def stage_lists(
     group: str = "group_id",
     target: str = "target",
     features: str = "features",
-    split: str = "split",
+    split: str | Column = "split",
     piece_rows: int = packed.PIECE_ROWS,
 ) -> Lists:
     """Standardisation and gains of the train lists; validation lists longer than k with their
     best candidates marked; both packed by list. Refused without a list to train on or to measure.
 
-    The rows that count are stored once, with their list's size and best target; every later step
-    reads that table."""
-    cands = cands.select(group, "cand_idx", target, features, split)
-    stats = cands.groupBy(group, split).agg(F.count(F.lit(1)).alias("_n"), F.max(target).alias("_top"))
-    held = F.col(split) == "validation"
-    chosen = (F.col(split) == "train") & (F.col("_n") >= 2) | held & (F.col("_n") > k)
+    `split` names a column of the rows, or is an expression of the group alone, which is evaluated
+    once per list. The rows that count are stored once, with their list's size and best target; every
+    later step reads that table."""
+    keys = [group, split] if isinstance(split, str) else [group]
+    cands = cands.select("cand_idx", target, features, *keys)
+    stats = cands.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(target).alias("_top"))
+    side = F.col(split) if isinstance(split, str) else split
+    stats = stats.withColumn("_train", side == "train").withColumn("_held", side == "validation")
+    chosen = F.col("_train") & (F.col("_n") >= 2) | F.col("_held") & (F.col("_n") > k)
+    held = F.col("_held")
     best = F.when(held, F.col(target) == F.col("_top")).alias("_best")
-    rows = cands.join(stats.where(chosen), [group, split])
-    rows = materialise(rows.select(group, "cand_idx", target, features, "_n", held.alias("_held"), best), "rank-lists")
+    rows = cands.join(stats.where(chosen), keys)
+    rows = materialise(rows.select(group, "cand_idx", target, features, "_n", held, best), "rank-lists")
     largest = dict(rows.groupBy("_held").agg(F.max("_n")).collect())
     if False not in largest:
         raise Refused("list fit refused: no train list has two candidates")

@@ -20,6 +20,8 @@ from evalspark.operators import ordering
 from evalspark.session import materialise
 
 PIECE_ROWS = 4096
+#: Candidates whose arrays are held at once; a piece of a list stays whole.
+SLICE_ROWS = 1 << 15
 OUT = "list string, held boolean, model int, n long, sums array<double>, tie long, best boolean"
 OUT_ARROW = pa.schema(
     [
@@ -88,12 +90,24 @@ def _kept(z: np.ndarray, best: np.ndarray, at: np.ndarray, sizes: np.ndarray, k:
     return np.add.reduceat(ahead, at, axis=0, dtype=np.int64) < k
 
 
+def _slices(batches, rows: int):
+    """The batches in slices of about `rows` candidates; one piece of a list at least."""
+    for batch in batches:
+        ends = np.cumsum(batch["tie"].value_lengths().to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + rows, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _pass(weights: np.ndarray, k: int):
     models, width = weights.shape
 
     def run(batches):
         totals, lists = np.zeros((2, models, 1 + width)), [0, 0]
-        for batch in batches:
+        for batch in _slices(batches, SLICE_ROWS):
             held = np.array(batch["held"].to_pylist(), bool)
             cut = np.array(batch["pieces"].to_pylist()) > 1
             out = {name: [] for name in OUT_ARROW.names}
@@ -108,7 +122,7 @@ def _pass(weights: np.ndarray, k: int):
                     continue
                 part = batch.take(pa.array(rows))
                 x = part["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                sizes = np.array([len(t) for t in part["tie"]])
+                sizes = part["tie"].value_lengths().to_numpy(zero_copy_only=False)
                 at, whole = np.cumsum(sizes) - sizes, ~cut[rows]
                 lists[side] += int(whole.sum())
                 if not side:

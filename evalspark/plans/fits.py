@@ -72,9 +72,14 @@ def temperature_calibration(spark, sf):
     return rounded(out, ("temperature", "log_loss", "brier", "ece"))
 
 
+def staged(spark, sf):
+    """The suppliers' lists, their split drawn once per list."""
+    return fit.stage_lists(bridge.candidates(spark, sf), 9, 8, split=hashing.split_for("group_id"))
+
+
 @query("m4_list_ranker")
 def list_ranker(spark, sf):
-    model = fit.fit_ranker(fit.stage_lists(bridge.candidates(spark, sf), 9, 8))
+    model = fit.fit_ranker(staged(spark, sf))
     return spark.createDataFrame(model.history, "epoch int, train_loss double, recall_at_k double")
 
 
@@ -99,7 +104,7 @@ START = [0.05 * (i - 4) for i in range(9)]
 )
 def loss_and_gradient(spark, sf):
     """What every step of the list fit computes, at fixed weights."""
-    lists = fit.stage_lists(bridge.candidates(spark, sf), 9, 8)
+    lists = staged(spark, sf)
     loss, gradient = fit.loss_and_gradient(lists, np.array(START))
     rows = [(i, loss, float(g)) for i, g in enumerate(gradient)]
     return rounded(
@@ -109,7 +114,7 @@ def loss_and_gradient(spark, sf):
 
 @query("m5_seed_replication")
 def seed_replication(spark, sf):
-    lists = fit.stage_lists(bridge.candidates(spark, sf), 9, 8)
+    lists = staged(spark, sf)
     runs = fit.replicate_ranker(lists, bridge.SEEDS, floor_column=0)
     return gates.seed_range(runs, bridge.SEEDS)
 

@@ -4,9 +4,13 @@ import os
 import shutil
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 from oracle import TABLES, compare
+from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from evalspark.operators import fit, packed
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +38,37 @@ def test_footers_of_a_table_in_several_files(spark, tmp_path):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}{'/*' * os.path.isdir(path)}')")
     got = queries()["u5_footer_reader"](spark, str(tmp_path))
     assert compare(got, con, oracle_sql()["u5_footer_reader"]) is None
+
+
+def test_a_pass_holds_few_candidates_at_once(monkeypatch):
+    rows, sizes = [], [40, 7, 300, 1, 60, 60, 5]
+    for i, n in enumerate(sizes):
+        x = np.random.default_rng(i).normal(size=2 * n).tolist()
+        rows.append({"list": str(i), "held": i == 3, "pieces": 1, "x": x, "tie": list(range(n)), "best": [True] * n})
+    batch, weights = pa.RecordBatch.from_pylist(rows), np.array([[0.3, -0.2], [1.0, 2.0]])
+    seen, softened = [], packed._softened
+
+    def spy(w, x, at, n):
+        seen.append(len(x))
+        return softened(w, x, at, n)
+
+    monkeypatch.setattr(packed, "_softened", spy)
+    whole = list(packed._pass(weights, 3)([batch]))[-1].to_pylist()
+    monkeypatch.setattr(packed, "SLICE_ROWS", 100)
+    seen.clear()
+    cut = list(packed._pass(weights, 3)([batch]))[-1].to_pylist()
+    assert max(seen) == 300 and sorted(seen)[-2] <= 100 and sum(seen) == sum(sizes) - 1
+    for a, b in zip(whole, cut):
+        assert a["n"] == b["n"] and np.allclose(a["sums"], b["sums"], rtol=1e-12)
+
+
+def test_lists_staged_by_a_split_of_the_group(spark):
+    rows = [(f"g{g}", 10 * g + i, (g * i) % 5, [float(i), float(g * i % 3)]) for g in range(12) for i in range(6)]
+    df = spark.createDataFrame(rows, "group_id string, cand_idx long, target long, features array<double>")
+    split = F.when(F.length("group_id") == 3, "validation").when(F.col("group_id") == "g5", "test").otherwise("train")
+    named, drawn = fit.stage_lists(df.withColumn("split", split), 2, 2), fit.stage_lists(df, 2, 2, split=split)
+    w = np.array([[0.1, -0.4]])
+    for a, b in zip(fit.measure(named, w), fit.measure(drawn, w)):
+        assert np.allclose(a, b, rtol=1e-12)
+    a, b = (lists.packed.select("list", "held", "tie").orderBy("list").collect() for lists in (named, drawn))
+    assert a == b
