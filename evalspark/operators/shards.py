@@ -72,7 +72,8 @@ def shard_starts(spans: DataFrame, size: int) -> DataFrame:
     the straddling game, counting again from there.
 
     The cuts form a chain start -> next. Each round follows three jumps and replaces the jump
-    table by its fourth power, so log4(shards) rounds replace one step per shard.
+    table by its fourth power, so log4(shards) rounds replace one step per shard. The jump table has
+    a row per game; its joins are merge joins, so no round sends it through the driver.
     """
     total = spans.agg(F.max("stop")).first()[0] or 0
     jumps = next_starts(spans, size).where(F.col("next").isNotNull() & (F.col("next") < total))
@@ -81,11 +82,11 @@ def shard_starts(spans: DataFrame, size: int) -> DataFrame:
     known = 1 if total else 0
 
     def follow(at: DataFrame) -> DataFrame:
-        return at.join(jumps, "start").select(F.col("next").alias("start"))
+        return at.join(jumps.hint("merge"), "start").select(F.col("next").alias("start"))
 
     def squared(table: DataFrame) -> DataFrame:
         hop = table.select(F.col("start").alias("next"), F.col("next").alias("_then"))
-        return table.join(hop, "next").select("start", F.col("_then").alias("next"))
+        return table.join(hop.hint("merge"), "next").select("start", F.col("_then").alias("next"))
 
     while known:
         one = follow(marked)
@@ -113,4 +114,4 @@ def assign_shards(df: DataFrame, game: str, ordinal: str, size: int) -> DataFram
 
 def sharded_rows(df: DataFrame, game: str, ordinal: str, size: int) -> DataFrame:
     """Rows with their shard number and their game's row range."""
-    return df.join(assign_shards(df, game, ordinal, size), game)
+    return df.join(assign_shards(df, game, ordinal, size).hint("merge"), game)

@@ -10,7 +10,9 @@ from oracle import TABLES, compare
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
-from evalspark.operators import fit, packed
+from evalspark.operators import fit, packed, shards
+from evalspark.session import materialise
+from evalspark.sources import writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +74,28 @@ def test_lists_staged_by_a_split_of_the_group(spark):
         assert np.allclose(a, b, rtol=1e-12)
     a, b = (lists.packed.select("list", "held", "tie").orderBy("list").collect() for lists in (named, drawn))
     assert a == b
+
+
+def test_jumps_between_shards_stay_on_the_executors(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, name)
+
+    monkeypatch.setattr(shards, "materialise", kept)
+    rows = spark.range(4000).select((F.col("id") % 500).alias("game"), F.col("id").alias("at"))
+    placed = shards.assign_shards(rows, "game", "at", 20)
+    assert placed.agg(F.max("shard")).first()[0] == 4000 // 24 and len(plans) > 4
+    assert not any("BroadcastHashJoin" in plan for plan in plans)
+
+
+def test_many_shards_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    asked, repartition = [], type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda df, n, *c: asked.append(n) or repartition(df, n, *c))
+    rows = spark.range(3000).select((F.col("id") % 300).alias("game_id"), F.col("id").alias("ply"), F.col("id").alias("ordinal"))
+    writers.position_shards(rows, f"{tmp_path}/shards", 10)
+    stored = spark.read.parquet(f"{tmp_path}/shards")
+    assert asked == [writers.SHARD_TASKS]
+    assert stored.count() == 3000 and stored.groupBy("shard").count().where("count <> 10").isEmpty()
+    assert stored.select("shard").distinct().count() == 300
