@@ -13,6 +13,10 @@ from evalspark.session import materialise
 from evalspark.sources import readers, schemas
 
 
+# Rows that a task writes where the shards are many, and tasks up to which each may write one shard.
+TASK_ROWS, SHARD_TASKS = 1 << 18, 64
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -41,12 +45,15 @@ def position_shards(
     """Shards of about `size` rows that never split a game: rows grouped by game in
     first-appearance order, plies ordered. One directory per shard. The rows are range partitioned
     in that order, so a shard's files follow it too: one or two for usual shards, and as many as
-    its rows need for a giant game, which no task has to write alone."""
-    placed = shards.sharded_rows(df, game, ordinal, size)
+    its rows need for a giant game, which no task has to write alone. Beyond SHARD_TASKS shards a
+    task writes about TASK_ROWS rows, so tasks and the sample of the ranges do not grow with the
+    number of shards."""
+    placed = materialise(shards.sharded_rows(df, game, ordinal, size), "placed")
     order = ("shard", "start", "ply", ordinal)
-    files = max(1, -(-placed.count() // size))
+    rows = placed.count()
+    tasks = max(1, min(-(-rows // size), max(SHARD_TASKS, -(-rows // max(size, TASK_ROWS)))))
     (
-        placed.repartitionByRange(files, *order)
+        placed.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .drop("start", "stop", ordinal)
         .write.mode("errorifexists")
