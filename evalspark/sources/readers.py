@@ -4,7 +4,7 @@ violation tables (operators.validation)."""
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from evalspark.operators.validation import (
     require_layout,
     violations,
 )
+from evalspark.session import materialise
 from evalspark.sources import schemas
 
 
@@ -184,8 +185,8 @@ def bundle(
 ) -> tuple[DataFrame, dict]:
     """A rows bundle: `rows/` (JSON lines) with its `manifest/` record, judged as a whole: the
     manifest's identity against `expected`, its row count and digest against the rows found, every
-    row rule, unique row ids, and one group per game and root. An empty bundle is refused."""
-    rows = spark.read.schema(schemas.ROWS).json(f"{path}/rows")
+    row rule, unique row ids, and one group per game and root. An empty bundle is refused. The JSON is
+    parsed once: what is judged is what is returned."""
     manifest = spark.read.json(f"{path}/manifest").first()
     if manifest is None:
         raise Refused("bundle refused: no manifest")
@@ -193,7 +194,18 @@ def bundle(
     for k, v in (expected or {}).items():
         if declared.get(k) != v:
             raise Refused(f"bundle refused: {k} is {declared.get(k)!r}, expected {v!r}")
-    found = summaries.content_digest(rows).first()
+    rows = bundle_stored(spark, path)
+    judge_bundle(rows, declared, summaries.content_digest(rows).first())
+    return rows, declared
+
+
+def bundle_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a bundle, parsed once and stored; the checks and the caller read the same ones."""
+    return materialise(spark.read.schema(schemas.ROWS).json(f"{path}/rows"), "bundle-rows")
+
+
+def judge_bundle(rows: DataFrame, declared: dict, found: Row) -> None:
+    """Action: the rows of a bundle, their count and digest as `found`, against its record and rules."""
     if found["rows"] == 0:
         raise Refused("bundle refused: no rows")
     if declared.get("rows") != found["rows"]:
@@ -207,7 +219,6 @@ def bundle(
         raise Refused("bundle refused: duplicate row identity")
     if not keys.ownership(rows, "group_id", ["game_id", "root_id"]).isEmpty():
         raise Refused("bundle refused: a game or root crosses groups")
-    return rows, declared
 
 
 def rows_array(spark: SparkSession, path: str) -> DataFrame:

@@ -86,11 +86,11 @@ def bundle(rows: DataFrame, path: str, record: dict[str, str]) -> dict:
     if exists(spark, path):
         raise Refused(f"{path} already exists")
     rows.orderBy("game_id", "ply", "id").write.mode("errorifexists").json(f"{staged}/rows")
-    stored = spark.read.schema(schemas.ROWS).json(f"{staged}/rows")
-    digest = summaries.content_digest(stored).first()
-    manifest = {**record, "rows": digest["rows"], "rows_digest": digest["digest"]}
+    stored = readers.bundle_stored(spark, staged)
+    found = summaries.content_digest(stored).first()
+    manifest = {**record, "rows": found["rows"], "rows_digest": found["digest"]}
     spark.createDataFrame([manifest]).repartition(1).write.json(f"{staged}/manifest")
-    readers.bundle(spark, staged)
+    readers.judge_bundle(stored, spark.read.json(f"{staged}/manifest").first().asDict(), found)
     publish(spark, staged, path)
     return manifest
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import oracle_sql, queries
 from evalspark.operators import fit, packed, shards
 from evalspark.session import materialise
-from evalspark.sources import writers
+from evalspark.sources import readers, schemas, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +99,15 @@ def test_many_shards_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
     assert asked == [writers.SHARD_TASKS]
     assert stored.count() == 3000 and stored.groupBy("shard").count().where("count <> 10").isEmpty()
     assert stored.select("shard").distinct().count() == 300
+
+
+def test_a_bundle_is_parsed_once_and_what_was_judged_is_read(spark, tmp_path):
+    feats = [F.lit(0.0).cast("float").alias(c) for c in schemas.S0]
+    row = ("g1", 0, "4k3/8/8/8/8/8/8/4K3 w - -", "PNB", "w", 1.0)
+    source = spark.createDataFrame([row], schemas.POSITION).select("*", *feats)
+    path = f"{tmp_path}/bundle"
+    writers.bundle(writers.bundle_rows(source), path, {"schema": "x"})
+    rows, _ = readers.bundle(spark, path)
+    for part in (tmp_path / "bundle" / "rows").iterdir():
+        part.unlink()
+    assert [(r.id, r.result) for r in rows.collect()] == [("g1:0", 1.0)]
