@@ -17,13 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evalspark.llm.balls import near_fingerprints
 from evalspark.llm.components import components
 from evalspark.llm.similar import similar_groups
 from evalspark.llm.texts import LOWER, Texts, slices, texts_of
 from evalspark.session import materialise
 
 SEED = 42
-RADIUS = 2
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -57,29 +57,6 @@ def _fingerprints(words: int):
     return batches
 
 
-def _links(batches):
-    """Rows sorted by variant: links of each variant's least fingerprint to the others there."""
-    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def linked(variant, prints):
-        new = np.concatenate(([True], variant[1:] != variant[:-1]))
-        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        a, b = prints[head][~new], prints[~new]
-        differ = np.unpackbits((a ^ b).view(np.uint8).reshape(-1, 8), axis=1).sum(axis=1)
-        near = (differ > 0) & (differ <= RADIUS)
-        return pa.record_batch([pa.array(a[near]), pa.array(b[near])], ["a", "b"])
-
-    for batch in batches:
-        both = (np.concatenate((h, batch[c].to_numpy())) for h, c in zip(held, ("variant", "fingerprint")))
-        variant, prints = both
-        cut = int(np.searchsorted(variant, variant[-1])) if len(variant) else 0
-        held = variant[cut:], prints[cut:]
-        if cut:
-            yield linked(variant[:cut], prints[:cut])
-    if len(held[0]):
-        yield linked(*held)
-
-
 def simhash_groups(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (long, its 64 bits) and component_id, the smallest doc_id reachable over
     links of at most 2 differing bits.
@@ -93,11 +70,7 @@ def simhash_groups(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text
     prints = chosen.mapInArrow(_fingerprints(words), "doc_id bigint, fingerprint bigint")
     prints = materialise(prints, "fingerprints")
     classes = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "classes")
-    ball = F.expr("transform(sequence(-1, 63), i -> if(i < 0, fingerprint, fingerprint ^ shiftleft(1L, i)))")
-    variants = classes.select("fingerprint", F.explode(ball).alias("variant"))
-    met = variants.repartition("variant").sortWithinPartitions("variant", "fingerprint")
-    links = met.mapInArrow(_links, "a bigint, b bigint")
-    found = components(links, "a", "b")
+    found = components(near_fingerprints(classes), "a", "b")
     known = classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     known = known.withColumn("component", F.coalesce("component", "fingerprint"))
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))

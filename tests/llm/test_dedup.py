@@ -4,6 +4,7 @@ import re
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from evalspark.llm import exact_dedup, repeats, similar, simhash, substring_dedup, suffix_dedup
 from evalspark.llm.components import components
@@ -214,6 +215,54 @@ def test_near_duplicates_of_a_key_with_several_components(frame):
     assert len(want) > 1 and sorted(got) == sorted(want)
 
 
+def counted(monkeypatch, *names):
+    """Rows of the tables of these names that `similar` stores from now on."""
+    out, held = [], similar.materialise
+
+    def store(df, name):
+        df = held(df, name)
+        if name in names:
+            out.append(df.count())
+        return df
+
+    monkeypatch.setattr(similar, "materialise", store)
+    return out
+
+
+@pytest.mark.parametrize("least", [0, 2])
+def test_near_copies_of_one_text_are_not_all_paired(frame, monkeypatch, least):
+    rng = np.random.default_rng(9)
+    base, given = [f"w{i}" for i in range(300)], []
+    for i in range(240):  # pairs of at most 6 edits in all are similar enough
+        w = list(base)
+        for at in rng.choice(300, int(rng.integers(least, 8)), replace=False):
+            w[at] = f"x{i}-{at}"
+        given.append((i, " ".join(w)))
+    tested = counted(monkeypatch, "middle", "pairs")
+    got = [r.doc_id for r in simhash.without_near_duplicates(frame(given), words=5, similarity=0.8).collect()]
+    assert sorted(got) == sorted({given[c][0] for c in by_similarity(given)})
+    assert sum(tested[1:]) < 5 * 240  # 28,680 pairs in all
+
+
+def test_near_duplicates_by_fingerprints_without_bands(frame, monkeypatch):
+    held = similar.materialise
+    none = F.array().cast("array<bigint>")
+    monkeypatch.setattr(similar, "materialise", lambda df, name: held(df.withColumn("bands", none) if name == "sketches" else df, name))
+    w = [f"w{i}" for i in range(6000)]
+    given = [(1, " ".join(w)), (2, " ".join([*w[:3000], "other", *w[3001:]])), (3, " ".join(f"v{i}" for i in range(300)))]
+    got = [r.doc_id for r in simhash.without_near_duplicates(frame(given), words=5, similarity=0.8).collect()]
+    assert sorted(got) == [1, 3]
+
+
+def test_parities_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 40, 3000):
+        a, b = (rng.integers(0, 1 << 63, n, np.uint64) for _ in range(2))
+        a[: n // 2] = b[: n // 2]
+        differ = np.bitwise_count((similar._parities(a) ^ similar._parities(b)).view(np.uint64)).sum()
+        assert differ <= len(np.setxor1d(a, b)) and (n != 40 or differ > 30)
+
+
 @pytest.mark.parametrize("options", [{}, {"words": 5, "similarity": 0.8}])
 def test_near_duplicates_drop_rows_not_ids(frame, options):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
