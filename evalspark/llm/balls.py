@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RADIUS = 2
+#: Fingerprints whose variants one task writes.
+TASK_PRINTS = 1 << 15
 
 
 def _links(batches):
@@ -35,8 +37,9 @@ def _links(batches):
 
 def near_fingerprints(prints: DataFrame) -> DataFrame:
     """(a, b): links whose components are those of all pairs of fingerprints within RADIUS bits.
-    `prints` has a column fingerprint, a long, each value once."""
+    `prints` has a column fingerprint, a long, each value once; it is stored, so counting it is cheap."""
+    tasks = max(1, -(-prints.count() // TASK_PRINTS))
     ball = F.expr("transform(sequence(-1, 63), i -> if(i < 0, fingerprint, fingerprint ^ shiftleft(1L, i)))")
-    variants = prints.select("fingerprint", F.explode(ball).alias("variant"))
+    variants = prints.select("fingerprint").repartition(tasks, "fingerprint").select("fingerprint", F.explode(ball).alias("variant"))
     met = variants.repartition("variant").sortWithinPartitions("variant", "fingerprint")
     return met.mapInArrow(_links, "a bigint, b bigint")

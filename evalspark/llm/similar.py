@@ -155,13 +155,6 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     heads = met.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("members"))
     met = materialise(met.join(heads.where("members > 1").drop("members"), "key"), "met")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        named = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        texts = materialise(ready.join(named, "row", "left_semi"), "candidate-texts")
-        both = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-        both = both.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-        return materialise(both.mapInArrow(_similar(words, similarity), "a bigint, b bigint"), "similar")
-
     def fits(n, m):
         """Sets whose sizes differ more cannot be as similar; the tolerance covers rounding."""
         return F.least(n, m) >= (similarity - 1e-9) * F.greatest(n, m)
@@ -176,6 +169,16 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     near = copies.select(*ordered("head.node", "node")).union(balls.select(*ordered("of_a.node", "of_b.node")))
     tested = met.where("node <> head.node").where(fits(F.col("n"), F.col("head.n")))
     tested = materialise(near.union(tested.select(*ordered("head.node", "node"))).distinct(), "pairs")
+    # All that is compared from here on: the other texts are read no more.
+    named = met.select("node").union(tested.select("a")).union(tested.select("b")).distinct()
+    named = materialise(named.withColumnRenamed("node", "row"), "candidates")
+    ready = materialise(ready.join(named, "row", "left_semi"), "candidate-texts")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(ready.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+        both = both.join(ready.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+        return materialise(both.mapInArrow(_similar(words, similarity), "a bigint, b bigint"), "similar")
+
     links = verified(tested)
     found = materialise(components(links, "a", "b"), "components")
 
