@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.session import materialise
+from evalspark.session import bounded, materialise
 
 
 def _to_least(links: DataFrame) -> DataFrame:
@@ -15,17 +15,18 @@ def _to_least(links: DataFrame) -> DataFrame:
     return links.join(least, "u")
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, rows: int | None = None) -> DataFrame:
     """(node, component): the least node reachable, for every node in a link between two nodes.
 
     Rounds alternate: each node hands its larger neighbours to its least one, then its smaller
     ones; the trees flatten in a logarithmic number of rounds. Every round is written to the
     shared folder, so a lost executor repeats one round at most. Links with a null end and from a
-    node to itself are ignored.
+    node to itself are ignored. `rows`, if known, bounds the links; no round makes them more.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    edges = materialise(edges.where("u > v").distinct(), "links")
-    before = None
+    edges = edges.where("u > v").distinct()
+    edges = materialise(edges if rows is None else bounded(edges, rows), "links")
+    before, rows = None, edges.count()
     while True:
         both = edges.union(edges.select("v", "u"))
         large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
@@ -34,7 +35,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         small = small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             small.select("u", F.col("m").alias("v"))
         )
-        edges = materialise(small.distinct(), "links")
+        edges = materialise(bounded(small.distinct(), rows), "links")
         total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if total == before:
             break

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from evalspark.llm.balls import near_fingerprints
 from evalspark.llm.components import components
 from evalspark.llm.texts import LOWER, Texts, mixed, slices, span_hashes, texts_of, word_bytes
-from evalspark.session import materialise
+from evalspark.session import bounded, materialise
 
 BANDS, ROWS = 24, 4
 #: Bytes of texts whose arrays are held at once.
@@ -148,12 +148,13 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     ready = docs.select("row", F.coalesce("text", F.lit("")).alias("text"))
     columns = "row bigint, content binary, n bigint, fingerprint bigint, bands array<bigint>"
     sketches = materialise(ready.mapInArrow(_sketches(words), columns), "sketches")
-    least = materialise(sketches.groupBy("content").agg(F.min("row").alias("node")), "classes")
+    least = materialise(bounded(sketches.groupBy("content").agg(F.min("row").alias("node")), sketches.count()), "classes")
+    classes = least.count()
     nodes = least.select("node").join(sketches, F.col("node") == F.col("row"))
     nodes = materialise(nodes.where("n > 0").select("node", "n", "fingerprint", "bands"), "nodes")
     met = nodes.select("node", "n", F.explode("bands").alias("key"))
     heads = met.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("members"))
-    met = materialise(met.join(heads.where("members > 1").drop("members"), "key"), "met")
+    met = materialise(bounded(met.join(heads.where("members > 1").drop("members"), "key"), BANDS * classes), "met")
 
     def fits(n, m):
         """Sets whose sizes differ more cannot be as similar; the tolerance covers rounding."""
@@ -162,16 +163,18 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     def ordered(a, b):
         return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
-    prints = materialise(nodes.groupBy("fingerprint").agg(F.min(F.struct("node", "n")).alias("head")), "prints")
+    prints = materialise(bounded(nodes.groupBy("fingerprint").agg(F.min(F.struct("node", "n")).alias("head")), classes), "prints")
     copies = nodes.join(prints, "fingerprint").where("node <> head.node").where(fits(F.col("n"), F.col("head.n")))
     ends = [prints.select(F.col("fingerprint").alias(x), F.col("head").alias(f"of_{x}")) for x in ("a", "b")]
     balls = near_fingerprints(prints).distinct().join(ends[0], "a").join(ends[1], "b").where(fits(F.col("of_a.n"), F.col("of_b.n")))
     near = copies.select(*ordered("head.node", "node")).union(balls.select(*ordered("of_a.node", "of_b.node")))
     tested = met.where("node <> head.node").where(fits(F.col("n"), F.col("head.n")))
-    tested = materialise(near.union(tested.select(*ordered("head.node", "node"))).distinct(), "pairs")
+    tested = near.union(tested.select(*ordered("head.node", "node"))).distinct()
+    # A class and each of its keys or variants of its fingerprint are one pair at most.
+    tested = materialise(bounded(tested, (BANDS + 66) * classes), "pairs")
     # All that is compared from here on: the other texts are read no more.
     named = met.select("node").union(tested.select("a")).union(tested.select("b")).distinct()
-    named = materialise(named.withColumnRenamed("node", "row"), "candidates")
+    named = materialise(bounded(named.withColumnRenamed("node", "row"), classes), "candidates")
     ready = materialise(ready.join(named, "row", "left_semi"), "candidate-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -180,25 +183,27 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
         return materialise(both.mapInArrow(_similar(words, similarity), "a bigint, b bigint"), "similar")
 
     links = verified(tested)
-    found = materialise(components(links, "a", "b"), "components")
+    found = materialise(bounded(components(links, "a", "b", links.count()), classes), "components")
 
     named = met.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialise(named, "named")
     keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_ = named.join(keys, "key", "left_semi").select("node", "component").distinct()
-    open_ = materialise(open_.withColumn("part", F.col("component")), "open")
+    open_ = materialise(bounded(open_.withColumn("part", F.col("component")), classes), "open")
     sets = ready.join(open_.select(F.col("node").alias("row")), "row", "left_semi")
     sets = sets.mapInArrow(_sets(words), "node bigint, n bigint, parity array<bigint>, shingle array<bigint>")
     sets = materialise(sets, "sets")
+    held = sets.agg(F.sum("n")).first()[0] or 0
     each = sets.select("node", F.explode("shingle").alias("shingle"))
-    common = materialise(each.groupBy("shingle").count().where("count > 1"), "common")
+    common = materialise(bounded(each.groupBy("shingle").count().where("count > 1"), held), "common")
     # Shingles of one set alone come first in the order and meet nobody.
     shared = each.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("shared"))
     rare = sets.select("node", "n").join(shared, "node").withColumn("m", F.size("shared"))
     rare = rare.withColumn("prefix", F.expr(f"cast(n - ceil({similarity!r} * n - 1e-6) + 1 - (n - m) as int)")).where("prefix > 0")
     rare = rare.select("node", "n", "m", F.posexplode(F.slice("shared", 1, F.col("prefix"))).alias("at", "of"))
     rare = rare.select("node", "n", "m", (F.expr("n - m + 1") + F.col("at")).alias("place"), F.col("of.shingle").alias("shingle"))
-    rare = materialise(rare, "prefixes")
+    rare = materialise(bounded(rare, held), "prefixes")
+    places = rare.count()
 
     def enough(n, m, other_n, other_m):
         """The shingles that two sets must have in common, if those which others share allow as many."""
@@ -209,9 +214,9 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
         """`open_` with its components joined by links between them."""
         of = {x: open_.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b")}
         whole = links.join(of["a"], "a").join(of["b"], "b").select("of_a", "of_b").where("of_a <> of_b").distinct()
-        joined = components(whole, "of_a", "of_b").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        joined = components(whole, "of_a", "of_b", links.count()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
         both = open_.join(joined, "component", "left")
-        return materialise(both.select("node", "part", F.coalesce("whole", "component").alias("component")), "open")
+        return materialise(bounded(both.select("node", "part", F.coalesce("whole", "component").alias("component")), classes), "open")
 
     # First with the set at a shingle that has the fewest shingles of its own.
     at = rare.join(open_.select("node", "component"), "node")
@@ -220,7 +225,7 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     middle = at.join(middle.where("low < high"), "shingle").where("component <> head.component")
     middle = middle.where(enough(F.col("n"), F.col("m"), F.col("head.n"), F.col("head.m"))[1])
     middle = middle.select(*ordered("head.node", "node")).distinct().join(tested, ["a", "b"], "left_anti")
-    middle = materialise(middle, "middle")
+    middle = materialise(bounded(middle, places), "middle")
     if not middle.isEmpty():
         open_ = contracted(verified(middle))
         tested = tested.union(middle)
@@ -229,7 +234,7 @@ def similar_groups(docs: DataFrame, row: str, text: str, words: int = 5, similar
     main = at.groupBy("shingle", "component").count().groupBy("shingle")
     main = main.agg(F.max(F.struct("count", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     apart = at.join(main.select("shingle", F.col("main.component").alias("main")), "shingle")
-    apart = materialise(apart.join(sets.select("node", "parity"), "node"), "apart")
+    apart = materialise(bounded(apart.join(sets.select("node", "parity"), "node"), places), "apart")
     one, other = apart.where("component <> main").alias("x"), apart.alias("y")
     wanted, may = enough(F.col("x.n"), F.col("x.m"), F.col("y.n"), F.col("y.m"))
     pairs = one.join(other, "shingle").where("x.component <> y.component AND (y.component = y.main OR x.node < y.node)")

@@ -25,6 +25,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Rows of a small table that one task writes.
+TASK_ROWS = 1 << 17
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -61,6 +65,12 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """A table of at most `rows` rows in a task per TASK_ROWS of them at most, for a small table to be
+    written in few files, not by every shuffle partition. A bound that is too low costs speed only."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once as parquet in the shared folder and read back: a checkpoint that survives lost
     executors, keeps column pruning and can be reused by many plans."""

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import sys
 
 import brute
 import numpy as np
@@ -278,6 +279,28 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
 
 
+@pytest.fixture
+def many_partitions(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(held, ("24", "false")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+def test_small_tables_of_near_duplicates_are_written_in_few_files(spark, frame, monkeypatch, many_partitions):
+    written = []
+    for module in (similar, sys.modules[components.__module__]):
+        held = module.materialise
+        monkeypatch.setattr(module, "materialise", lambda df, name, held=held: (lambda t: written.append((name, len(t.inputFiles()))) or t)(held(df, name)))
+    given = [(i, " ".join(f"g{i // 4}-{k}" for k in range(60)) + f" end{i}") for i in range(120)]
+    got = {r.row: r.component for r in similar.similar_groups(frame(given), "doc_id", "text").collect()}
+    assert got == {i: i // 4 * 4 for i in range(120)}
+    most = {name: max(n for x, n in written if x == name) for name, _ in written}
+    assert {most[x] for x in ("classes", "met", "prints", "pairs", "candidates", "links", "components", "open", "common", "prefixes")} == {1}
+
+
 def test_texts_of_one_template_do_not_meet(frame, monkeypatch):
     rng = np.random.default_rng(8)
     words = [f"t{i}" for i in range(120)]
