@@ -197,7 +197,7 @@ def stage_lists(
     row = per_list.agg(*[F.avg(f"p{i}").alias(f"p{i}") for i in range(width)]).first()
     pull = np.array([row[f"p{i}"] for i in range(width)])
     table = packed.pack(rows, group, x, "cand_idx", F.col("_held"), F.col("_best"), F.col("_n"), piece_rows)
-    table = materialise(table, "rank-packed")
+    table = materialise(packed.closed(table, width), "rank-packed")
     held = held.select(group, "cand_idx", "_best")
     return Lists(table, held, mean, scale, pull, k, group, max(largest.values()) > piece_rows)
 

@@ -5,6 +5,9 @@ pieces by a hash of the candidate index. Packing is the only shuffle of the rows
 over the packed table: a matrix of weights (a model per row) goes to the tasks, and each returns one
 row of sums per model. Only pieces of cut lists return rows of their own, which are combined per
 list; so a pass costs the same one job for one model and for many.
+
+What a pass costs is the bytes it sends to Python. So the stored table has the features of a list
+compressed, one feature after the other, and they are opened again in slices by the tasks of a pass.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from evalspark.session import materialise
 PIECE_ROWS = 4096
 #: Candidates whose arrays are held at once; a piece of a list stays whole.
 SLICE_ROWS = 1 << 15
+CODEC = "zstd"
+STORED = "list string, held boolean, pieces int, size int, x binary, tie array<bigint>, best array<boolean>"
 OUT = "list string, held boolean, model int, n long, sums array<double>, tie long, best boolean"
 OUT_ARROW = pa.schema(
     [
@@ -69,6 +74,42 @@ def pack(
     )
 
 
+def _closed(width: int):
+    def run(batches):
+        codec = pa.Codec(CODEC)
+        for batch in _slices(batches, SLICE_ROWS):
+            x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            sizes = batch["tie"].value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            shut = [codec.compress(np.ascontiguousarray(x[b - n : b].T), asbytes=True) for b, n in zip(ends, sizes)]
+            held = batch["held"].to_numpy(zero_copy_only=False)
+            cut = held & (batch["pieces"].to_numpy(zero_copy_only=False) > 1)
+            # Read of held lists only, the tie of those in pieces only.
+            tie, best = (batch[c].take(pa.array(np.arange(len(m)), mask=~m)) for c, m in (("tie", cut), ("best", held)))
+            columns = [batch["list"], batch["held"], batch["pieces"], pa.array(sizes, pa.int32()), pa.array(shut, pa.binary()), tie, best]
+            yield pa.RecordBatch.from_arrays(columns, ["list", "held", "pieces", "size", "x", "tie", "best"])
+
+    return run
+
+
+def closed(packed: DataFrame, width: int) -> DataFrame:
+    """A table of `pack` with its features compressed, as `measure` reads it. Not stored."""
+    return packed.select("list", "held", "pieces", "x", "tie", "best").mapInArrow(_closed(width), STORED)
+
+
+def _opened(batches, width: int):
+    """The features of a table of `closed` as lists again, in slices."""
+    codec = pa.Codec(CODEC)
+    for batch in _slices(batches, SLICE_ROWS):
+        ends = np.concatenate(([0], np.cumsum(batch["size"].to_numpy())))
+        x = np.empty((ends[-1], width))
+        for shut, a, b in zip(batch["x"], ends[:-1], ends[1:]):
+            plain = codec.decompress(shut.as_buffer(), (b - a) * width * 8)
+            x[a:b] = np.frombuffer(plain, np.float64).reshape(width, b - a).T
+        lists = pa.ListArray.from_arrays(pa.array((ends * width).astype(np.int32)), pa.array(x.reshape(-1)))
+        yield batch.set_column(batch.schema.get_field_index("x"), "x", lists)
+
+
 def _softened(weights: np.ndarray, x: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """lists x models x (2 + width): highest score, and relative to it the sum of exp(score) and
     the features weighted by it."""
@@ -93,7 +134,8 @@ def _kept(z: np.ndarray, best: np.ndarray, at: np.ndarray, sizes: np.ndarray, k:
 def _slices(batches, rows: int):
     """The batches in slices of about `rows` candidates; one piece of a list at least."""
     for batch in batches:
-        ends = np.cumsum(batch["tie"].value_lengths().to_numpy(zero_copy_only=False))
+        sizes = batch["size"] if "size" in batch.schema.names else batch["tie"].value_lengths()
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
         at = 0
         while at < len(ends):
             before = ends[at - 1] if at else 0
@@ -122,7 +164,7 @@ def _pass(weights: np.ndarray, k: int):
                     continue
                 part = batch.take(pa.array(rows))
                 x = part["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                sizes = part["tie"].value_lengths().to_numpy(zero_copy_only=False)
+                sizes = part["x"].value_lengths().to_numpy(zero_copy_only=False) // width
                 at, whole = np.cumsum(sizes) - sizes, ~cut[rows]
                 lists[side] += int(whole.sum())
                 if not side:
@@ -135,14 +177,14 @@ def _pass(weights: np.ndarray, k: int):
                             add(part["list"][row].as_py(), False, m, 1, got[row, m].tolist(), None, None)
                     continue
                 z = x @ weights.T
-                tie, best = (part[c].flatten().to_numpy(zero_copy_only=False) for c in ("tie", "best"))
+                best = part["best"].flatten().to_numpy(zero_copy_only=False)
                 totals[1, :, 0] += _kept(z, best.astype(bool), at, sizes, k)[whole].sum(axis=0)
                 for row in np.flatnonzero(~whole):
-                    a, b = at[row], at[row] + sizes[row]
+                    a, b, tie = at[row], at[row] + sizes[row], part["tie"][row].values
                     for m in range(models):
                         # Ties keep the order of the candidate index.
                         for i in a + np.argsort(-z[a:b, m], kind="stable")[:k]:
-                            add(part["list"][row].as_py(), True, m, 1, [float(z[i, m])], int(tie[i]), bool(best[i]))
+                            add(part["list"][row].as_py(), True, m, 1, [float(z[i, m])], tie[i - a].as_py(), bool(best[i]))
             if out["list"]:
                 yield pa.RecordBatch.from_pydict(out, OUT_ARROW)
         ends = [(None, bool(s), m, lists[s], totals[s, m].tolist(), None, None) for s in (0, 1) for m in range(models)]
@@ -180,7 +222,8 @@ def measure(packed: DataFrame, weights: np.ndarray, k: int, cut: bool) -> Measur
     """Every model (row of `weights`) on all lists, in one job. `cut`: some list has several
     pieces; their rows are stored and combined per list."""
     models, width = weights.shape
-    out = packed.select("list", "held", "pieces", "x", "tie", "best").mapInArrow(_pass(weights, k), OUT)
+    run = _pass(weights, k)
+    out = packed.mapInArrow(lambda batches: run(_opened(batches, width)), OUT)
     if cut:
         out = materialise(out, "list-pass")
     sums = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(1 + width)]

@@ -76,6 +76,24 @@ def test_lists_staged_by_a_split_of_the_group(spark):
     assert a == b
 
 
+def test_features_of_lists_are_sent_to_a_pass_compressed(spark):
+    rows = [(f"g{g}", 1000 * g + i, (g * i) % 5, [float(i % 7), float(g * i % 3), 0.01 * (i % 11)]) for g in range(8) for i in range(300)]
+    df = spark.createDataFrame(rows, "group_id string, cand_idx long, target long, features array<double>")
+    split = F.when(F.col("group_id") < "g2", "validation").otherwise("train")
+    whole, cut = (fit.stage_lists(df, 3, 2, split=split, piece_rows=n) for n in (4096, 70))
+    sent = whole.packed.agg(F.sum(F.length("x")), F.sum("size")).first()
+    assert sent[1] == 2400 and sent[0] < 2400 * 8
+    w = np.array([[0.1, -0.4, 0.2], [0.0, 0.0, 0.0], [-1.0, 0.3, 2.0]])
+    for a, b in zip(fit.measure(whole, w), fit.measure(cut, w)):
+        assert np.allclose(a, b, rtol=1e-12)
+    x = np.array([r[3] for r in rows]).reshape(8, 300, 3)[2:]
+    x = (x - whole.mean) / whole.scale
+    z = x @ w.T
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    means = np.einsum("gim,gif->mf", p, x) / 6
+    assert np.allclose(fit.measure(whole, w)[1], means - whole.pull, rtol=1e-9, atol=1e-12)
+
+
 def test_jumps_between_shards_stay_on_the_executors(spark, monkeypatch):
     plans = []
 
