@@ -19,6 +19,18 @@ from evalspark.llm.texts import mixed
 GRAM = 20
 
 
+def sorted_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of whole numbers >= 0, and the numbers in it. Key and place are sorted as one
+    number where both fit, several times faster than an order of places."""
+    n = len(keys)
+    bits = n.bit_length()
+    if n and int(keys.max()).bit_length() + bits > 63:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    both = np.sort(keys.astype(np.int64) << bits | np.arange(n))
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def suffix_order(values: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of `values` (0: end of a piece) in the order of their first `depth` values or
     more, by doubling: ranks by 4 values, then by pairs of ranks."""
@@ -28,8 +40,7 @@ def suffix_order(values: np.ndarray, depth: int) -> np.ndarray:
     for j in range(4):
         rank = rank << 9 | padded[j : j + n]
     while True:
-        order = np.argsort(rank, kind="stable")
-        ordered = rank[order]
+        order, ordered = sorted_places(rank)
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
         if reach >= depth:
@@ -67,14 +78,24 @@ def shared_starts(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
         at = np.repeat(low - shift, size) + np.arange(size.sum())
         key = np.repeat(np.arange(len(low)), size) * 257 + before[at]
         at, key = at[before[at] > 0], key[before[at] > 0]
-        by_key = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(key[by_key]) > 0))) if len(key) else by_key
+        by_key, key = sorted_places(key)
+        first = np.flatnonzero(np.concatenate(([True], np.diff(key) > 0))) if len(key) else by_key
         low = np.concatenate((single, back[at[by_key[first]]]))
         size = np.concatenate((np.ones(len(single), np.int64), np.diff(np.append(first, len(key)))))
     known[0] = True
     return order, known[:-1]
 
 
+def in_company(texts: repeats.Pieces, length: int) -> np.ndarray:
+    """The texts whose anchor, the least hash in their first `length` bytes, is that of another."""
+    grams = np.append(_grams(texts.values) >> np.uint64(32), np.uint64(0))
+    bounds = np.stack((texts.at[:-1], texts.at[:-1] + length - GRAM + 1), 1).ravel()
+    least = np.minimum.reduceat(grams, bounds)[::2]
+    order = np.argsort(least)
+    same = least[order][1:] == least[order][:-1]
+    return np.sort(order[np.append(same, False) | np.append(False, same)])
+
+
 def repeated_spans(pieces: repeats.Pieces, length: int):
     """(piece, first byte in it, bytes) of every run of windows with a copy in a smaller doc."""
     order, group = pieces.classes()
@@ -83,14 +104,18 @@ def repeated_spans(pieces: repeats.Pieces, length: int):
     sizes = np.diff(pieces.at)
     gone = order[later]
     found = [(gone, np.zeros(len(gone), np.int64), sizes[gone])]
-    # One text of each class, under its smallest document.
-    texts = pieces.take(lead)
+    # One text of each class, under its smallest document, if another class has its anchor: a class
+    # without such company shares no window with one.
+    classes = in_company(pieces.take(lead), length)
+    if not len(classes):
+        return tuple(np.concatenate(x) for x in zip(*found))
+    texts = pieces.take(lead[classes])
     width = np.diff(texts.at)
-    shift = texts.at[:-1] + np.arange(len(lead))
-    values = np.zeros(len(texts.values) + len(lead), np.int16)
+    shift = texts.at[:-1] + np.arange(len(classes))
+    values = np.zeros(len(texts.values) + len(classes), np.int16)
     inside = np.repeat(shift - texts.at[:-1], width) + np.arange(len(texts.values))
     values[inside] = texts.values.astype(np.int16) + 1
-    owner = np.repeat(np.arange(len(lead)), width + 1)
+    owner = np.repeat(np.arange(len(classes)), width + 1)
     ahead = np.repeat(shift + width, width + 1) - np.arange(len(values))  # bytes up to the end
     suffixes, start = shared_starts(values, length)
     full = ahead[suffixes] >= length
@@ -106,7 +131,7 @@ def repeated_spans(pieces: repeats.Pieces, length: int):
         # The same for every place of that text in its smallest document.
         own = order[~later]
         own_class = group[~later]
-        bounds = np.searchsorted(own_class, [owner[first], owner[first] + 1])
+        bounds = np.searchsorted(own_class, [classes[owner[first]], classes[owner[first]] + 1])
         copies = bounds[1] - bounds[0]
         row = np.repeat(bounds[0] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
         found.append((own[row], np.repeat(first - shift[owner[first]], copies), np.repeat(last - first + length, copies)))

@@ -4,11 +4,13 @@ import sys
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from evalspark.llm import exact_dedup, repeats, similar, simhash, substring_dedup, suffix_dedup
 from evalspark.llm.components import components
+from evalspark.llm.texts import texts_of
 
 
 def digest(row):
@@ -43,6 +45,37 @@ def test_substring_dedup(frame, small, block):
     assert substring_rows(frame(small), 20) == brute.substring_dedup(small, 20)
 
 
+def test_few_lots_and_hot_anchors(frame, small, monkeypatch):
+    """Blocks share buckets and lots, lots are solved part by part, and pieces of hot anchors are cut."""
+    for name, value in (("BLOCK_BYTES", 256), ("BUCKETS", 2), ("SOLVE_BYTES", 2000), ("HOT", 3)):
+        monkeypatch.setattr(repeats, name, value)
+    assert suffix_rows(frame(small), 50) == brute.suffix_dedup(small, 50)
+    assert substring_rows(frame(small), 20) == brute.substring_dedup(small, 20)
+
+
+def test_rows_and_hot_anchors_stay_small():
+    """Rows of a block of documents stop growing with the blocks; so do the distinct pieces that meet
+    because of one passage in many surroundings."""
+    assert [repeats.bucket_count(n) for n in (13, 412, 5000)] == [13, 268, 412]
+    rng = np.random.default_rng(0)
+    rule = repeats.Rule(50, suffix_dedup.GRAM, suffix_dedup._tokens, suffix_dedup._grams, False, None, None)
+    most = []
+    for n in (2000, 8000):
+        around = rng.choice(np.frombuffer(b"acgt", np.uint8), (n, 80))
+        passage = np.tile(np.frombuffer(bytes(range(128, 188)), np.uint8), (n, 1))
+        texts = pa.array([x.tobytes() for x in np.concatenate((around[:, :40], passage, around[:, 40:]), 1)])
+        _, start, where, size, anchor, tokens, _ = repeats.runs(rule, texts_of(texts))
+        kinds, counts = np.unique(anchor, return_counts=True)
+        hot = np.isin(anchor, kinds[counts >= n // 2])
+        piece, begin, length, shared = repeats.cut(rule, start[hot], where[hot], size[hot], tokens)
+        assert length.max() <= 50 + repeats.CUT - 1 and (length - 49).sum() == (size[hot] - 49).sum()
+        found = {}
+        for h, a, k in zip(shared.tolist(), begin.tolist(), length.tolist()):
+            found.setdefault(h, set()).add(tokens[a : a + k].tobytes())
+        most.append(max(len(x) for x in found.values()))
+    assert most[1] <= 4**3 * repeats.CUT, most
+
+
 def test_given_documents(documents, rows):
     assert suffix_rows(documents, 50) == brute.suffix_dedup(rows, 50)
     assert substring_rows(documents, 20) == brute.substring_dedup(rows, 20)
